@@ -298,9 +298,9 @@ def groups(source: str, stage: str = "") -> str:
     return f"""
 grp AS (
   SELECT {s}source_id, count(*) AS n_records, min((k_decision > 0)::INT) AS all_review,
-    CASE WHEN {POSITION} IS NOT NULL THEN 0 WHEN bool_or(k_plant = 0) THEN 1
+    CASE WHEN any_value({POSITION}) IS NOT NULL THEN 0 WHEN bool_or(k_plant = 0) THEN 1
          WHEN bool_and(category IN {some(D.deferred_categories)} AND k_plant = 1) THEN 3 ELSE 2 END AS tier,
-    coalesce({POSITION}, 0) AS tier_position, lower(min(journal)) AS group_name, min(journal) AS group_label
+    coalesce(any_value({POSITION}), 0) AS tier_position, lower(min(journal)) AS group_name, min(journal) AS group_label
   FROM {source} GROUP BY ALL),
 ranked AS (SELECT *, row_number() OVER ({part}ORDER BY all_review, tier, tier_position, group_name, source_id) AS group_rank FROM grp)"""
 
@@ -408,11 +408,15 @@ def _authors(x: str) -> str:
       ELSE 'Authors: ' || array_to_string(list_concat(list_slice({names}, 1, 2), list_slice({names}, -3, -1)), ', ') END"""
 
 
+# RE2 knows ASCII word boundaries only, so each word with another letter in it
+# first becomes one underscore, which is a word character no term contains.
 TERMS = r"""
 occurrence AS MATERIALIZED (
   SELECT seq, title_en, generate_subscripts(m, 1) AS pos, unnest(m) AS match
-  FROM (SELECT seq, title_en, regexp_extract_all(lower(title_en || ' ' || abstract || ' ' || array_to_string(tags, ' ')),
-    '(?:^|[^\pL\pN_])([a-z][a-z0-9-]{2,}(?:\s+[a-z0-9-]{2,}){0,3})', 1) AS m FROM norm))"""
+  FROM (SELECT seq, title_en, regexp_extract_all(
+    regexp_replace(lower(title_en || ' ' || abstract || ' ' || array_to_string(tags, ' ')),
+      '[a-z0-9_]*[_\x{80}-\x{10FFFF}][a-z0-9_\x{80}-\x{10FFFF}]*', '_', 'g'),
+    '\b[a-z][a-z0-9-]{2,}(?:\s+[a-z0-9-]{2,}){0,3}\b', 0) AS m FROM norm))"""
 
 
 def oracle_sql() -> dict[str, str]:
