@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from litsieve.functions.text import as_column, bind, clean_text, regex_groups, text_or_empty
+from litsieve.functions.text import as_column, bind, clean_text, constant_map, regex_groups, text_or_empty
 
 # English month abbreviations and mail-header time zone names.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -62,8 +62,8 @@ def _iso_timestamp(text: Column) -> Column:
 def _mail_timestamp(text: Column) -> Column:
     # day, month, year, hour, minute, second, zone hour, zone minute, zone name
     groups = regex_groups(text, _MAIL, (1, 2, 3, 4, 5, 6, 7, 8, 9))
-    months = F.create_map(*(F.lit(x) for i, m in enumerate(MONTHS, 1) for x in (m, f"{i:02d}")))
-    zones = F.create_map(*(F.lit(x) for pair in ZONE_OFFSETS.items() for x in pair))
+    months = constant_map({m: f"{i:02d}" for i, m in enumerate(MONTHS, 1)})
+    zones = constant_map(ZONE_OFFSETS)
 
     def build(g: Column) -> Column:
         short = g[2].try_cast("int")

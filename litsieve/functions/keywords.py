@@ -10,16 +10,16 @@ narrow projection: no explode, no join, no regrouping, whatever the data size.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, functions as F
 
-from litsieve.functions.text import SPACES, as_column
+from litsieve.functions.text import ALPHANUMERICS, SPACES, as_column
 
 _RUN = re.compile("[a-z0-9]+")
 _SINGLE = re.compile("[a-z][a-z0-9-]{2,}")
-_ONE_RUN = re.compile("[a-z0-9]+")
 
 
 def takes_plural(keyword: str) -> bool:
@@ -28,7 +28,7 @@ def takes_plural(keyword: str) -> bool:
 
 
 def _is_one_run(keyword: str) -> bool:
-    return bool(_ONE_RUN.fullmatch(keyword))
+    return bool(_RUN.fullmatch(keyword))
 
 
 def keyword_pattern(keyword: str) -> str:
@@ -67,7 +67,7 @@ def _needed_runs(present: Column, key: str) -> Column | None:
 
 
 def token_runs(lowered: Column | str) -> Column:
-    return F.split(as_column(lowered), "[^a-z0-9]+")
+    return F.split(as_column(lowered), f"[^{ALPHANUMERICS}]+")
 
 
 def present_runs(lowered: Column | str, keywords: Sequence[str]) -> Column:
@@ -75,7 +75,7 @@ def present_runs(lowered: Column | str, keywords: Sequence[str]) -> Column:
     vocabulary = _vocabulary(keywords)
     if not vocabulary:
         return F.array().cast("array<string>")
-    return F.array_intersect(F.array(*(F.lit(run) for run in vocabulary)), token_runs(lowered))
+    return F.array_intersect(F.split(F.lit(" ".join(vocabulary)), " "), token_runs(lowered))
 
 
 def found_terms(lowered: Column | str, present: Column | str, keywords: Sequence[str]) -> Column:
@@ -102,12 +102,11 @@ def hits_among(found: Column | str, keywords: Sequence[str]) -> Column:
     for keyword in keywords:
         key = keyword.lower()
         plural = key + "s" if _is_one_run(key) and takes_plural(key) else key
-        entries.append(F.struct(F.lit(keyword).alias("term"), F.lit(key).alias("one"), F.lit(plural).alias("many")))
+        entries.append({"term": keyword, "one": key, "many": plural})
+    # A JSON literal folds to a constant and costs one call, not one per keyword.
+    table = F.from_json(F.lit(json.dumps(entries)), "array<struct<term:string,one:string,many:string>>")
     return F.transform(
-        F.filter(
-            F.array(*entries),
-            lambda e: F.array_contains(found, e["one"]) | F.array_contains(found, e["many"]),
-        ),
+        F.filter(table, lambda e: F.array_contains(found, e["one"]) | F.array_contains(found, e["many"])),
         lambda e: e["term"],
     )
 

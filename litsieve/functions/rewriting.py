@@ -7,17 +7,19 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from litsieve.functions.text import as_column, squeeze, strip_ends, text_or_empty
+from litsieve.functions.text import as_column, bind, squeeze, strip_ends, text_or_empty
 
 Pairs = Sequence[tuple[str, str]]
+Rules = Sequence[tuple[str, str, str]]
 
-# Repairs for replacements that fire on their own output, in order.
+# Repairs for replacements that fire on their own output, in
+# order, as (literal the pattern starts with, pattern, replacement).
 COLLAPSE_RULES = (
-    ("(基准测试)(?:基准测试|测试)+", "$1"),
-    ("(工作流程)(?:工作流程|流程)+", "$1"),
-    ("(单细胞)(?:单细胞)+", "$1"),
-    ("流程程+", "流程"),
-    ("测试测试+", "测试"),
+    ("基准测试", "(基准测试)(?:基准测试|测试)+", "$1"),
+    ("工作流程", "(工作流程)(?:工作流程|流程)+", "$1"),
+    ("单细胞", "(单细胞)(?:单细胞)+", "$1"),
+    ("流程程", "流程程+", "流程"),
+    ("测试测", "测试测试+", "测试"),
 )
 
 
@@ -25,11 +27,15 @@ def _usable(pairs: Pairs) -> list[tuple[str, str]]:
     return [(source, target) for source, target in pairs if source and target]
 
 
-def _collapse(text: Column, rules: Pairs) -> Column:
-    return squeeze(reduce(lambda out, rule: F.regexp_replace(out, rule[0], rule[1]), rules, text))
+def _collapse(text: Column, rules: Rules) -> Column:
+    def repair(out: Column, rule: tuple[str, str, str]) -> Column:
+        head, pattern, target = rule
+        return bind(out, lambda t: F.when(t.contains(head), F.regexp_replace(t, pattern, target)).otherwise(t))
 
+    return squeeze(reduce(repair, rules, text))
 
-def apply_glossary(text: Column | str, pairs: Pairs, rules: Pairs = COLLAPSE_RULES) -> Column:
+
+def apply_glossary(text: Column | str, pairs: Pairs, rules: Rules = COLLAPSE_RULES) -> Column:
     """Replace each source by its target, in order; later pairs see earlier output."""
     replaced = reduce(
         lambda out, pair: F.replace(out, F.lit(pair[0]), F.lit(pair[1])),
@@ -39,7 +45,7 @@ def apply_glossary(text: Column | str, pairs: Pairs, rules: Pairs = COLLAPSE_RUL
     return _collapse(replaced, rules)
 
 
-def trace_glossary(text: Column | str, pairs: Pairs, rules: Pairs = COLLAPSE_RULES) -> Column:
+def trace_glossary(text: Column | str, pairs: Pairs, rules: Rules = COLLAPSE_RULES) -> Column:
     """Struct of the rewritten ``text`` and the ``changes`` that fired, in order."""
     start = strip_ends(text_or_empty(text))
     usable = _usable(pairs)
@@ -76,7 +82,7 @@ def _sentences(text: Column, stops: str) -> Column:
 def leading_sentences(text: Column | str, count: int = 2) -> Column:
     """First sentences of a translated abstract, each closed by a full stop; may be ``''``."""
     body = F.array_join(F.slice(_sentences(text_or_empty(text), "。！!?"), 1, count), "。")
-    return F.when(body == "", F.lit("")).otherwise(F.concat(body, F.lit("。")))
+    return bind(body, lambda b: F.when(b == "", F.lit("")).otherwise(F.concat(b, F.lit("。"))))
 
 
 def cap_sentences(text: Column | str, limit: int) -> Column:
@@ -84,12 +90,18 @@ def cap_sentences(text: Column | str, limit: int) -> Column:
 
     An ASCII exclamation mark does not end a sentence here.
     """
-    text = as_column(text)
-    parts = _sentences(text, "。！?")
-    return F.when(
-        F.size(parts) > limit,
-        F.concat(F.array_join(F.slice(parts, 1, limit), "。"), F.lit("。")),
-    ).otherwise(text)
+
+
+    def build(whole: Column) -> Column:
+        return bind(
+            _sentences(whole, "。！?"),
+            lambda parts: F.when(
+                F.size(parts) > limit,
+                F.concat(F.array_join(F.slice(parts, 1, limit), "。"), F.lit("。")),
+            ).otherwise(whole),
+        )
+
+    return bind(as_column(text), build)
 
 
 def fill_template(template: str, **columns: Column | str) -> Column:

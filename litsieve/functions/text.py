@@ -10,6 +10,7 @@ rows reach that UDF as nulls and pass through untouched.
 from __future__ import annotations
 
 import html
+import json
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -17,8 +18,17 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
 # White space as Unicode defines it, plus the four ASCII separators that a
-# Java ``\s`` leaves out.  One class, used by every function below.
-SPACES = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Java ``\s`` leaves out.  Latin characters are listed one by one and the others
+# sit behind one range check: Java then needs two tests for a letter, where a
+# plain union of the same ranges runs six times slower over long texts.
+SPACES = (
+    r"[\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0"
+    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
+)
+# ASCII letters and digits, listed for the same reason.
+ALPHANUMERICS = "abcdefghijklmnopqrstuvwxyz0123456789"
+# The same characters one by one, for trimming.
+SPACE_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 TAG = r"<[^>]+>"
 # Joins list elements for a joint decode; no entity decodes to this character.
 ELEMENT_MARK = "\x01"
@@ -65,11 +75,14 @@ def squeeze(text: Column | str) -> Column:
 
 def strip_ends(text: Column | str) -> Column:
     """Trim white space of any kind from both ends, keeping the inside."""
-    return F.regexp_replace(as_column(text), f"^{SPACES}+|{SPACES}+$", "")
+    return F.trim(as_column(text), F.lit(SPACE_CHARACTERS))
 
 
 def strip_markup(text: Column | str) -> Column:
-    return squeeze(F.regexp_replace(as_column(text), TAG, " "))
+    return bind(
+        as_column(text),
+        lambda t: squeeze(F.when(t.contains("<"), F.regexp_replace(t, TAG, " ")).otherwise(t)),
+    )
 
 
 def clean_text(text: Column | str) -> Column:
@@ -88,7 +101,7 @@ def clean_list(values: Column | str) -> Column:
 
 def letters_and_digits(text: Column | str) -> Column:
     """Lower-case ASCII letters and digits of already clean text, blank-separated."""
-    return F.trim(F.regexp_replace(F.lower(as_column(text)), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.lower(as_column(text)), f"[^{ALPHANUMERICS}]+", " "))
 
 
 def normalize_title(text: Column | str) -> Column:
@@ -147,7 +160,9 @@ def label_for(value: Column | str, labels: dict[str, str], default: str | None =
     or to the capitalised value."""
     value = as_column(value)
     fallback = title_words(value) if default is None else F.lit(default)
-    if not labels:
-        return fallback
-    table = F.create_map(*(F.lit(x) for pair in labels.items() for x in pair))
-    return F.coalesce(F.try_element_at(table, value), fallback)
+    return F.coalesce(F.try_element_at(constant_map(labels), value), fallback)
+
+
+def constant_map(values: dict[str, str]) -> Column:
+    """A map literal, passed as one JSON text that folds to a constant."""
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")

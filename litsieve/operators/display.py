@@ -10,9 +10,9 @@ from litsieve import defaults as d
 from litsieve.config import DisplayRules
 from litsieve.functions.dates import date_label, parse_datetime
 from litsieve.functions.keywords import contains_any, found_terms, hits_among, present_runs
-from litsieve.functions.text import author_line, first_filled, label_for, list_text, snippet, text_or_empty
+from litsieve.functions.text import author_line, constant_map, first_filled, label_for, list_text, snippet, text_or_empty
 from litsieve.operators.skew import rank_rows
-from litsieve.session import evaluate_once
+from litsieve.session import durable, evaluate_once
 
 BUCKETS = tuple(d.DISPLAY_BUCKETS)
 NOT_LISTED = 2**31 - 1
@@ -115,8 +115,8 @@ def display_order(keyed: DataFrame, groups: Sequence[str] = (), name: str = "dis
 def _source_position(rules: DisplayRules) -> Column:
     if not rules.source_order:
         return F.lit(None).cast("int")
-    order = F.create_map(*(F.lit(x) for i, s in enumerate(rules.source_order) for x in (s, i)))
-    return F.try_element_at(order, F.col("source_id"))
+    order = constant_map({s: str(i) for i, s in enumerate(rules.source_order)})
+    return F.try_element_at(order, F.col("source_id")).cast("int")
 
 
 def _tier(rules: DisplayRules, any_plant: Column, all_deferred: Column) -> Column:
@@ -234,15 +234,20 @@ def digest_sections(
     ``stage_rank, stage, group_rank, card_rank`` to read the digest.
     """
     shown = visually_hidden(records, rules).where(~F.col("hidden")).drop("hidden")
-    keyed = with_display_keys(shown, rules).withColumns({"stage": stage_or_journal(), "stage_rank": stage_rank()})
+    keyed = with_display_keys(shown, rules).withColumns(
+        {"stage": stage_or_journal(), "stage_rank": stage_rank(), "bucket": display_bucket(rules)}
+    )
+    # Groups, ranks and sizes all start from these few columns.
+    keyed = durable(
+        keyed.select("source_id", "journal", "category", "stage", "stage_rank", "bucket", *DISPLAY_KEYS)
+    )
     if (grouping or rules.grouping_mode) == "journal":
         groups = rank_groups(journal_groups(keyed, rules, ["stage"]), ["stage"], **options)
         placed = display_order(keyed, ["stage", "source_id"], "card_rank", **options)
         rows = placed.join(groups, ["stage", "source_id"])
     else:
         order = F.array(*(F.lit(b) for b in BUCKETS))
-        bucketed = keyed.withColumn("bucket", display_bucket(rules))
-        placed = display_order(bucketed, ["stage", "bucket"], "card_rank", **options)
+        placed = display_order(keyed, ["stage", "bucket"], "card_rank", **options)
         sizes = placed.groupBy("stage", "bucket").agg(F.count(F.lit(1)).alias("n_records"))
         rows = placed.join(sizes, ["stage", "bucket"]).withColumns(
             {

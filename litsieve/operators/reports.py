@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from litsieve.defaults import SUGGESTION_TOKENS
 from litsieve.functions.text import text_or_empty
 from litsieve.operators.skew import first_rows, top_counts
+from litsieve.session import durable
 
 
 def decision_counts(reviewed: DataFrame) -> DataFrame:
@@ -78,7 +79,9 @@ def token_suggestions(
         "part", "seq", "title_en",
         F.explode(F.filter(numbered, lambda entry: F.col("text").contains(entry["token"]))).alias("t"),
     ).select("part", "seq", "title_en", "t.token", "t.token_pos")
-    top = top_counts(seen, "token", ["part", "seq", "token_pos"], limit)
+    # Counts and examples both read the matches, so the records are read once.
+    seen = durable(seen)
+    top = top_counts(seen, "token", ["seq", "token_pos", "part"], limit)
     shown = first_rows(seen.select("token", "part", "seq", "title_en"), ["part", "seq"], examples, ["token"])
     titles = shown.groupBy("token").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("item", "title_en"))), lambda e: e["title_en"]).alias("examples")

@@ -32,12 +32,12 @@ def join_on_counted_key(
     most about a threshold's worth of rows, and no row is dropped.  ``per_key``
     should be durable, since it is read twice.
     """
-    total = per_key.agg(F.sum(count)).first()[0] or 0
-    threshold = max(min_hot_rows, total // HOT_SHARE)
+    total, largest = per_key.agg(F.sum(count), F.max(count)).first()
+    threshold = max(min_hot_rows, (total or 0) // HOT_SHARE)
+    if (largest or 0) <= threshold:
+        return rows.join(per_key, key)
     pieces = F.ceil(F.col(count) / F.lit(threshold)).cast("int")
     hot = per_key.where(F.col(count) > threshold).select(key, pieces.alias("pieces"))
-    if hot.isEmpty():
-        return rows.join(per_key, key)
     cut_rows = (
         rows.join(F.broadcast(hot), key, "left")
         .withColumn(
@@ -121,6 +121,22 @@ def _cut_points(keys: DataFrame, n_rows: int, ranges: int) -> list:
     return list(dict.fromkeys(ordered[i] for i in picks if i < len(ordered)))
 
 
+def sort_position(seq: str, pos: str | None = None, part: str | None = None) -> Column:
+    """Order of appearance as one number: part, then record, then place in the record.
+
+    A number keeps the minimum in a hash aggregate; a struct would force a sort
+    of all rows first.  ``pos`` is below 10^9 and ``part`` is a single digit.
+    """
+    if pos is None and part is None:
+        return F.col(seq)
+    place = F.col(seq).cast("decimal(19,0)") * F.lit(10**9).cast("decimal(10,0)")
+    if pos is not None:
+        place = place + F.col(pos).cast("decimal(10,0)")
+    if part is not None:
+        place = place + F.col(part).cast("decimal(1,0)") * F.lit(10**30).cast("decimal(31,0)")
+    return place.cast("decimal(38,0)")
+
+
 def top_counts(
     rows: DataFrame, key: str, position: Sequence[str], limit: int, count: str = "n"
 ) -> DataFrame:
@@ -131,7 +147,7 @@ def top_counts(
     """
     return (
         rows.groupBy(key)
-        .agg(F.count(F.lit(1)).alias(count), F.min(F.struct(*position)).alias("first_seen"))
+        .agg(F.count(F.lit(1)).alias(count), F.min(sort_position(*position)).alias("first_seen"))
         .orderBy(F.desc(count), "first_seen")
         .limit(limit)
     )

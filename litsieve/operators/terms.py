@@ -8,11 +8,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from litsieve.config import MAX_DIMENSION_ROWS
 from litsieve.defaults import TERM_STOP_WORDS
-from litsieve.functions.text import as_column, squeeze, text_or_empty
-from litsieve.operators.skew import first_rows
+from litsieve.functions.text import ALPHANUMERICS, SPACES, as_column, squeeze, text_or_empty
+from litsieve.operators.skew import first_rows, sort_position
 
 # Fixed value: a term is one to four words, the first starting with a letter.
-TERM_PATTERN = r"(?U)\b[a-z][a-z0-9-]{2,}(?:\s+[a-z0-9-]{2,}){0,3}\b"
+# Word boundaries are spelled out, since the Unicode ones of Java are slow.
+_WORD = rf"[{ALPHANUMERICS}_[\x80-\x{{10ffff}}&&[\p{{L}}\p{{N}}]]]"
+_PART = f"[{ALPHANUMERICS}-]"
+TERM_PATTERN = (
+    rf"(?<!{_WORD})[a-z]{_PART}{{2,}}(?:{SPACES}+{_PART}{{2,}}){{0,3}}"
+    rf"(?:(?<!-)(?!{_WORD})|(?<=-)(?={_WORD}))"
+)
 
 
 def normalize_term(term: Column | str) -> Column:
@@ -24,15 +30,17 @@ def term_occurrences(records: DataFrame, stop_words: Sequence[str] = TERM_STOP_W
     text = F.lower(
         F.concat_ws(" ", text_or_empty("title_en"), text_or_empty("abstract"), F.array_join("tags", " "))
     )
-    found = records.select(
-        "seq", "title_en", F.posexplode(F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0))).alias("pos", "match")
-    ).select("seq", "title_en", "pos", normalize_term("match").alias("term"))
-    words = F.size(F.split("term", " "))
-    return found.where(
-        (F.length("term") >= 4)
-        & ~(F.col("term").rlike("[0-9]") & (words > 2))
-        & ~F.col("term").isin(*stop_words)
-    )
+    def usable(term: Column) -> Column:
+        return (
+            (F.length(term) >= 4)
+            & ~(term.rlike("[0-9]") & (F.size(F.split(term, " ")) > 2))
+            & ~term.isin(*stop_words)
+        )
+
+    # Normalized and tested inside the array, where each term is computed once.
+    matches = F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0))
+    terms = F.filter(F.transform(matches, squeeze), usable)
+    return records.select("seq", "title_en", F.posexplode(terms).alias("pos", "term"))
 
 
 def glossary_candidates(
@@ -58,13 +66,13 @@ def glossary_candidates(
     else:
         known = known_terms.select("term").distinct()
     counted = occurrences.groupBy("term").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("seq", "pos")).alias("first_seen")
+        F.count(F.lit(1)).alias("n"), F.min(sort_position("seq", "pos")).alias("first_seen"), F.min("seq").alias("first_seq")
     )
     top = (
         counted.join(known, "term", "left_anti")
         .orderBy(F.desc("n"), "first_seen")
         .limit(limit)
-        .select("term", "n", "first_seen")
+        .select("term", "n", "first_seq")
     )
     winners = F.broadcast(top.select("term"))
     # The k-th example is at latest the k-th occurrence, so a group limit ahead
@@ -73,4 +81,4 @@ def glossary_candidates(
     titles = shown.groupBy("term").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("item", "title_en"))), lambda e: e["title_en"]).alias("examples")
     )
-    return top.join(titles, "term").select("term", "n", "first_seen", "examples")
+    return top.join(titles, "term").select("term", "n", "first_seq", "examples")

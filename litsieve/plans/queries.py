@@ -453,7 +453,7 @@ def glossary_candidates(spark: SparkSession, sf: str) -> DataFrame:
     )
     found = terms.glossary_candidates(_normalized(spark, sf), known)
     return found.select(
-        "term", "n", F.col("first_seen.seq").alias("first_seq"), F.array_join("examples", "|").alias("examples")
+        "term", "n", "first_seq", F.array_join("examples", "|").alias("examples")
     )
 
 

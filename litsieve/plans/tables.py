@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from litsieve.config import DigestRules, DisplayRules, Glossary, RelevanceRules, ReviewRules
+from litsieve.session import spread
 
 PROSE_RULES = DigestRules(
     relevance=RelevanceRules(
@@ -66,8 +67,12 @@ PROSE_GLOSSARY = Glossary(
 PROSE_TOKENS = ("license", "ththan", "queue", "onon", "ertion", "lich", "éau", "ción", "spam", "apache")
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
+def table(spark: SparkSession, folder: str, name: str, spread_text: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df) if spread_text and name in TEXT_TABLES else df
 
 
 def _by_lang(**values) -> Column:
@@ -138,7 +143,7 @@ def records_from(docs: DataFrame) -> DataFrame:
 
 def registry(spark: SparkSession, folder: str) -> DataFrame:
     """Sources of ``documents`` as a registry with one address per language."""
-    docs = table(spark, folder, "documents")
+    docs = table(spark, folder, "documents", spread_text=False)
     return docs.groupBy("source").agg(F.array_sort(F.collect_set("lang")).alias("langs")).select(
         F.col("source").alias("source_id"),
         (~F.col("source").isin("src10", "src19")).alias("enabled"),

@@ -14,6 +14,8 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Recording a call site for every column expression costs a millisecond each.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **settings,
     }
     builder = SparkSession.builder.appName("litsieve")
@@ -58,3 +60,13 @@ def evaluate_once(df: DataFrame, **columns) -> DataFrame:
     the filter, where common subexpressions are not shared.
     """
     return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that arrives in fewer partitions than there are.
+
+    Such an input is small, or sits in few row groups; one shuffle of it buys
+    the parallel text work that follows.  Larger inputs stay as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
