@@ -133,7 +133,7 @@ def sort_position(seq: str, pos: str | None = None, part: str | None = None) ->
     if pos is not None:
         place = place + F.col(pos).cast("decimal(10,0)")
     if part is not None:
-        place = place + F.col(part).cast("decimal(1,0)") * F.lit(10**30).cast("decimal(31,0)")
+        place = place + F.col(part).cast("decimal(1,0)") * F.lit("1" + "0" * 30).cast("decimal(31,0)")
     return place.cast("decimal(38,0)")
 
 
