@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from litsieve.operators.normalize import completeness
-from litsieve.operators.skew import join_on_counted_key
+from litsieve.operators.skew import join_on_counted_key, small_side
 from litsieve.session import durable
 
 MAX_ROUNDS = 100
@@ -158,10 +158,11 @@ def resolve_duplicates(records: DataFrame, skip_empty_title: bool = False) -> Re
     """Split records into survivors and duplicates.
 
     Only the narrow key table takes part in the iteration.  The wide records are
-    read twice: once for their keys, once for the final joins on ``seq``.
+    read twice: once for their keys, once for the final joins on ``seq``, which
+    need no shuffle of the records while the duplicates are few.
     """
     keys = durable(key_table(records, skip_empty_title))
-    gone = durable(losers(keys))
+    gone = small_side(durable(losers(keys)))
     return Resolution(
         survivors=records.join(gone, "seq", "left_anti"),
         duplicates=records.join(gone, "seq"),

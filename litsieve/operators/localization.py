@@ -10,7 +10,7 @@ from litsieve import defaults as d
 from litsieve.config import Glossary
 from litsieve.functions.rewriting import apply_glossary, cap_sentences, fill_template, leading_sentences
 from litsieve.functions.text import label_for, text_or_empty
-from litsieve.operators.providers import CallPolicy, call_with_policy, map_records
+from litsieve.operators.providers import CallPolicy, call_records, call_with_policy
 from litsieve.schemas import LOCALIZED_RESULT
 
 
@@ -114,14 +114,18 @@ def localize(
                 raise
             return both(secondary, record)
 
-    replies = map_records(
+    done = call_records(
         records,
+        "translated",
         ["title_en", "abstract"],
         "title_text string, abstract_text string",
         translate_record,
         CallPolicy(concurrency=policy.concurrency),
     )
-    return with_summaries(records.join(replies, "seq"), glossary, max_sentences)
+    texts = done.withColumns(
+        {"title_text": F.col("translated.title_text"), "abstract_text": F.col("translated.abstract_text")}
+    )
+    return with_summaries(texts.drop("translated"), glossary, max_sentences)
 
 
 def localize_with(
@@ -132,8 +136,10 @@ def localize_with(
     max_sentences: int = 4,
 ) -> DataFrame:
     """Title and summary straight from a callable ``record -> {title_zh, summary_zh}``."""
-    replies = map_records(records, columns, LOCALIZED_RESULT, call, policy)
-    return records.join(replies, "seq").withColumn("summary_zh", cap_sentences("summary_zh", max_sentences))
+    done = call_records(records, "reply", columns, LOCALIZED_RESULT, call, policy)
+    return done.withColumns(
+        {"title_zh": F.col("reply.title_zh"), "summary_zh": cap_sentences("reply.summary_zh", max_sentences)}
+    ).drop("reply")
 
 
 def localize_from_memory(

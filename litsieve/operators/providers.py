@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -41,30 +41,29 @@ def call_with_policy(call: Callable[[Any], Any], argument: Any, policy: CallPoli
             time.sleep(policy.backoff * attempt)
 
 
-def map_records(
+def call_records(
     records: DataFrame,
+    name: str,
     columns: list[str],
     result: str,
     call: Callable[[dict], dict],
     policy: CallPolicy = CallPolicy(),
-    row_id: str = "seq",
 ) -> DataFrame:
-    """``row_id`` plus the fields of ``result`` from ``call(record)``.
+    """Add a struct column ``name`` with the fields of ``result`` from ``call(record)``.
 
-    Only the columns the callable needs travel to Python, as Arrow batches.
+    Only the columns the callable needs travel to Python, as Arrow batches; the
+    rest of the record stays where it is, so nothing is shuffled or joined back.
+    The call counts as nondeterministic: Spark then makes it once per record.
     """
-    names = [part.split()[0] for part in result.split(",")]
-    narrow = records.select(row_id, *[c for c in columns if c != row_id])
-    if policy.concurrency:
-        narrow = narrow.repartition(policy.concurrency)
+    fields = [part.split()[0] for part in result.split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last = [0.0]
         for batch in batches:
-            rows = []
-            for record in batch.to_dict("records"):
-                reply = call_with_policy(call, record, policy, last)
-                rows.append((record[row_id], *(reply.get(n) for n in names)))
-            yield pd.DataFrame(rows, columns=[row_id, *names])
+            replies = [call_with_policy(call, record, policy, last) for record in batch.to_dict("records")]
+            yield pd.DataFrame([[reply.get(f) for f in fields] for reply in replies], columns=fields)
 
-    return narrow.mapInPandas(run, f"{row_id} bigint, {result}")
+    struct_type = ", ".join(f"{part.split()[0]}: {part.split()[1]}" for part in result.split(","))
+    udf = F.pandas_udf(run, f"struct<{struct_type}>").asNondeterministic()
+    source = records.repartition(policy.concurrency) if policy.concurrency else records
+    return source.withColumn(name, udf(F.struct("seq", *[c for c in columns if c != "seq"])))

@@ -11,7 +11,7 @@ from litsieve.functions.identifiers import canonical_doi, canonical_url
 from litsieve.functions.keywords import contains_any, starts_with_any
 from litsieve.functions.payloads import json_path
 from litsieve.functions.text import first_filled, normalize_title, strip_ends, text_or_empty
-from litsieve.operators.providers import CallPolicy, map_records
+from litsieve.operators.providers import CallPolicy, call_records
 from litsieve.schemas import REVIEW_RESULT
 from litsieve.session import evaluate_once
 
@@ -93,9 +93,7 @@ def review_with(
     policy: CallPolicy = CallPolicy(),
 ) -> DataFrame:
     """Add ``payload`` from a user callable ``record -> {decision, confidence, …}``."""
-    replies = map_records(records, columns, REVIEW_RESULT, call, policy)
-    fields = ["decision", "confidence", "reason", "category_override"]
-    return records.join(replies.select("seq", F.struct(*fields).alias("payload")), "seq", "left")
+    return call_records(records, "payload", columns, REVIEW_RESULT, call, policy)
 
 
 def finalize_review(records: DataFrame, rules: ReviewRules) -> DataFrame:

@@ -12,6 +12,8 @@ from litsieve.session import durable
 # so there are fewer than HOT_SHARE hot keys: that bounds the broadcast table.
 HOT_SHARE = 500
 MIN_HOT_ROWS = 50_000
+# Narrow rows of a key and a short text; some tens of megabytes at most.
+MAX_BROADCAST_ROWS = 200_000
 # Below this many rows one sort task is cheaper than a sampled range split.
 SINGLE_SORT_ROWS = 50_000
 
@@ -50,6 +52,14 @@ def join_on_counted_key(
     return cut_rows.withColumn("piece", F.col("piece").cast("int")).join(cut_keys, [key, "piece"]).drop("piece")
 
 
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a narrow, durable table once its row count proves it small.
+
+    Beyond the bound the join stays a shuffle join.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def rank_rows(
     rows: DataFrame,
     order: Sequence[Column],
@@ -158,5 +168,8 @@ def first_rows(rows: DataFrame, order: Sequence[str], limit: int, groups: Sequen
 
     The rank filter becomes a group limit ahead of the shuffle.
     """
+    if not groups:
+        # A top-k leaves ``limit`` rows, which one task then numbers.
+        rows = rows.orderBy(*order).limit(limit)
     window = Window.partitionBy(*groups).orderBy(*order)
     return rows.withColumn("item", F.row_number().over(window)).where(F.col("item") <= limit)

@@ -592,7 +592,9 @@ def stream_digest(spark: SparkSession, sf: str) -> DataFrame:
 def _stream_records(spark: SparkSession, sf: str) -> DataFrame:
     from litsieve.plans.tables import records_from
 
-    return records_from(_record_stream(spark, sf))
+    # One small file arrives as one partition; spread it over the cores.
+    stream = _record_stream(spark, sf).repartition(spark.sparkContext.defaultParallelism)
+    return records_from(stream)
 
 
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
