@@ -94,19 +94,20 @@ def connected_components(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
             )
         )
         # A finished component is a star: its members see one smaller node and nothing else.
-        unfinished = nodes.where((F.col("below") > 1) | ((F.col("below") == 1) & (F.col("n") > 1)))
-        if unfinished.isEmpty():
+        unfinished = (F.col("below") > 1) | ((F.col("below") == 1) & (F.col("n") > 1))
+        total, largest, open_nodes = nodes.agg(F.sum("n"), F.max("n"), F.count_if(unfinished)).first()
+        if not open_nodes:
             return edges.select(F.col("a").alias("seq"), F.col("b").alias("cluster")).unionByName(
                 nodes.where("below = 0").select(F.col("u").alias("seq"), F.col("u").alias("cluster"))
             )
         larger = (
-            join_on_counted_key(around, nodes, "u", "v")
+            join_on_counted_key(around, nodes, "u", "v", totals=(total, largest))
             .where("v > u")
             .select(F.col("v").alias("a"), F.least("u", "low").alias("b"))
             .distinct()
         )
         larger = durable(larger)
-        smallest = durable(larger.groupBy("a").agg(F.min("b").alias("low"), F.count(F.lit(1)).alias("n")))
+        smallest = larger.groupBy("a").agg(F.min("b").alias("low"), F.count(F.lit(1)).alias("n"))
         smaller = join_on_counted_key(larger, smallest, "a", "b")
         edges = durable(
             smaller.select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))

@@ -25,6 +25,7 @@ def join_on_counted_key(
     spread: str,
     count: str = "n",
     min_hot_rows: int = MIN_HOT_ROWS,
+    totals: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` to a table with one row per key and its row count.
 
@@ -34,7 +35,7 @@ def join_on_counted_key(
     most about a threshold's worth of rows, and no row is dropped.  ``per_key``
     should be durable, since it is read twice.
     """
-    total, largest = per_key.agg(F.sum(count), F.max(count)).first()
+    total, largest = totals or per_key.agg(F.sum(count), F.max(count)).first()
     threshold = max(min_hot_rows, (total or 0) // HOT_SHARE)
     if (largest or 0) <= threshold:
         return rows.join(per_key, key)
