@@ -34,10 +34,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="litsieve-")
-        spark.conf.set("spark.checkpoint.dir", folder)
     if not context.getCheckpointDir():
+        folder = folder or tempfile.mkdtemp(prefix="litsieve-")
         context.setCheckpointDir(folder)
     return folder
 
