@@ -10,6 +10,7 @@ from litsieve.config import MAX_DIMENSION_ROWS
 from litsieve.defaults import TERM_STOP_WORDS
 from litsieve.functions.text import ALPHANUMERICS, SPACES, as_column, squeeze, text_or_empty
 from litsieve.operators.skew import first_rows, sort_position
+from litsieve.session import durable
 
 # Fixed value: a term is one to four words, the first starting with a letter.
 # Word boundaries are spelled out, since the Unicode ones of Java are slow.
@@ -68,7 +69,8 @@ def glossary_candidates(
     counted = occurrences.groupBy("term").agg(
         F.count(F.lit(1)).alias("n"), F.min(sort_position("seq", "pos")).alias("first_seen"), F.min("seq").alias("first_seq")
     )
-    top = (
+    # At most ``limit`` rows, kept because both the examples and the result read them.
+    top = durable(
         counted.join(known, "term", "left_anti")
         .orderBy(F.desc("n"), "first_seen")
         .limit(limit)
