@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,6 +15,8 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Checkpoints that nothing refers to any more are deleted.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Recording a call site for every column expression costs a millisecond each.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **settings,
@@ -27,15 +30,19 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder the cluster names for checkpoints.
+    """Folder that driver and executors share, named by ``spark.checkpoint.dir``.
 
-    A folder of our own is made only where the session names none, which is the
-    case in single-machine tests.
+    On one machine (master ``local[...]``) a missing setting gets a folder of our
+    own.  A cluster must name one: a machine-local folder would scatter the files
+    over the executors.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="litsieve-")
     if not context.getCheckpointDir():
-        folder = folder or tempfile.mkdtemp(prefix="litsieve-")
         context.setCheckpointDir(folder)
     return folder
 
@@ -50,6 +57,27 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like :func:`durable`, as a compressed column table.
+
+    Later reads take single columns, and the planner knows the size on disk.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables written by :func:`stored` that no later step reads."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        conf = df.sparkSession._jsc.hadoopConfiguration()
+        for parent in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(parent)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def evaluate_once(df: DataFrame, **columns) -> DataFrame:
     """Add costly columns behind a one-row generator.
 
