@@ -8,15 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from litsieve.llm.common import table
 from litsieve.llm.minhash import near_duplicates
+from litsieve.llm.mixing import mix, taken_words
+from litsieve.llm.packing import packed_documents
+
+
+def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return taken_words(mix(table(spark, folder, "documents")))
 
 
 def op5_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), threshold=(85, 100))
 
 
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_documents(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_source_mix": op3_source_mix,
         "op5_minmax_dedup": op5_minmax_dedup,
+        "op9_best_fit_packing": op9_best_fit_packing,
     }
 
 
