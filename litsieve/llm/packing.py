@@ -105,8 +105,10 @@ class _Words(_Bounded):
         return b"".join(map(self.__getitem__, words))
 
 
-# One set of caches per worker process and tokenizer; tasks that follow find it warm.
-_words = lru_cache(maxsize=2)(_Words)
+@lru_cache(maxsize=2)
+def _words(path: str) -> _Words:
+    """One set of caches per worker process and tokenizer; tasks that follow find it warm."""
+    return _Words(path)
 
 
 def _pieces(path: str, limit: int, end_id: int, with_ids: bool):
