@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from litsieve.llm.chat import conversation_log, format_log, read_back
 from litsieve.llm.common import table
 from litsieve.llm.minhash import near_duplicates
 from litsieve.llm.mixing import mix, taken_words
 from litsieve.llm.packing import packed_documents
+from litsieve.llm.toxicity import toxicity
 
 
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,11 +26,24 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(table(spark, folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    return read_back(format_log(conversation_log(said.unionByName(planted))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_source_mix": op3_source_mix,
         "op5_minmax_dedup": op5_minmax_dedup,
+        "op8_toxicity": op8_toxicity,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_chat_format": op10_chat_format,
     }
 
 
