@@ -11,6 +11,7 @@ from litsieve.llm.common import table
 from litsieve.llm.minhash import near_duplicates
 from litsieve.llm.mixing import mix, taken_words
 from litsieve.llm.packing import packed_documents
+from litsieve.llm.syncmers import edited_fingerprints
 from litsieve.llm.toxicity import toxicity
 
 
@@ -26,6 +27,10 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(table(spark, folder, "documents"))
 
 
+def op6_closed_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -41,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_source_mix": op3_source_mix,
         "op5_minmax_dedup": op5_minmax_dedup,
+        "op6_closed_syncmers": op6_closed_syncmers,
         "op8_toxicity": op8_toxicity,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_chat_format": op10_chat_format,
