@@ -10,15 +10,27 @@ from litsieve.llm.chat import conversation_log, format_log, read_back
 from litsieve.llm.common import table
 from litsieve.llm.minhash import near_duplicates
 from litsieve.llm.mixing import mix, taken_words
+from litsieve.llm.multi_index import nearest_neighbours
 from litsieve.llm.packing import packed_documents
 from litsieve.llm.syncmers import edited_fingerprints
+from litsieve.llm import url_filter
 from litsieve.llm.toxicity import toxicity
 
 
+def op1_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return taken_words(mix(table(spark, folder, "documents")))
 
 
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return url_filter.judge_urls(pages, url_filter.gambling_list(pages))
+
+
 def op5_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), threshold=(85, 100))
 
@@ -44,7 +56,9 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_multi_index": op1_multi_index,
         "op3_source_mix": op3_source_mix,
+        "op4_url_filter": op4_url_filter,
         "op5_minmax_dedup": op5_minmax_dedup,
         "op6_closed_syncmers": op6_closed_syncmers,
         "op8_toxicity": op8_toxicity,
@@ -54,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_filter": url_filter.ORACLE_SQL}
