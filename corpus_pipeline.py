@@ -4,23 +4,59 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from litsieve.llm.bloom import build_filter, may_be_listed
 from litsieve.llm.minhash import near_duplicates
-from litsieve.session import shared_folder
+from litsieve.llm.mixing import mix, mixed_texts
+from litsieve.llm.packing import packed_documents
+from litsieve.llm.toxicity import fit, toxic_text
+from litsieve.session import shared_folder, stored
 
-# The mix and the packing depend on hashes and on a tokenizer, which SQL cannot express.
+# A classifier, hashed permutations and a tokenizer cannot be written in SQL.
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents whose score stays below the threshold; null and empty texts stay."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return docs.where(~toxic_text(spark, fit(docs, labels))("text"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of near duplicates stays, and one row of each doc_id.
+
+    Only documents that may go are shuffled: a Bloom filter of their ids lets the
+    others pass.
+    """
+    gone = near_duplicates(docs).where("not kept").select("doc_id")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    touched = stored(gone.withColumn("gone", F.lit(True)).unionByName(repeated.withColumn("gone", F.lit(False))))
+    ids = touched.groupBy("doc_id").agg(F.bool_or("gone").alias("gone"))
+    maybe = F.coalesce(may_be_listed(spark, build_filter(ids, "doc_id"))(F.xxhash64("doc_id")) & F.col("doc_id").isNotNull(), F.lit(False))
+    marked = docs.withColumn("__maybe", maybe)
+    others = marked.where("not __maybe").drop("__maybe")
+    checked = marked.where("__maybe").drop("__maybe").join(ids.where("gone"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return others.unionByName(checked.select(docs.columns))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """What the mix takes of every document: a row for each time it is taken, with the taken text."""
+    taken = mixed_texts(mix(docs), docs, ("lang", "source"))
+    text = F.col("mixed_text").alias("text")
+    return taken.select("doc_id", text, "lang", "source", F.char_length("mixed_text").cast("long").alias("n_chars"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences of 2048 tokens."""
+    return packed_documents(docs)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("near-duplicates", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 

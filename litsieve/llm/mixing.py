@@ -71,7 +71,6 @@ def _sides(n: Column) -> tuple[Column, Column]:
 def _step(x: Column, n: Column, key: Column, epoch: Column, backward: bool = False) -> Column:
     """One pass of a Feistel network over the smallest near-square grid that holds n numbers."""
     rows, width = _sides(n)
-    left, right = F.expr("0"), F.expr("0")
     left, right = F.floor(x / width).cast("long"), F.pmod(x, width)
     for i in reversed(range(HALF_ROUNDS)) if backward else range(HALF_ROUNDS):
         sign = -1 if backward else 1
@@ -223,9 +222,10 @@ def taken_words(mixed: Mix) -> DataFrame:
     )
 
 
-def mixed_texts(mixed: Mix, docs: DataFrame) -> DataFrame:
+def mixed_texts(mixed: Mix, docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, epoch, mixed_text``: the taken words of every document, one row per epoch.
 
+    ``carry`` names further columns of ``docs`` to keep.
     A document of which an epoch takes everything keeps its exact text; of others the
     taken words stay with the white space before them.
     """
@@ -233,7 +233,7 @@ def mixed_texts(mixed: Mix, docs: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("ranges"), F.sum("n_words").alias("n")
     )
     named = ranges.join(mixed.documents.select("source_no", "start", "doc_id", "size"), ["source_no", "start"])
-    texts = columns(docs, doc_id="long", text="string").withColumnRenamed("doc_id", "id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text", *carry)
     words = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
     cut = F.array_join(
         F.flatten(F.transform("ranges", lambda r: F.slice(F.col("words"), (r["first_word"] + 1).cast("int"), r["n_words"].cast("int")))), ""
@@ -241,4 +241,4 @@ def mixed_texts(mixed: Mix, docs: DataFrame) -> DataFrame:
     found = named.join(texts, F.col("doc_id") == F.col("id"))
     whole = F.col("n") == F.col("size")
     found = found.withColumn("words", F.when(~whole, words))
-    return found.select("doc_id", "epoch", F.when(whole, F.col("text")).otherwise(F.ltrim(cut)).alias("mixed_text"))
+    return found.select("doc_id", "epoch", F.when(whole, F.col("text")).otherwise(F.ltrim(cut)).alias("mixed_text"), *carry)

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -341,6 +342,17 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     return marked.mapInArrow(run, SCORES)
 
 
+def toxic_text(spark, model: Model):
+    """Column function on texts: whether the score reaches the threshold."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def judged(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.score(text)[0] >= THRESHOLD for text in texts], dtype=bool)
+
+    return judged
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Fit on the labelled rows and score every document."""
     return score_documents(docs, fit(docs, labels))
