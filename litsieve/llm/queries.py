@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from litsieve.llm import revisits, url_filter
 from litsieve.llm.chat import conversation_log, format_log, read_back
 from litsieve.llm.common import table
+from litsieve.llm.licences import licences
 from litsieve.llm.minhash import near_duplicates
 from litsieve.llm.mixing import mix, taken_words
 from litsieve.llm.multi_index import nearest_neighbours
 from litsieve.llm.packing import packed_documents
 from litsieve.llm.syncmers import edited_fingerprints
-from litsieve.llm import url_filter
 from litsieve.llm.toxicity import toxicity
 
 
@@ -22,6 +23,11 @@ def op1_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op2_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    records = revisits.captures(table(spark, folder, "pages"))
+    return revisits.revisit_digest(revisits.resolve_revisits(records))
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return taken_words(mix(table(spark, folder, "documents")))
 
@@ -43,6 +49,10 @@ def op6_closed_syncmers(spark: SparkSession, folder: str) -> DataFrame:
     return edited_fingerprints(table(spark, folder, "documents"))
 
 
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences(table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -57,10 +67,12 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_multi_index": op1_multi_index,
+        "op2_revisits": op2_revisits,
         "op3_source_mix": op3_source_mix,
         "op4_url_filter": op4_url_filter,
         "op5_minmax_dedup": op5_minmax_dedup,
         "op6_closed_syncmers": op6_closed_syncmers,
+        "op7_licences": op7_licences,
         "op8_toxicity": op8_toxicity,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_chat_format": op10_chat_format,
@@ -68,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.ORACLE_SQL}
+    return {"op2_revisits": revisits.ORACLE_SQL, "op4_url_filter": url_filter.ORACLE_SQL}
