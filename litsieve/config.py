@@ -1,8 +1,8 @@
 """Rule sets, source registry and glossary as plain configuration objects.
 
 They are read once on the driver from YAML or JSON and turned into literals or
-small dimension tables.  ``MAX_DIMENSION_ROWS`` bounds what may be broadcast;
-a larger registry is joined by shuffle instead.
+small dimension tables.  Spark knows the bytes of such a table and broadcasts it
+below its own threshold; a larger registry is joined by shuffle.
 """
 
 from __future__ import annotations
@@ -13,12 +13,10 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from litsieve import defaults as d
 
-MAX_DIMENSION_ROWS = 100_000
-
 SOURCE_SCHEMA = (
     "source_id string, enabled boolean, publisher_family string, journal string, "
     "`group` string, publication_stage string, source_strategy string, source_locator array<string>, "
@@ -179,9 +177,7 @@ def sources_from_watchlist(spark: SparkSession, watchlist: Mapping[str, Any]) ->
                 position,
             )
         )
-    if len(rows) > MAX_DIMENSION_ROWS:
-        return spark.createDataFrame(rows, SOURCE_SCHEMA)
-    return F.broadcast(spark.createDataFrame(rows, SOURCE_SCHEMA))
+    return spark.createDataFrame(rows, SOURCE_SCHEMA)
 
 
 def load_sources(spark: SparkSession, path: str | Path) -> DataFrame:

@@ -12,11 +12,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from litsieve.operators.components import connected_components
 from litsieve.operators.normalize import completeness
-from litsieve.operators.skew import join_on_counted_key, small_side
-from litsieve.session import durable
-
-MAX_ROUNDS = 100
+from litsieve.session import release, stored
 
 
 def title_key() -> Column:
@@ -60,67 +58,21 @@ def key_table(records: DataFrame, skip_empty_title: bool = False) -> DataFrame:
 def _links(keys: DataFrame) -> DataFrame:
     """Edges from each record to the first record of every key it shares."""
     pairs = keys.select("seq", F.explode("candidates").alias("key"))
-    shared = durable(
-        pairs.groupBy("key")
-        .agg(F.min("seq").alias("first_seq"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-    )
-    joined = join_on_counted_key(pairs, shared, "key", "seq")
-    return joined.where("seq > first_seq").select(F.col("seq").alias("a"), F.col("first_seq").alias("b")).distinct()
+    # Minima combine before the shuffle; a hot key is split by the adaptive join.
+    first = pairs.groupBy("key").agg(F.min("seq").alias("first_seq"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    joined = pairs.join(first, "key")
+    return joined.where("seq > first_seq").select(F.col("seq").alias("a"), F.col("first_seq").alias("b"))
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select(
-        F.col("e.a").alias("u"), F.col("e.b").alias("v")
-    )
-
-
-def connected_components(links: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Component of every linked node as ``seq`` and ``cluster`` (its smallest node).
-
-    Alternating star contraction: each round first points the larger neighbours
-    of every node at its smallest neighbour, then does the same with the smaller
-    neighbours.  Long chains halve each round.  A node with very many neighbours
-    is cut into pieces by the join, and no neighbour pairs are ever formed.
-    """
-    edges = durable(links)
-    for _ in range(max_rounds):
-        around = _both_ways(edges)
-        nodes = durable(
-            around.groupBy("u").agg(
-                F.min("v").alias("low"),
-                F.count_if(F.col("v") < F.col("u")).alias("below"),
-                F.count(F.lit(1)).alias("n"),
-            )
-        )
-        # A finished component is a star: its members see one smaller node and nothing else.
-        unfinished = (F.col("below") > 1) | ((F.col("below") == 1) & (F.col("n") > 1))
-        total, largest, open_nodes = nodes.agg(F.sum("n"), F.max("n"), F.count_if(unfinished)).first()
-        if not open_nodes:
-            return edges.select(F.col("a").alias("seq"), F.col("b").alias("cluster")).unionByName(
-                nodes.where("below = 0").select(F.col("u").alias("seq"), F.col("u").alias("cluster"))
-            )
-        larger = (
-            join_on_counted_key(around, nodes, "u", "v", totals=(total, largest))
-            .where("v > u")
-            .select(F.col("v").alias("a"), F.least("u", "low").alias("b"))
-            .distinct()
-        )
-        larger = durable(larger)
-        smallest = larger.groupBy("a").agg(F.min("b").alias("low"), F.count(F.lit(1)).alias("n"))
-        smaller = join_on_counted_key(larger, smallest, "a", "b")
-        edges = durable(
-            smaller.select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))
-            .select("e.a", "e.b")
-            .where("a > b")
-            .distinct()
-        )
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+def _clustered(keys: DataFrame) -> DataFrame:
+    """``seq`` and ``cluster`` of the records that share a key with another one."""
+    found = connected_components(_links(keys))
+    return found.select(F.col("node").alias("seq"), F.col("component").alias("cluster"))
 
 
 def clusters(keys: DataFrame) -> DataFrame:
     """``seq`` and ``cluster`` for every record; a record without partner is its own cluster."""
-    linked = connected_components(_links(keys))
+    linked = _clustered(keys)
     return keys.select("seq").join(linked, "seq", "left").select(
         "seq", F.coalesce("cluster", "seq").alias("cluster")
     )
@@ -140,16 +92,14 @@ def losers(keys: DataFrame) -> DataFrame:
     The best record has most filled columns, then the earliest publish text
     (undated sorts first), then the lowest position.
     """
-    members = durable(connected_components(_links(keys)).join(keys.drop("candidates"), "seq"))
-    best = durable(
-        members.groupBy("cluster").agg(
-            F.min(F.struct((-F.col("score")).alias("s"), "published_at", "seq"))["seq"].alias("best_seq"),
-            F.min_by("dedupe_key", "seq").alias("duplicate_of"),
-            F.count(F.lit(1)).alias("n"),
-        )
+    members = stored(_clustered(keys).join(keys.drop("candidates"), "seq"))
+    best = members.groupBy("cluster").agg(
+        F.min(F.struct((-F.col("score")).alias("s"), "published_at", "seq"))["seq"].alias("best_seq"),
+        F.min_by("dedupe_key", "seq").alias("duplicate_of"),
     )
     return (
-        join_on_counted_key(members.select("seq", "cluster"), best, "cluster", "seq")
+        members.select("seq", "cluster")
+        .join(best, "cluster")
         .where(F.col("seq") != F.col("best_seq"))
         .select("seq", "duplicate_of")
     )
@@ -159,12 +109,14 @@ def resolve_duplicates(records: DataFrame, skip_empty_title: bool = False) -> Re
     """Split records into survivors and duplicates.
 
     Only the narrow key table takes part in the iteration.  The wide records are
-    read twice: once for their keys, once for the final joins on ``seq``, which
-    need no shuffle of the records while the duplicates are few.
+    read twice: once for their keys, once for the final joins on ``seq``.  The
+    duplicates are stored, so Spark knows their bytes and broadcasts them only
+    below its own threshold; the anti join reads their ``seq`` alone.
     """
-    keys = durable(key_table(records, skip_empty_title))
-    gone = small_side(durable(losers(keys)))
+    keys = stored(key_table(records, skip_empty_title))
+    gone = stored(losers(keys))
+    release(keys)
     return Resolution(
-        survivors=records.join(gone, "seq", "left_anti"),
+        survivors=records.join(gone.select("seq"), "seq", "left_anti"),
         duplicates=records.join(gone, "seq"),
     )

@@ -1,4 +1,4 @@
-"""Joins and ranks that stay even when one key holds much of the data."""
+"""Ranks, first rows and counts that stay even when one key holds much of the data."""
 
 from __future__ import annotations
 
@@ -6,59 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from litsieve.session import durable
-
-# A key counts as hot when it holds more than one part in HOT_SHARE of the rows,
-# so there are fewer than HOT_SHARE hot keys: that bounds the broadcast table.
-HOT_SHARE = 500
-MIN_HOT_ROWS = 50_000
-# Narrow rows of a key and a short text; some tens of megabytes at most.
-MAX_BROADCAST_ROWS = 200_000
-# Below this many rows one sort task is cheaper than a sampled range split.
-SINGLE_SORT_ROWS = 50_000
-
-
-def join_on_counted_key(
-    rows: DataFrame,
-    per_key: DataFrame,
-    key: str,
-    spread: str,
-    count: str = "n",
-    min_hot_rows: int = MIN_HOT_ROWS,
-    totals: tuple[int, int] | None = None,
-) -> DataFrame:
-    """Inner join of ``rows`` to a table with one row per key and its row count.
-
-    Hot keys are cut into as many pieces as they hold multiples of the hot
-    threshold: their rows get a piece number from a hash of ``spread`` and their
-    single right row is repeated once per piece.  Every join task then gets at
-    most about a threshold's worth of rows, and no row is dropped.  ``per_key``
-    should be durable, since it is read twice.
-    """
-    total, largest = totals or per_key.agg(F.sum(count), F.max(count)).first()
-    threshold = max(min_hot_rows, (total or 0) // HOT_SHARE)
-    if (largest or 0) <= threshold:
-        return rows.join(per_key, key)
-    pieces = F.ceil(F.col(count) / F.lit(threshold)).cast("int")
-    hot = per_key.where(F.col(count) > threshold).select(key, pieces.alias("pieces"))
-    cut_rows = (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn(
-            "piece", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread), F.col("pieces")))
-        )
-        .drop("pieces")
-    )
-    last = F.when(F.col(count) > threshold, pieces - 1).otherwise(0)
-    cut_keys = per_key.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
-    return cut_rows.withColumn("piece", F.col("piece").cast("int")).join(cut_keys, [key, "piece"]).drop("piece")
-
-
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a narrow, durable table once its row count proves it small.
-
-    Beyond the bound the join stays a shuffle join.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
+from litsieve.operators.positions import with_rank
 
 
 def rank_rows(
@@ -67,69 +15,18 @@ def rank_rows(
     groups: Sequence[str] = (),
     row_id: str = "seq",
     name: str = "rank",
-    single_sort_rows: int = SINGLE_SORT_ROWS,
     ranges: int | None = None,
 ) -> DataFrame:
     """Exact row numbers within ``groups`` (none: over everything).
 
     Returns ``row_id``, the groups and the rank.  ``order`` sorts ascending and
-    must end in something unique.  Large inputs are cut into even ranges by cut
-    points taken from a small sample of the sort keys; each range is numbered in
-    its own task and shifted by the rows of the ranges before it.  A group that
-    holds a third of the rows is so spread over a third of the tasks, and a
-    global order needs no single sort task.
+    must end in something unique.  Only these narrow columns are sorted, in one
+    range-partitioned pass.
     """
     columns = [f"o{i}" for i in range(len(order))]
-    keys = durable(
-        rows.select(row_id, *groups, *(column.alias(name_) for column, name_ in zip(order, columns)))
-    )
-    n_rows = keys.count()
-    if n_rows <= single_sort_rows:
-        window = Window.partitionBy(*groups).orderBy(*columns)
-        return keys.select(row_id, *groups, F.row_number().over(window).cast("bigint").alias(name))
-
-    ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sort_key = F.struct(*groups, *columns)
-    cuts = _cut_points(keys.select(sort_key.alias("k")), n_rows, ranges)
-    if cuts:
-        types = [field.dataType for field in keys.select(*groups, *columns).schema]
-        literals = F.array(
-            *(
-                F.struct(*(F.lit(v).cast(t).alias(c) for v, t, c in zip(cut, types, (*groups, *columns))))
-                for cut in cuts
-            )
-        )
-        part = F.size(F.filter(literals, lambda cut: cut <= sort_key))
-    else:
-        part = F.lit(0)
-    parted = keys.withColumn("part", part)
-    # One row per (group, range): at most the number of groups plus ranges.
-    before = Window.partitionBy(*groups).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        parted.groupBy(*groups, "part")
-        .count()
-        .select(*groups, "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-    )
-    inside = Window.partitionBy(*groups, "part").orderBy(*columns)
-    numbered = parted.withColumn("local_rank", F.row_number().over(inside))
-    # Group values travel in a struct, so null groups find their start too.
-    place = F.struct(F.lit(0).alias("z"), *groups, "part")
-    starts = starts.select(place.alias("place"), "start")
-    return (
-        numbered.withColumn("place", place)
-        .join(starts, "place")
-        .select(row_id, *groups, (F.col("start") + F.col("local_rank")).alias(name))
-    )
-
-
-def _cut_points(keys: DataFrame, n_rows: int, ranges: int) -> list:
-    """Sort keys that cut the rows into about even ranges, from a bounded sample."""
-    wanted = 40 * ranges
-    step = max(1, n_rows // wanted)
-    sampled = keys.where(F.pmod(F.xxhash64("k"), F.lit(step)) == 0).limit(4 * wanted)
-    ordered = [tuple(row["k"]) for row in sampled.orderBy("k").collect()]
-    picks = sorted({len(ordered) * i // ranges for i in range(1, ranges)})
-    return list(dict.fromkeys(ordered[i] for i in picks if i < len(ordered)))
+    keys = rows.select(row_id, *groups, *(column.alias(c) for column, c in zip(order, columns)))
+    ranked = with_rank(keys, [F.col(c) for c in columns], groups, name, ranges)
+    return ranked.select(row_id, *groups, name)
 
 
 def sort_position(seq: str, pos: str | None = None, part: str | None = None) -> Column:

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from litsieve.config import MAX_DIMENSION_ROWS
 from litsieve.defaults import TERM_STOP_WORDS
 from litsieve.functions.text import ALPHANUMERICS, SPACES, as_column, squeeze, text_or_empty
 from litsieve.operators.skew import first_rows, sort_position
@@ -61,9 +60,7 @@ def glossary_candidates(
     occurrences = term_occurrences(records, stop_words)
     spark = records.sparkSession
     if not isinstance(known_terms, DataFrame):
-        terms = list(known_terms)
-        known = spark.createDataFrame([(t,) for t in terms], "term string")
-        known = F.broadcast(known) if len(terms) <= MAX_DIMENSION_ROWS else known
+        known = spark.createDataFrame([(t,) for t in known_terms], "term string")
     else:
         known = known_terms.select("term").distinct()
     counted = occurrences.groupBy("term").agg(

@@ -166,7 +166,7 @@ def test_last_decision_wins(spark):
 def test_review_rows_sort_after_kept(spark):
     rows = reviewed(spark, [base(1, "older kept", published="2025-01-01T00:00:00Z"), base(2, "newer", "other")])
     done = reviews.review(rows, DigestRules())
-    for options in ({}, {"single_sort_rows": 0, "ranges": 2}):
+    for options in ({}, {"ranges": 2}):
         ranks = display.digest_order(done, DigestRules().display, **options)
         assert {r.seq: r.digest_rank for r in ranks.collect()} == {1: 1, 2: 2}
 

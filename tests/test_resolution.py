@@ -3,7 +3,8 @@ import random
 from pyspark.sql import functions as F
 
 from litsieve.operators import skew
-from litsieve.operators.dedupe import clusters, connected_components, key_table, resolve_duplicates
+from litsieve.operators.components import connected_components
+from litsieve.operators.dedupe import clusters, key_table, resolve_duplicates
 from litsieve.operators.normalize import normalize_records
 
 RAW = "seq bigint, source_id string, journal string, title string, link string, doi string, published string, abstract string"
@@ -63,17 +64,7 @@ def test_components_match_union_find(spark):
     edges = chain + hub + loose
     rng.shuffle(edges)
     found = connected_components(spark.createDataFrame(edges, "a bigint, b bigint").distinct())
-    assert {r.seq: r.cluster for r in found.collect()} == union_find(edges)
-
-
-def test_hot_key_join_keeps_every_row(spark):
-    rows = spark.range(3000).select(
-        F.col("id").alias("seq"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key")
-    )
-    per_key = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("low"))
-    plain = rows.join(per_key, "key").select("seq", "key", "n", "low")
-    split = skew.join_on_counted_key(rows, per_key, "key", "seq", min_hot_rows=100).select("seq", "key", "n", "low")
-    assert sorted(split.collect()) == sorted(plain.collect())
+    assert {r.node: r.component for r in found.collect()} == union_find(edges)
 
 
 def test_rank_over_ranges(spark):
@@ -82,7 +73,7 @@ def test_rank_over_ranges(spark):
     rows = spark.createDataFrame(data, "seq bigint, g string, x int, y string")
     order = [F.col("x"), F.col("y"), F.col("seq")]
     for groups in ([], ["g"]):
-        ranks = skew.rank_rows(rows, order, groups, single_sort_rows=0, ranges=7)
+        ranks = skew.rank_rows(rows, order, groups, ranges=7)
         expected = {}
         seen = {}
         for seq, g, x, y in sorted(data, key=lambda r: (r[2], r[3], r[0])):
