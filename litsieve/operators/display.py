@@ -11,6 +11,7 @@ from litsieve.config import DisplayRules
 from litsieve.functions.dates import date_label, parse_datetime
 from litsieve.functions.keywords import contains_any, found_terms, hits_among, present_runs
 from litsieve.functions.text import author_line, constant_map, first_filled, label_for, list_text, snippet, text_or_empty
+from litsieve.operators.positions import with_rank
 from litsieve.operators.skew import rank_rows
 from litsieve.session import durable, evaluate_once
 
@@ -139,7 +140,7 @@ def journal_groups(keyed: DataFrame, rules: DisplayRules, stage: Sequence[str] =
         F.bool_or(F.col("k_plant") == 0).alias("any_plant"),
         F.bool_and(deferred).alias("all_deferred"),
         F.min_by("journal", F.struct(*DISPLAY_KEYS)).alias("best_journal"),
-        F.max_by("journal", "seq").alias("group_label"),
+        F.max_by("journal", F.struct(*DISPLAY_KEYS)).alias("group_label"),
     )
     return grouped.select(
         *stage,
@@ -168,13 +169,12 @@ def stage_rank() -> Column:
     return F.when(stage == "journal", 0).when(stage == "preprint", 1).otherwise(2)
 
 
-def digest_order(records: DataFrame, rules: DisplayRules, grouping: str | None = None, **options) -> DataFrame:
-    """``seq`` and ``digest_rank``: the row order of the exported digest.
+def _digest_keys(rules: DisplayRules, grouping: str | None) -> list[Column]:
+    """Sort keys of the exported digest for records with display keys.
 
     The group key is computed on the single record, so records under review come
     after all kept records of their stage, whatever their source.
     """
-    keyed = with_display_keys(records, rules)
     stage = F.coalesce(F.col("publication_stage"), F.lit("journal"))
     stage_key = F.when(stage == "journal", 0).when(stage == "preprint", 1).otherwise(9)
     if (grouping or rules.grouping_mode) == "journal":
@@ -188,9 +188,20 @@ def digest_order(records: DataFrame, rules: DisplayRules, grouping: str | None =
         order = F.array(*(F.lit(b) for b in BUCKETS))
         group_key = [F.array_position(order, display_bucket(rules)).cast("int"), F.lit(0), F.lit(0)]
     journal = F.lower(text_or_empty("journal"))
-    return rank_rows(
-        keyed, [stage_key, *group_key, journal, *_columns(DISPLAY_KEYS)], name="digest_rank", **options
-    )
+    return [stage_key, *group_key, journal, *_columns(DISPLAY_KEYS)]
+
+
+def digest_order(records: DataFrame, rules: DisplayRules, grouping: str | None = None, **options) -> DataFrame:
+    """``seq`` and ``digest_rank``: the row order of the exported digest."""
+    keyed = with_display_keys(records, rules)
+    return rank_rows(keyed, _digest_keys(rules, grouping), name="digest_rank", **options)
+
+
+def in_digest_order(records: DataFrame, rules: DisplayRules, grouping: str | None = None) -> DataFrame:
+    """``records`` with their ``digest_rank``, in one sorted pass that carries all columns."""
+    keyed = with_display_keys(records, rules)
+    added = [c for c in keyed.columns if c not in records.columns]
+    return with_rank(keyed, _digest_keys(rules, grouping), name="digest_rank").drop(*added)
 
 
 def priority_groups(records: DataFrame, rules: DisplayRules, **options) -> DataFrame:

@@ -61,3 +61,24 @@ def expired_days(days: DataFrame, today: Column, retention_days: int = 30, name:
         F.col(name).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col(name).try_cast("date")
     )
     return days.where(day.isNotNull() & (day <= F.date_sub(today, retention_days)))
+
+
+def kept_days(days: DataFrame, today: Column, retention_days: int = 30, name: str = "day_name") -> DataFrame:
+    """Archive days that the retention leaves: later days, and names that are no dates."""
+    return days.join(expired_days(days, today, retention_days, name).select(name).distinct(), name, "left_anti")
+
+
+def apply_retention(spark, path: str, today: Column, retention_days: int = 30, date_column: str = "digest_date") -> DataFrame:
+    """Delete the expired days of an archive and return the days that stay.
+
+    Days are folders, so nothing is rewritten; only the list of days reaches the driver.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(conf)
+    names = [entry.getPath().getName() for entry in files.listStatus(root) if entry.isDirectory()]
+    prefix = f"{date_column}="
+    days = spark.createDataFrame([(n.removeprefix(prefix),) for n in names if n.startswith(prefix)], "day_name string")
+    for row in expired_days(days, today, retention_days).collect():
+        files.delete(jvm.org.apache.hadoop.fs.Path(root, prefix + row["day_name"]), True)
+    return kept_days(days, today, retention_days)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from litsieve.config import DigestRules, Glossary
 from litsieve.operators.classify import classify
 from litsieve.operators.dedupe import resolve_duplicates
-from litsieve.operators.display import digest_order, with_publish_date
+from litsieve.operators.display import in_digest_order, with_publish_date
 from litsieve.operators.localization import localize, localize_by_template
 from litsieve.operators.normalize import normalize_records, publish_time
 from litsieve.operators.providers import CallPolicy
@@ -100,15 +100,13 @@ def run_digest(
 def digest_table(run: DigestRun, rules: DigestRules, grouping: str | None = None) -> DataFrame:
     """Export rows of the digest with ``digest_rank``."""
     records = with_publish_date(run.localized)
-    ranks = digest_order(records, rules.display, grouping)
-    return export_rows(records.join(ranks, "seq"), rules.digest_columns, ["digest_rank"])
+    return export_rows(in_digest_order(records, rules.display, grouping), rules.digest_columns, ["digest_rank"])
 
 
 def review_table(run: DigestRun, rules: DigestRules, grouping: str | None = None) -> DataFrame:
     """Export rows of the review queue with ``digest_rank``."""
     queue = with_publish_date(run.final.where(route() == "review"))
-    ranks = digest_order(queue, rules.display, grouping)
-    return export_rows(queue.join(ranks, "seq"), rules.review_columns, ["digest_rank"])
+    return export_rows(in_digest_order(queue, rules.display, grouping), rules.review_columns, ["digest_rank"])
 
 
 def write_digest(

@@ -7,13 +7,24 @@ ranks.
 
 from __future__ import annotations
 
+import re
+
 from litsieve.config import DisplayRules
 from litsieve.defaults import CATEGORY_LABELS
-from litsieve.functions.keywords import takes_plural
-from litsieve.operators.review import OUTCOMES
 from litsieve.plans.queries import AS_OF, WINDOW_END, WINDOW_START
 from litsieve.plans.tables import PROSE_GLOSSARY, PROSE_RULES, PROSE_TOKENS
 
+# Decision, confidence and reason of each branch of the built-in reviewer (fixed values).
+OUTCOMES = {
+    1: ("reject", 0.95, "editorial or correction item is outside the digest scope"),
+    2: ("reject", 0.9, "profile, viewpoint, or Q&A item is outside the digest scope"),
+    3: ("reject", 0.88, "topic appears outside the intended biology scope"),
+    4: ("keep", 0.83, "biology relevance is clear even though rule-based category remained other"),
+    5: ("review", 0.62, "relevance or category remains ambiguous after rule-based classification"),
+    6: ("keep", 0.82, "preprint is biology-relevant but should remain marked as preprint"),
+    7: ("keep", 0.92, "rule-based filtering and category assignment are consistent with biology scope"),
+}
+
 R = PROSE_RULES.relevance
 V = PROSE_RULES.review
 D: DisplayRules = PROSE_RULES.display
@@ -54,7 +65,8 @@ def iso(x: str) -> str:
 def keyword_test(text: str, keyword: str) -> str:
     key = keyword.lower()
     body = "".join(r"\s+" if ch == " " else "\\" + ch if not ch.isalnum() else ch for ch in key)
-    if takes_plural(key):
+    # A single word of three or more characters that starts with a letter may carry a plural s.
+    if re.fullmatch("[a-z][a-z0-9-]{2,}", key) and key[-1] != "s":
         body += "s?"
     return f"regexp_matches({text}, {q(f'(^|[^a-z0-9]){body}($|[^a-z0-9])')})"
 
@@ -98,7 +110,7 @@ raw AS (
     CASE WHEN lang = 'fr' THEN '' WHEN lang = 'es' THEN 'doi: 10.1000/' || upper(md5(text))
          ELSE 'https://doi.org/10.1000/' || md5(text) END AS doi,
     [lang, source, ' ', upper(lang)] AS tags,
-    list_slice(string_split(split_part(text, chr(10), 1), ' '), 1, 8) AS authors,
+    string_split(split_part(text, chr(10), 1), ' ') AS authors,
     source, lang, n_chars
   FROM documents)"""
 
@@ -451,19 +463,33 @@ def oracle_sql() -> dict[str, str]:
           SELECT source_id, journal, "group", locator_pos, 'https://feeds.example.org/' || source_id || '/' || lang AS url
           FROM registry JOIN langs USING (source_id)
           WHERE enabled AND source_id IN ('src1', 'src2', 'src5', 'src10', 'src14')"""),
-        "skip_front_matter": sql([RAW], "SELECT seq, title FROM raw WHERE lower(trim(title)) NOT IN ('haanth.', 'nt onor. the of it.')"),
+        "skip_front_matter": sql([RAW], "SELECT seq, split_part(title, ' ', 1) AS title FROM raw WHERE lower(trim(split_part(title, ' ', 1))) NOT IN ('the', 'on', 'de', 'der', 'la')"),
         "route_counts": sql([*TO_REVIEWED, FINAL], "SELECT final_decision AS route, count(*) AS n FROM final GROUP BY 1"),
         "digest_export": sql(TO_KEYED, f"""
           SELECT {_digest_rank()} AS digest_rank, journal, published_at AS publish_date, publication_stage, category, title_en,
             title_en AS title_zh, array_to_string(authors, ', ') AS authors, '' AS summary_zh, abstract, doi, article_url,
             array_to_string(tags, ', ') AS tags FROM shown"""),
-        "review_export": sql(TO_PROVIDED, """
-          SELECT seq, journal, published_at AS publish_date, publication_stage, category, title_en, llm_decision,
+        "review_export": sql(TO_KEYED, f"""
+          SELECT {_digest_rank()} AS digest_rank, journal, published_at AS publish_date, publication_stage, category, title_en, llm_decision,
             llm_confidence::VARCHAR AS llm_confidence, llm_reason, relevance_reason, doi, article_url,
-            array_to_string(tags, ', ') AS tags FROM provided WHERE final_decision = 'review'"""),
+            array_to_string(tags, ', ') AS tags FROM keyed WHERE final_decision = 'review'"""),
         "archive_retention": f"""
           SELECT DISTINCT {days} AS day_name FROM orders
           WHERE o_orderpriority <> '1-URGENT' AND o_orderdate::DATE <= DATE '1995-06-30' - 30""",
+        "archive_kept": f"""
+          SELECT DISTINCT {days} AS day_name FROM orders
+          WHERE o_orderpriority = '1-URGENT' OR o_orderdate::DATE > DATE '1995-06-30' - 30""",
+        "acquire_records": sql([RAW, """
+items AS (SELECT source_id, seq // 1000 AS page, row_number() OVER (PARTITION BY source_id, seq // 1000 ORDER BY seq) - 1 AS item_pos,
+  trim(title) AS title FROM raw),
+addr AS (SELECT DISTINCT source_id, page, side, 'https://feeds.example.org/' || source_id || '/' || page || '/' || side AS url,
+  substr(source_id, 4)::INT AS number FROM items, (VALUES ('a'), ('b')) AS s(side)),
+pos AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY url) - 1 AS p, count(*) OVER (PARTITION BY source_id) AS c FROM addr),
+loc AS (SELECT *, CASE WHEN number % 2 = 1 THEN c - 1 - p ELSE p END AS locator_pos FROM pos
+  WHERE number <> 10 AND NOT (number % 7 = 3 AND side = 'a'))"""], """
+          SELECT (number * 10000 + locator_pos) * 100000000 + item_pos AS seq, source_id, url AS source_url, title,
+            '2024-06-01T00:00:00Z' AS fetched_at FROM items JOIN loc USING (source_id, page)
+          QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY locator_pos, item_pos) <= 30"""),
         "digest_sections": sql([*TO_KEYED, f"""
 visible AS (SELECT s.*, publication_stage AS stage FROM shown s WHERE NOT {HIDDEN})""", groups("visible", "stage")], f"""
           SELECT v.seq, CASE v.stage WHEN 'journal' THEN 0 ELSE 1 END AS stage_rank, v.stage,
@@ -591,7 +617,7 @@ seen AS (SELECT part, seq, title_en, i, token FROM pool JOIN (VALUES {tokens}) A
         "glossary_trace": _trace(),
         "summary_text": "SELECT doc_id, " + _leading("replace(replace(text, '. ', '。'), ', ', '! ')") + " AS summary FROM documents",
         "sentence_cap": "SELECT conv_id, turn, " + _cap("replace(replace(text, '. ', '。'), ', ', '? ')", 4) + " AS capped FROM conversations",
-        "template_summary": sql(ONLY_CLASSES, f"SELECT seq, {_template(labels, "CASE WHEN length(abstract) > 400 THEN abstract ELSE '' END")} AS summary_zh FROM classified"),
+        "template_summary": sql(ONLY_CLASSES, f"SELECT seq, {_template(labels, "CASE WHEN publication_stage = 'preprint' THEN '' ELSE abstract END")} AS summary_zh FROM classified"),
         "review_payload": "SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.k') AS deep, NULL::VARCHAR AS missing FROM events",
         "localize": sql([RAW, NORM], f"SELECT seq, {_translated(q('译:'))} FROM norm"),
         "localize_fallback": sql([RAW, NORM], "SELECT seq, " + _translated("CASE WHEN length(title_en) > 600 OR length(abstract) > 600 THEN '再译:' ELSE '译:' END") + " FROM norm"),
@@ -604,6 +630,7 @@ marked AS (SELECT n.*, CASE WHEN title_en IN (SELECT t FROM en) AND abstract IN
           FROM (SELECT seq, journal, publication_stage, title_en, abstract, mark, {_translated('mark')} FROM marked)"""),
         "stream_digest": sql(TO_REVIEWED, "SELECT seq, relevance_status, category, llm_confidence, final_decision FROM reviewed"),
         "stream_dedupe": sql([RAW, NORM], f"SELECT DISTINCT {DKEY} AS dedupe_key FROM norm WHERE published_at <> ''"),
+        "stream_undated": sql([RAW, NORM], "SELECT source_id, count(*) AS n FROM norm WHERE published_at = '' GROUP BY 1"),
     }
 
 

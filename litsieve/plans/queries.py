@@ -36,10 +36,11 @@ from litsieve.plans.tables import (
     raw_records,
     registry,
     table,
+    records_from,
 )
 from litsieve.schemas import NORMALIZED_COLUMNS
 from litsieve.session import durable, shared_folder
-from litsieve.sources.dispatch import limit_per_source
+from litsieve.sources.dispatch import acquire, limit_per_source
 from litsieve.sources.feeds import read_feeds, skip_front_matter
 from litsieve.sources.listings import listing_links, page_links
 from litsieve.sources.records import scan_records as scan_json, filled_decisions
@@ -130,6 +131,36 @@ def _feed(form: str) -> Query:
     return query
 
 
+def acquire_records(spark: SparkSession, sf: str) -> DataFrame:
+    """First 30 records of each enabled source from its two addresses, in listed order.
+
+    The second address is listed first for every other source, each source has one
+    address without a payload, and one payload in seven is cut off.
+    """
+    feeds = feed_payloads(spark, sf, "rss").select("source_id", "url", F.col("payload").alias("whole"))
+    number = F.col("source_id").substr(4, 9).cast("int")
+    half = F.floor(F.length("whole") / 2).cast("int")
+    two = feeds.select(
+        "source_id",
+        F.inline(
+            F.array(
+                F.struct(F.concat("url", F.lit("/a")).alias("url"), F.when(number % 7 == 3, F.left("whole", half)).otherwise(F.col("whole")).alias("payload")),
+                F.struct(F.concat("url", F.lit("/b")).alias("url"), F.col("whole").alias("payload")),
+            )
+        ),
+    )
+    known = two.groupBy("source_id").agg(F.array_sort(F.collect_set("url")).alias("urls"))
+    listed = F.when(number % 2 == 1, F.reverse("urls")).otherwise(F.col("urls"))
+    sources = known.select(
+        "source_id", (number != 10).alias("enabled"), F.concat(F.lit("Journal "), "source_id").alias("journal"),
+        F.lit("family").alias("publisher_family"), F.lit("general").alias("group"), F.lit("journal").alias("publication_stage"),
+        F.lit("official_feed_or_toc").alias("source_strategy"),
+        F.concat(listed, F.array(F.lit("https://nowhere.example.org/"))).alias("source_locator"), number.alias("position"),
+    )
+    got = acquire(two.select("url", "payload"), None, None, F.lit("2024-06-01T00:00:00Z"), 30, sources=choose_sources(sources))
+    return got.records.select("seq", "source_id", "source_url", "title", "fetched_at")
+
+
 def html_links(spark: SparkSession, sf: str) -> DataFrame:
     links = page_links(table(spark, sf, "pages"))
     return links.select("page_id", "link_pos", "href", "link_text")
@@ -146,8 +177,9 @@ def select_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def skip_front_matter_query(spark: SparkSession, sf: str) -> DataFrame:
-    records = skip_front_matter(raw_records(spark, sf), ("haanth.", "nt onor. the of it."))
-    return records.select("seq", "title")
+    # Titles are cut to their first word, so that listed ones occur.
+    raw = raw_records(spark, sf).withColumn("title", F.substring_index("title", " ", 1))
+    return skip_front_matter(raw, ("the", "on", "de", "der", "la")).select("seq", "title")
 
 
 # --- filters and windows -----------------------------------------------------
@@ -255,7 +287,8 @@ def sentence_cap(spark: SparkSession, sf: str) -> DataFrame:
 
 def template_summary_query(spark: SparkSession, sf: str) -> DataFrame:
     records = classify_records(_normalized(spark, sf), PROSE_RULES)
-    shown = records.withColumn("abstract", F.when(F.length("abstract") > 400, F.col("abstract")).otherwise(""))
+    # Preprints come without an abstract here, so that both forms of the summary occur.
+    shown = records.withColumn("abstract", F.when(F.col("publication_stage") == "preprint", "").otherwise(F.col("abstract")))
     labels = {"romance": "罗曼", "germanic": "日耳曼", "other": "其他"}
     return shown.select("seq", template_summary(labels).alias("summary_zh"))
 
@@ -551,21 +584,29 @@ def digest_export(spark: SparkSession, sf: str) -> DataFrame:
     records = display.with_publish_date(_shown(spark, sf)).withColumns(
         {"title_zh": F.col("title_en"), "summary_zh": F.lit("")}
     )
-    ranks = display.digest_order(records, PROSE_RULES.display)
-    return sinks.export_rows(records.join(ranks, "seq"), PROSE_RULES.digest_columns, ["digest_rank"])
+    ranked = display.in_digest_order(records, PROSE_RULES.display)
+    return sinks.export_rows(ranked, PROSE_RULES.digest_columns, ["digest_rank"])
 
 
 def review_export(spark: SparkSession, sf: str) -> DataFrame:
     queue = display.with_publish_date(_provided(spark, sf).where(routing.route() == "review"))
-    return sinks.export_rows(queue, PROSE_RULES.review_columns, ["seq"])
+    ranked = display.in_digest_order(queue, PROSE_RULES.display)
+    return sinks.export_rows(ranked, PROSE_RULES.review_columns, ["digest_rank"])
 
 
-def archive_retention(spark: SparkSession, sf: str) -> DataFrame:
+def _archive_days(spark: SparkSession, sf: str) -> DataFrame:
     """Order days as archive days; names with an urgent priority are no dates."""
-    days = table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("latest")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day_name")
     ).distinct()
-    return sinks.expired_days(days, F.lit("1995-06-30").cast("date"), 30)
+
+
+def archive_retention(spark: SparkSession, sf: str) -> DataFrame:
+    return sinks.expired_days(_archive_days(spark, sf), F.lit("1995-06-30").cast("date"), 30)
+
+
+def archive_kept(spark: SparkSession, sf: str) -> DataFrame:
+    return sinks.kept_days(_archive_days(spark, sf), F.lit("1995-06-30").cast("date"), 30)
 
 
 # --- streaming ---------------------------------------------------------------
@@ -590,23 +631,28 @@ def stream_digest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_records(spark: SparkSession, sf: str) -> DataFrame:
-    from litsieve.plans.tables import records_from
+    return records_from(_record_stream(spark, sf))
 
-    # One small file arrives as one partition; spread it over the cores.
-    stream = _record_stream(spark, sf).repartition(spark.sparkContext.defaultParallelism)
-    return records_from(stream)
+
+def _deduped(spark: SparkSession, sf: str) -> str:
+    """Folder of a stream of ``documents`` that landed in five files, one per micro-batch."""
+    folder = _folder(spark)
+    docs = table(spark, sf, "documents", spread_text=False)
+    docs.repartitionByRange(5, "doc_id").write.parquet(f"{folder}/in")
+    stream = runs.read_landed(spark, f"{folder}/in", docs.schema, "parquet", files_per_batch=1)
+    runs.start_dedupe(normalize_records(records_from(stream)), folder).awaitTermination()
+    return folder
 
 
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct primary keys of the dated records of a stream."""
-    folder = _folder(spark)
-    unique = runs.dedupe_stream(normalize_records(_stream_records(spark, sf))).select("dedupe_key")
-    query = (
-        unique.writeStream.format("parquet").option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(unique.schema).parquet(f"{folder}/out")
+    return spark.read.schema("dedupe_key string").parquet(f"{_deduped(spark, sf)}/records")
+
+
+def stream_undated(spark: SparkSession, sf: str) -> DataFrame:
+    """Records without a date, which the stream sets aside, by source."""
+    rows = spark.read.schema("source_id string").parquet(f"{_deduped(spark, sf)}/undated")
+    return rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def queries() -> dict[str, Query]:
@@ -623,6 +669,8 @@ def queries() -> dict[str, Query]:
         "digest_export": digest_export,
         "review_export": review_export,
         "archive_retention": archive_retention,
+        "archive_kept": archive_kept,
+        "acquire_records": acquire_records,
         "digest_sections": digest_sections,
         "review_sections": review_sections,
         "card_fields": card_fields,
@@ -684,4 +732,5 @@ def queries() -> dict[str, Query]:
         "translation_memory": translation_memory,
         "stream_digest": stream_digest,
         "stream_dedupe": stream_dedupe,
+        "stream_undated": stream_undated,
     }

@@ -136,7 +136,7 @@ def records_from(docs: DataFrame) -> DataFrame:
             other=F.concat(F.lit("https://doi.org/10.1000/"), digest),
         ).alias("doi"),
         F.array("lang", "source", F.lit(" "), F.upper("lang")).alias("tags"),
-        F.slice(F.split(title, " "), 1, 8).alias("authors"),
+        F.split(title, " ").alias("authors"),
         F.lit("").alias("fetched_at"),
     )
 

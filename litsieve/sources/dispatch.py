@@ -13,6 +13,7 @@ from litsieve.functions.text import text_or_empty
 from litsieve.operators.windows import ingest_filter
 from litsieve.sources.feeds import read_feeds, skip_front_matter, split_payloads
 from litsieve.sources.listings import read_listings
+from litsieve.sources.registry import source_locators
 
 
 @dataclass(frozen=True)
@@ -39,7 +40,7 @@ LISTING_STRATEGY = "official_toc"
 def read_payloads(
     payloads: DataFrame, rules: Sequence[ListingRule] = LISTING_RULES
 ) -> tuple[DataFrame, DataFrame]:
-    """Records, and the payloads nothing could read.
+    """Records, and the payloads nothing could read: broken ones and pages no rule covers.
 
     Listing sources go to the listing reader.  All others are read as XML, and
     those that are not well-formed fall back to the listing reader of their
@@ -56,7 +57,7 @@ def read_payloads(
             read_listings(chosen, rule.href_contains, rule.min_chars, rule.stop_texts)
         )
         taken = taken | rule.covers()
-    return records, broken.where(~taken)
+    return records, pages.where(~taken)
 
 
 def limit_per_source(
@@ -85,6 +86,31 @@ def stamp(records: DataFrame, fetched_at: Column) -> DataFrame:
     )
 
 
+# Digits of a position in a feed, and of an address of a source, in ``seq``.
+ITEM_DIGITS, LOCATOR_DIGITS = 8, 4
+
+
+def with_locators(payloads: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Payloads of the selected sources with ``source_pos`` and ``locator_pos``, and addresses without payload.
+
+    ``payloads`` has url and payload.  Sources carry ``position`` and a list of
+    addresses; an address that several sources list is read for each of them.
+    """
+    wanted = source_locators(sources).withColumnRenamed("position", "source_pos").drop("source_locator", "enabled")
+    found = wanted.join(payloads.select("url", "payload"), "url")
+    missing = wanted.join(payloads.select("url").distinct(), "url", "left_anti")
+    return found, missing.select("source_id", "locator_pos", "url")
+
+
+@dataclass(frozen=True)
+class Acquired:
+    """``records`` with ``seq``; ``quarantine``: payloads nothing could read; ``missing``: addresses without payload."""
+
+    records: DataFrame
+    quarantine: DataFrame
+    missing: DataFrame | None = None
+
+
 def acquire(
     payloads: DataFrame,
     start: Column | None,
@@ -92,8 +118,27 @@ def acquire(
     fetched_at: Column,
     limit: int = 50,
     rules: Sequence[ListingRule] = LISTING_RULES,
-) -> DataFrame:
-    """Parse, drop front matter, apply the ingest window, stamp and limit."""
-    records, _ = read_payloads(payloads, rules)
+    sources: DataFrame | None = None,
+) -> Acquired:
+    """Parse, drop front matter, apply the ingest window, stamp and limit.
+
+    With ``sources`` the payloads are joined to the selected sources and their
+    addresses.  Records are in the order of sources, listed addresses and items,
+    which also decides the first ``limit`` of a source; ``seq`` numbers that order.
+    """
+    missing = None
+    if sources is not None:
+        payloads, missing = with_locators(payloads, sources)
+    for name in ("source_pos", "locator_pos"):
+        if name not in payloads.columns:
+            payloads = payloads.withColumn(name, F.lit(0))
+    records, quarantine = read_payloads(payloads, rules)
+    # One narrow row per address; the feed readers keep the address of every item.
+    places = payloads.groupBy("source_id", F.col("url").alias("source_url")).agg(
+        F.min("source_pos").alias("source_pos"), F.min("locator_pos").alias("locator_pos")
+    )
     kept = ingest_filter(skip_front_matter(records), parse_datetime("published"), start, end)
-    return limit_per_source(stamp(kept, fetched_at), limit, ("source_url", "item_pos"))
+    seq = (F.col("source_pos").cast("long") * 10**LOCATOR_DIGITS + F.col("locator_pos")) * 10**ITEM_DIGITS + F.col("item_pos")
+    numbered = stamp(kept, fetched_at).join(places, ["source_id", "source_url"]).withColumn("seq", seq)
+    ordered = limit_per_source(numbered, limit, ("locator_pos", "item_pos"))
+    return Acquired(ordered.drop("source_pos", "locator_pos"), quarantine, missing)

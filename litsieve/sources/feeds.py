@@ -134,13 +134,13 @@ def root_element(payload: Column | str) -> Column:
 
 
 def well_formed(payload: Column | str) -> Column:
-    """True where the XML reader yields the element its root name promises."""
+    """True for a feed that parses, with or without items."""
     payload = as_column(payload)
     root = root_element(payload)
+    # The reader fills the error column for markup it cannot parse; a feed without items parses.
+    parsed = F.from_xml(payload, _struct(_corrupt_record=_TEXT), _OPTIONS)
     return F.coalesce(
-        F.when(root == "rss", F.from_xml(payload, RSS, _OPTIONS)["channel"].isNotNull())
-        .when(root == "RDF", F.from_xml(payload, RDF, _OPTIONS)["item"].isNotNull())
-        .when(root == "feed", F.from_xml(payload, ATOM, _OPTIONS)["entry"].isNotNull()),
+        root.isin("rss", "RDF", "feed") & parsed.isNotNull() & parsed["_corrupt_record"].isNull(),
         F.lit(False),
     )
 

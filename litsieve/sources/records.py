@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from litsieve.functions.text import as_column, strip_ends, text_or_empty
+from litsieve.operators.positions import with_rank
 from litsieve.schemas import RAW
 
 DECISION_COLUMNS = (
@@ -69,6 +70,7 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
     # A multi-line file is read by one task in file order, so the id rises with
-    # the row; the file name orders files.
-    rows = rows.withColumn("seq", F.monotonically_increasing_id())
-    return filled_decisions(rows.select("seq", *DECISION_COLUMNS))
+    # the row of a file; the file name orders files.
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    placed = with_rank(rows, [F.col("file_name"), F.col("row")], name="seq")
+    return filled_decisions(placed.select("seq", *DECISION_COLUMNS))

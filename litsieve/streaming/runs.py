@@ -22,10 +22,12 @@ from litsieve.operators.review import review
 
 
 def read_landed(
-    spark: SparkSession, folder: str, schema: str, fmt: str = "json", pattern: str | None = None
+    spark: SparkSession, folder: str, schema: str, fmt: str = "json", pattern: str | None = None, files_per_batch: int | None = None
 ) -> DataFrame:
     """Stream of files that land in a folder, with a fixed schema."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if fmt == "json":
         reader = reader.option("mode", "FAILFAST")
     if pattern:
@@ -74,18 +76,31 @@ def split_undated(stream: DataFrame, time: str = "published_at") -> tuple[DataFr
     return timed.where("event_time IS NOT NULL"), timed.where("event_time IS NULL")
 
 
-def dedupe_stream(normalized: DataFrame, delay: str = "3 days") -> DataFrame:
-    """Drop records whose primary key was seen within the watermark, across runs.
+def start_dedupe(normalized: DataFrame, folder: str, available_now: bool = True) -> StreamingQuery:
+    """Write each record whose primary key no earlier batch or run has seen.
 
-    State is one row per key and expires with the watermark.  Chains over
-    several keys stay with the batch resolution.
+    The keys are a stored table next to the output, so they are never forgotten and
+    copies may lie any time apart.  Each batch reads the keys of earlier batches,
+    keeps the first record of every new key, and writes records, keys and undated
+    records under its own number: a batch that is repeated after a failure replaces
+    what it wrote.  Undated records have no place in a digest and are set aside, not
+    lost.  Chains over several keys stay with the batch resolution.
     """
-    dated, _ = split_undated(normalized)
-    return (
-        dated.withColumn("dedupe_key", dedupe_key())
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["dedupe_key"])
-    )
+    out, keys, undated = (f"{folder}/{name}" for name in ("records", "keys", "undated"))
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        dated, rest = split_undated(batch)
+        rest.drop("event_time").write.mode("overwrite").parquet(f"{undated}/batch={number}")
+        keyed = dated.withColumn("dedupe_key", dedupe_key())
+        if number:
+            seen = spark.read.schema("dedupe_key string, batch long").parquet(keys).where(F.col("batch") < number)
+            keyed = keyed.join(seen.select("dedupe_key"), "dedupe_key", "left_anti")
+        first = keyed.groupBy("dedupe_key").agg(F.min("seq").alias("seq"))
+        keyed.join(first, ["dedupe_key", "seq"], "left_semi").write.mode("overwrite").parquet(f"{out}/batch={number}")
+        first.select("dedupe_key").write.mode("overwrite").parquet(f"{keys}/batch={number}")
+
+    return start_batches(normalized, handle, f"{folder}/state", available_now)
 
 
 def window_counts(events: DataFrame, time: str, keys: list[str], delay: str = "1 day") -> DataFrame:
@@ -100,10 +115,10 @@ def window_counts(events: DataFrame, time: str, keys: list[str], delay: str = "1
 
 __all__ = [
     "annotate_stream",
-    "dedupe_stream",
     "read_landed",
     "split_undated",
     "start_batches",
+    "start_dedupe",
     "start_routes",
     "window_counts",
 ]

@@ -65,12 +65,50 @@ def test_acquire_limits_and_stamps(spark):
     )
     table = payloads(spark, ("r", "u1", f"<rss><channel>{items}<item><title>undated</title></item></channel></rss>"))
     start, end = F.lit("2026-03-11").cast("timestamp"), F.lit("2026-03-14").cast("timestamp")
-    rows = acquire(table, start, end, F.lit("now"), limit=3).orderBy("item_pos").collect()
+    rows = acquire(table, start, end, F.lit("now"), limit=3).records.orderBy("seq").collect()
     assert [(r.title, r.published_at, r.fetched_at) for r in rows] == [
         (f"T{i}", f"2026-03-1{i}T00:00:00Z", "now") for i in (1, 2, 3)
     ]
 
 
+def test_acquire_joins_sources_in_listed_order(spark, tmp_path):
+    from litsieve.config import DigestRules
+    from litsieve.plans.digest import run_digest
+
+    def feed(*titles):
+        items = "".join(f"<item><title>{t}</title><pubDate>2026-03-11T00:00:00Z</pubDate></item>" for t in titles)
+        return f"<rss><channel>{items}</channel></rss>"
+
+    table = spark.createDataFrame(
+        [("z", feed("first", "second")), ("a", feed("third")), ("cut", "<rss><channel>"), ("none", "<feed></feed>")], "url string, payload string"
+    )
+    sources = spark.createDataFrame(
+        [("s", True, "f", "J", "g", "journal", "feed", ["z", "a", "gone"], 0), ("t", True, "f", "K", "g", "journal", "feed", ["cut", "none"], 1)],
+        "source_id string, enabled boolean, publisher_family string, journal string, `group` string, publication_stage string, "
+        "source_strategy string, source_locator array<string>, position int",
+    )
+    got = acquire(table, None, None, F.lit("now"), limit=2, sources=sources)
+    assert [(r.title, r.seq) for r in got.records.orderBy("seq").collect()] == [("first", 0), ("second", 1)]
+    assert [r.url for r in got.quarantine.collect()] == ["cut"]
+    assert [(r.source_id, r.url) for r in got.missing.collect()] == [("s", "gone")]
+    run = run_digest(got.records, DigestRules(), sources=sources)
+    assert {r.title_en for r in run.normalized.collect()} == {"first", "second"}
+
+
+def test_uncovered_listing_page_is_quarantined(spark):
+    table = payloads(spark, ("l", "https://nowhere.example.org/toc", LISTING)).withColumn("source_strategy", F.lit("official_toc"))
+    records, rest = read_payloads(table)
+    assert records.count() == 0 and rest.count() == 1
+
+
+def test_decisions_follow_file_names(spark, tmp_path):
+    head = "journal,doi,article_url,title_en,review_final_decision,review_final_category,reviewer_notes\n"
+    for name, decision in (("b.csv", "reject"), ("a.csv", "keep"), ("c.csv", "review")):
+        (tmp_path / name).write_text(head + f"J,10.1/x,,,{decision},,\n")
+    rows = read_decisions(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [r.review_final_decision for r in rows] == ["keep", "reject", "review"]
+
+
 def test_links(spark):
     html = (
         '<script>var a="<a href=1>no</a>"</script><!-- <a href="c">no</a> --><a class=q HREF=\'/one?x=1&amp;y=2\'> a <b> b</b>&amp;c</a>'

@@ -24,15 +24,20 @@ def test_duplicates_across_runs(spark, tmp_path):
     (folder / "day1.json").write_text(json.dumps(record))
 
     def run():
-        raw = runs.read_landed(spark, str(folder), RAW).withColumns(
+        raw = runs.read_landed(spark, str(folder), RAW, files_per_batch=1).withColumns(
             {"tags": F.array().cast("array<string>"), "authors": F.array().cast("array<string>")}
         )
-        return drain(runs.dedupe_stream(normalize_records(raw)).select("seq", "dedupe_key"), tmp_path, "out")
+        runs.start_dedupe(normalize_records(raw), str(tmp_path / "work")).awaitTermination()
+        return spark.read.schema("seq bigint, dedupe_key string").parquet(str(tmp_path / "work" / "records"))
 
     assert run().count() == 1
-    later = [dict(record, seq=2), dict(record, seq=3, doi="10.1/b"), dict(record, seq=4, published="")]
+    # A copy weeks later is still a copy, and so is one in the next file.
+    later = [dict(record, seq=2, published="2026-05-01T00:00:00Z"), dict(record, seq=3, doi="10.1/b"), dict(record, seq=4, published="")]
     (folder / "day2.json").write_text("\n".join(json.dumps(r) for r in later))
+    (folder / "day3.json").write_text(json.dumps(dict(record, seq=5, doi="10.1/b")))
     assert {r.seq for r in run().collect()} == {1, 3}
+    undated = spark.read.schema("seq bigint").parquet(str(tmp_path / "work" / "undated"))
+    assert [r.seq for r in undated.collect()] == [4]
 
 
 def test_window_counts_drop_late_rows(spark, tmp_path):
