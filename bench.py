@@ -54,8 +54,9 @@ def main() -> None:
     from litsieve.plans.queries import queries
 
     chosen = queries()
-    # One small query first, so that session start-up is not charged to the first entry.
-    chosen["canonical_url"](spark, folder).write.format("noop").mode("overwrite").save()
+    # Two queries first, so that neither session start-up nor that of the Python workers is charged to the first entry.
+    for name in ("canonical_url", "normalize_records"):
+        chosen[name](spark, folder).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in HEADLINE:
         start = time.perf_counter()

@@ -646,7 +646,7 @@ def _deduped(spark: SparkSession, sf: str) -> str:
 
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct primary keys of the dated records of a stream."""
-    return spark.read.schema("dedupe_key string").parquet(f"{_deduped(spark, sf)}/records")
+    return spark.read.schema("dedupe_key string").parquet(f"{_deduped(spark, sf)}/records").select("dedupe_key")
 
 
 def stream_undated(spark: SparkSession, sf: str) -> DataFrame:
