@@ -232,7 +232,8 @@ def mixed_texts(mixed: Mix, docs: DataFrame, carry: tuple[str, ...] = ()) -> Dat
     ranges = mixed.takes.groupBy("source_no", "start", "epoch").agg(
         F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("ranges"), F.sum("n_words").alias("n")
     )
-    named = ranges.join(mixed.documents.select("source_no", "start", "doc_id", "size"), ["source_no", "start"])
+    # An empty document starts where the next one does.
+    named = ranges.join(mixed.documents.where("size > 0").select("source_no", "start", "doc_id", "size"), ["source_no", "start"])
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text", *carry)
     words = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
     cut = F.array_join(
