@@ -168,7 +168,10 @@ def test_stages_one_after_the_other(spark, tmp_path):
     words = lambda name: sum(len((r.text or "").split()) for r in read(name).collect())
     assert abs(words("3") - 1.5 * words("2")) <= 4
     whole = dict(docs)
-    assert all(r.text in whole[r.doc_id] for r in read("3").collect())
+    # Taken words keep their order; words between two taken blocks may be missing.
+    for r in read("3").collect():
+        rest = iter(whole[r.doc_id].split())
+        assert all(word in rest for word in r.text.split())
 
     packed = stages["packing"](spark, read("3"), str(tmp_path)).collect()
     assert {r.doc_id for r in packed} == {r.doc_id for r in read("3").collect()}
