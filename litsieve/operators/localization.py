@@ -154,16 +154,18 @@ def localize_from_memory(
     A record counts as translated when its title and, if it has one, its
     abstract are stored.  Otherwise both come from ``fallback``, and a record
     that neither table covers falls back to the template.
+
+    Texts meet by a 128-bit digest, so whole texts are neither sort nor shuffle
+    keys; only digests and translations move.
     """
-    wanted = records.select("seq", F.explode(F.array("title_en", "abstract")).alias("source_text")).where(
-        text_or_empty("source_text") != ""
-    ).distinct()
+    filled = F.filter(F.array("title_en", "abstract"), lambda t: t.isNotNull() & (t != ""))
+    wanted = records.select("seq", F.explode(F.array_distinct(F.transform(filled, F.md5))).alias("digest"))
 
     def lookup(table: DataFrame, suffix: str) -> DataFrame:
-        unique = table.groupBy("source_text").agg(F.min("target_text").alias("target_text"))
-        found = wanted.join(unique, "source_text")
+        unique = table.groupBy(F.md5("source_text").alias("digest")).agg(F.min("target_text").alias("target_text"))
+        found = wanted.join(unique, "digest")
         return found.groupBy("seq").agg(
-            F.map_from_entries(F.collect_list(F.struct("source_text", "target_text"))).alias(f"texts_{suffix}")
+            F.map_from_entries(F.collect_list(F.struct("digest", "target_text"))).alias(f"texts_{suffix}")
         )
 
     joined = records.join(lookup(memory, "a"), "seq", "left")
@@ -174,9 +176,9 @@ def localize_from_memory(
 
     def pair(suffix: str) -> Column:
         texts = F.col(f"texts_{suffix}")
-        title = F.try_element_at(texts, F.col("title_en"))
+        title = F.try_element_at(texts, F.md5("title_en"))
         abstract = F.when(text_or_empty("abstract") == "", F.lit("")).otherwise(
-            F.try_element_at(texts, F.col("abstract"))
+            F.try_element_at(texts, F.md5("abstract"))
         )
         return F.when(
             title.isNotNull() & abstract.isNotNull(),
