@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litsieve.llm import revisits, url_filter
+from litsieve.llm import revisits, sql, url_filter
 from litsieve.llm.chat import conversation_log, format_log, read_back
 from litsieve.llm.common import table
 from litsieve.llm.licences import licences
@@ -80,4 +80,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_revisits": revisits.ORACLE_SQL, "op4_url_filter": url_filter.ORACLE_SQL}
+    return {
+        "op2_revisits": revisits.ORACLE_SQL,
+        "op4_url_filter": url_filter.ORACLE_SQL,
+        "op5_minmax_dedup": sql.NEAR_DUPLICATES,
+        "op10_chat_format": sql.CHAT,
+    }

@@ -164,7 +164,8 @@ def test_canonical_form(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_against_sql(spark, name):
     duck = duckdb.connect()
-    duck.sql(f"CREATE VIEW pages AS SELECT * FROM '{FOLDER}/pages.parquet'")
+    for table in ("pages", "documents", "conversations"):
+        duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     result = queries.queries()[name](spark, FOLDER)
     answer = duck.execute(queries.oracle_sql()[name])
     names = [d[0] for d in answer.description]
