@@ -94,3 +94,27 @@ def decision_examples(reviewed: DataFrame, decisions: Sequence[str] = ("review",
     chosen = reviewed.where(F.col("final_decision").isin(*decisions))
     narrow = chosen.select(F.col("final_decision").alias("kind"), "seq", "source_id", "title_en", "llm_reason")
     return first_rows(narrow, ["seq"], limit, ["kind"])
+
+
+def suggestions_report(classified: DataFrame, reviewed: DataFrame, tokens: Sequence[str] = SUGGESTION_TOKENS) -> DataFrame:
+    """The suggestions as one JSON text: sources without class, sources under review, tokens.
+
+    Each part is a top list of a fixed length, so the one row stays small.  Entries
+    are listed by count, then by name.
+    """
+    parts = {
+        "other_sources": other_sources(classified).withColumnRenamed("source_id", "name"),
+        "review_sources": review_sources(reviewed).withColumnRenamed("source_id", "name"),
+        "tokens": token_suggestions(classified, reviewed, tokens).select(F.col("token").alias("name"), "n"),
+    }
+    rows = None
+    for part, df in parts.items():
+        listed = df.select(F.lit(part).alias("part"), (-F.col("n")).alias("k"), "name")
+        rows = listed if rows is None else rows.unionByName(listed)
+    gathered = rows.agg(
+        *(F.array_sort(F.collect_list(F.when(F.col("part") == part, F.struct("k", "name")))).alias(part) for part in parts)
+    )
+    entries = [
+        F.transform(part, lambda e: F.struct(e["name"].alias("name"), (-e["k"]).alias("n"))).alias(part) for part in parts
+    ]
+    return gathered.select(F.to_json(F.struct(*entries)).alias("report"))

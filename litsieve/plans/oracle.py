@@ -590,6 +590,17 @@ seen AS (SELECT part, seq, title_en, i, token FROM pool JOIN (VALUES {tokens}) A
           , top AS (SELECT token, count(*) AS n FROM seen GROUP BY 1 ORDER BY n DESC, min(struct_pack(a := part, b := seq, c := i)) LIMIT 30),
           ex AS (SELECT token, title_en, part, seq FROM seen QUALIFY row_number() OVER (PARTITION BY token ORDER BY part, seq) <= 3)
           SELECT t.token, t.n, string_agg(e.title_en, '|' ORDER BY e.part, e.seq) AS examples FROM top t JOIN ex e USING (token) GROUP BY ALL"""),
+        "suggestions_report": sql([*TO_PROVIDED, f"""
+pool AS (
+  SELECT 0 AS part, s.seq, s.title_en, s.abstract FROM search s LEFT JOIN best b USING (seq) WHERE coalesce(b.category, 'other') IN ('other', 'germanic')
+  UNION ALL SELECT 1, seq, title_en, abstract FROM provided WHERE final_decision = 'review'),
+seen AS (SELECT part, seq, title_en, i, token FROM pool JOIN (VALUES {tokens}) AS t(i, token) ON contains(lower(title_en || ' ' || abstract), token))"""], """
+          , o AS (SELECT source_id AS name, count(*) AS n FROM (SELECT * FROM pool JOIN norm USING (seq) WHERE part = 0) GROUP BY 1 ORDER BY n DESC, min(seq) LIMIT 20),
+          r AS (SELECT source_id AS name, count(*) AS n FROM (SELECT * FROM pool JOIN norm USING (seq) WHERE part = 1) GROUP BY 1 ORDER BY n DESC, min(seq) LIMIT 20),
+          t AS (SELECT token AS name, count(*) AS n FROM seen GROUP BY 1 ORDER BY n DESC, min(struct_pack(a := part, b := seq, c := i)) LIMIT 30)
+          SELECT to_json({'other_sources': (SELECT coalesce(list({'name': name, 'n': n} ORDER BY n DESC, name), []) FROM o),
+            'review_sources': (SELECT coalesce(list({'name': name, 'n': n} ORDER BY n DESC, name), []) FROM r),
+            'tokens': (SELECT coalesce(list({'name': name, 'n': n} ORDER BY n DESC, name), []) FROM t)})::VARCHAR AS report"""),
         "review_examples": sql(TO_PROVIDED, """
           SELECT final_decision AS kind, seq, source_id, title_en, llm_reason, row_number() OVER (PARTITION BY final_decision ORDER BY seq) AS item
           FROM provided WHERE final_decision IN ('review', 'reject') QUALIFY item <= 20"""),

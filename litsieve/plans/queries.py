@@ -475,6 +475,10 @@ def token_suggestions(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("token", "n", F.array_join("examples", "|").alias("examples"))
 
 
+def suggestions_report(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.suggestions_report(_with_others(spark, sf), _provided(spark, sf), PROSE_TOKENS)
+
+
 def review_examples(spark: SparkSession, sf: str) -> DataFrame:
     return reports.decision_examples(_provided(spark, sf))
 
@@ -703,6 +707,7 @@ def queries() -> dict[str, Query]:
         "other_sources": other_sources,
         "review_sources": review_sources,
         "token_suggestions": token_suggestions,
+        "suggestions_report": suggestions_report,
         "review_examples": review_examples,
         "category_scores": category_scores_query,
         "classify": classify_query,
