@@ -19,6 +19,17 @@ def columns(df: DataFrame, **types: str) -> DataFrame:
     return df.select(*(F.col(name).cast(kind).alias(name) for name, kind in types.items()))
 
 
+# Rows of one Arrow batch.  Spark's 10,000 are tens of megabytes of text, held by the
+# JVM and by Python at once in every task.
+TEXT_BATCH_ROWS = 1000
+
+
+def texts(df: DataFrame, **types: str) -> DataFrame:
+    """Like :func:`columns`, for tables whose texts go to Python: batches are kept small."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_BATCH_ROWS)
+    return columns(df, **types)
+
+
 def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litsieve.llm.common import columns
+from litsieve.llm.common import columns, texts
 
 # Notices by family (fixed values: the wordings that licences ask for, in short).
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -224,7 +224,7 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
             names = [field.split()[0] for field in FOUND.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    return columns(docs, doc_id="long", text="string").mapInArrow(run, FOUND)
+    return texts(docs, doc_id="long", text="string").mapInArrow(run, FOUND)
 
 
 def licences(docs: DataFrame) -> DataFrame:

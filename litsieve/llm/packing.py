@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from litsieve.llm.common import columns, text_bytes
+from litsieve.llm.common import text_bytes, texts
 from litsieve.operators.positions import with_rank
 from litsieve.session import stored
 
@@ -147,7 +147,7 @@ def token_pieces(
     ``tokenizer`` is the path of a tokenizer file that drops white space.
     """
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    return columns(docs, doc_id="long", text="string").mapInArrow(
+    return texts(docs, doc_id="long", text="string").mapInArrow(
         _pieces(tokenizer or public_tokenizer(), limit, end_id, with_ids), schema
     )
 

@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from litsieve.llm.common import columns
+from litsieve.llm.common import columns, texts as text_rows
 
 EXAMPLES_PER_LABEL = 1024
 EXAMPLE_TERMS = 2048  # the sample takes labelled texts with at most this many different terms
@@ -257,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     prior = (positive + 1) / (total + 2)
     taken = [known.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for v in (0, 1)]
     sample = taken[0].unionByName(taken[1])
-    texts = columns(docs, doc_id="long", text="string")
+    texts = text_rows(docs, doc_id="long", text="string")
     # Bounded: at most ``per_label`` rows of each label.
     rows = (
         texts.join(F.broadcast(sample), "doc_id")
@@ -338,7 +338,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                 names=["doc_id", "held_out", "score", "predicted", "evidence"],
             )
 
-    marked = columns(docs, doc_id="long", text="string").select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "text")
+    marked = text_rows(docs, doc_id="long", text="string").select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "text")
     return marked.mapInArrow(run, SCORES)
 
 
