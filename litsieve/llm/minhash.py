@@ -15,7 +15,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from litsieve.llm.common import columns, mixed, shingles, text_bytes
+from litsieve.llm.bloom import build_filter, may_be_listed
+from litsieve.llm.common import mixed, shingles, text_bytes, texts as text_rows
 from litsieve.operators.components import connected_components
 from litsieve.session import release, stored
 
@@ -24,10 +25,10 @@ BANDS = 32
 BAND_PERMUTATIONS = 4  # two values each, so a band has eight rows
 SEED = 20240229
 # Members of a group that are compared in one piece.
-BLOCK = 64
+BLOCK = 256
 # A candidate between groups needs this much less than the threshold by its signature:
 # the 256 values have a standard deviation of 0.022 at 0.85.
-SIGNATURE_SLACK = 0.15
+SIGNATURE_SLACK = 0.13
 
 FEATURES = "doc_id long, n_shingles long, set_key binary, signature binary"
 
@@ -75,7 +76,7 @@ def _features(width: int):
 
 def features(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     """Set size, 128-bit key of the set and signature of every text."""
-    return columns(docs, doc_id="long", text="string").mapInArrow(_features(width), FEATURES)
+    return text_rows(docs, doc_id="long", text="string").mapInArrow(_features(width), FEATURES)
 
 
 def _band_keys(classes: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def _band_keys(classes: DataFrame) -> DataFrame:
     bands = F.array(
         *(F.xxhash64(F.lit(i), F.substring("signature", i * size + 1, size)) for i in range(BANDS))
     )
-    return classes.select("rep", F.explode(bands).alias("band"))
+    return classes.select("rep", F.posexplode(bands).alias("band_no", "band"))
 
 
 def _confirm(threshold: tuple[int, int], width: int):
@@ -114,68 +115,85 @@ def confirmed(pairs: DataFrame, docs: DataFrame, threshold: tuple[int, int], wid
     Texts are joined to the pairs one side after the other; the members travel to
     their partner b, whose set is then built once per run of rows.
     """
-    texts = columns(docs, doc_id="long", text="string")
+    texts = text_rows(docs, doc_id="long", text="string")
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(threshold, width), "a long, b long")
 
 
-def _close(limit: float):
-    """Pairs of different components within each block pair whose signatures are close enough."""
+def _linked(threshold: tuple[int, int], width: int):
+    """Links between different components within each block pair.
 
-    def pairs_of(rows) -> tuple[np.ndarray, np.ndarray]:
-        rep, component, side, sizes, signature = rows
-        empty = np.empty(0, np.int64)
+    Signatures rule out most pairs; the full sets of the rest are compared here, so
+    only links leave the task.  A pair is left to the first band that it shares.
+    """
+    numerator, denominator = threshold
+    limit = numerator / denominator - SIGNATURE_SLACK
+
+    def links_of(rows, texts) -> list[tuple[int, int]]:
+        rep, component, side, band, sizes, signature = rows
         first, second = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        if not len(first) or not len(second):
-            return empty, empty
-        agree = np.zeros((len(first), len(second)), np.uint16)
-        for i, row in enumerate(first):
-            agree[i] = (signature[second] == signature[row]).sum(axis=1)
-        ratio = np.minimum(sizes[first][:, None], sizes[second][None]) / np.maximum(sizes[first][:, None], sizes[second][None])
-        fits = (agree >= limit * signature.shape[1]) & (ratio >= limit)
-        fits &= component[first][:, None] != component[second][None]
-        i, j = np.nonzero(fits)
-        a, b = rep[first[i]], rep[second[j]]
-        return np.maximum(a, b), np.minimum(a, b)
+        sets: dict[int, np.ndarray] = {}
+
+        def full(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = shingles(texts[row].as_py(), width)
+            return sets[row]
+
+        found = []
+        for row in first:
+            others = second[(component[second] != component[row]) & ((side[row] != 2) | (rep[second] < rep[row]))]
+            ratio = np.minimum(sizes[others], sizes[row]) / np.maximum(sizes[others], sizes[row])
+            others = others[denominator * ratio >= numerator * (1 - 1e-9)]
+            if not len(others):
+                continue
+            agree = signature[others] == signature[row]
+            shared = agree.reshape(len(others), BANDS, -1).all(axis=2).argmax(axis=1)
+            for other in others[(agree.mean(axis=1) >= limit) & (shared == band[row])]:
+                both = len(np.intersect1d(full(row), full(other), assume_unique=True))
+                if denominator * both >= numerator * (sizes[row] + sizes[other] - both):
+                    found.append((max(rep[row], rep[other]), min(rep[row], rep[other])))
+        return found
+
+    def groups(table_: pa.Table) -> pa.RecordBatch:
+        keys = np.asarray(table_.column("key"))
+        values = [np.asarray(table_.column(c)) for c in ("rep", "component", "side", "band_no", "n_shingles")]
+        signature = np.frombuffer(b"".join(table_.column("signature").to_pylist()), np.uint16).reshape(len(keys), 2 * BANDS * BAND_PERMUTATIONS)
+        texts = table_.column("text").cast(pa.binary())
+        bounds = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(keys) else [0]
+        found = []
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            found += links_of((*(v[low:high] for v in values), signature[low:high]), texts[low:high])
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by key; a group may go on in the next batch.
         rest: pa.Table | None = None
         for batch in batches:
-            table_ = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            table_ = pa.Table.from_batches([batch])
+            table_ = pa.concat_tables([rest, table_]) if rest is not None else table_
             keys = np.asarray(table_.column("key"))
             cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
             rest = table_.slice(cut)
-            yield from groups(table_.slice(0, cut))
+            yield groups(table_.slice(0, cut))
         if rest is not None:
-            yield from groups(rest)
-
-    def groups(table_: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not table_.num_rows:
-            return
-        keys = np.asarray(table_.column("key"))
-        values = [np.asarray(table_.column(c)) for c in ("rep", "component", "side", "n_shingles")]
-        signature = np.frombuffer(b"".join(table_.column("signature").to_pylist()), np.uint16).reshape(len(keys), -1)
-        bounds = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
-        found = [pairs_of((*(v[lo:hi] for v in values), signature[lo:hi])) for lo, hi in zip(bounds[:-1], bounds[1:])]
-        a, b = np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            yield groups(rest)
 
     return run
 
 
-def _leftover_pairs(members: DataFrame, classes: DataFrame, components: DataFrame, limit: float) -> DataFrame:
-    """Candidates between different components of one bucket.
+def _leftover_links(
+    members: DataFrame, classes: DataFrame, texts: DataFrame, components: DataFrame, threshold: tuple[int, int], width: int
+) -> DataFrame:
+    """Links between different components of one bucket.
 
     The first round has compared every member with the smallest one, so buckets
     that are one component by now are done.  Of the others, each member meets the
     members of other components, block against block: a bucket of any size is cut
-    into blocks, only pairs with close signatures come out, and no task holds more
-    than two blocks of a bucket.
+    into blocks, and no task holds more than two blocks of a bucket.
     """
     labelled = members.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("component")
+        "band", "band_no", "rep", F.coalesce("component", "rep").alias("component")
     )
     several = (
         labelled.groupBy("band")
@@ -192,14 +210,17 @@ def _leftover_pairs(members: DataFrame, classes: DataFrame, components: DataFram
             F.when(x == F.col("block"), 2).when(x > F.col("block"), 0).otherwise(1).alias("side"),
         ),
     )
-    rows = cut.select("rep", "component", F.inline(others)).join(classes.select("rep", "n_shingles", "signature"), "rep")
+    rows = (
+        cut.select("rep", "component", "band_no", F.inline(others))
+        .join(classes.select("rep", "n_shingles", "signature"), "rep")
+        .join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    )
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         rows.repartition(parts, "key")
         .sortWithinPartitions("key")
-        .select("key", "rep", "component", "side", "n_shingles", "signature")
-        .mapInArrow(_close(limit), "a long, b long")
-        .distinct()
+        .select("key", "rep", "component", "side", "band_no", "n_shingles", "signature", "text")
+        .mapInArrow(_linked(threshold, width), "a long, b long")
     )
 
 
@@ -216,7 +237,7 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (80, 100), wid
     that repeats is one document with several texts; a row without doc_id cannot
     be named in a result and takes no part.  Empty tables give an empty result.
     """
-    docs = columns(docs, doc_id="long", text="string").where("doc_id is not null")
+    docs = text_rows(docs, doc_id="long", text="string").where("doc_id is not null")
     found = stored(features(docs, width))
     classes = stored(
         found.where("n_shingles > 0")
@@ -228,18 +249,18 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (80, 100), wid
     apart = classes.where(denominator * F.col("n_shingles") >= numerator * (F.col("n_shingles") + 1))
     keys = stored(_band_keys(apart))
     buckets = keys.groupBy("band").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(keys.join(buckets, "band").select("band", "rep", "center"))
+    members = stored(keys.join(buckets, "band").select("band", "band_no", "rep", "center"))
     release(keys)
     # Only texts that meet another one at all travel in the comparisons below.
-    involved = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = stored(docs.join(involved, "doc_id", "left_semi"))
+    involved = stored(members.select(F.col("rep").alias("doc_id")).distinct())
+    # A filter of bounded size keeps most other texts out of the shuffle.
+    probe = may_be_listed(docs.sparkSession, build_filter(involved, "doc_id"))
+    texts = stored(docs.where(probe(F.xxhash64("doc_id"))).join(involved, "doc_id", "left_semi"))
     star = members.where("rep > center").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     links = stored(confirmed(star, texts, threshold, width))
     components = stored(connected_components(links))
-    limit = numerator / denominator - SIGNATURE_SLACK
-    more = _leftover_pairs(members.select("band", "rep").distinct(), apart, components, limit)
-    tested = more.join(star, ["a", "b"], "left_anti")
-    links = stored(links.unionByName(confirmed(tested, texts, threshold, width)))
+    more = _leftover_links(members, apart, texts, components, threshold, width)
+    links = stored(links.unionByName(more))
     release(texts, members)
     # A document whose repeated rows have several sets ties those classes together.
     owners = found.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep").distinct()
