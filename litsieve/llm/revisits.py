@@ -100,7 +100,10 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     revisits = chosen.where(F.col("kind") == "revisit").dropDuplicates(["record_id"]).select("record_id", F.col("headers").alias("fresh"))
     named = revisits.join(found, "record_id", "left")
     responses = chosen.where(full).select(F.col("record_id").alias("response_id"), F.col("headers").alias("held"), "body").dropDuplicates(["response_id"])
-    both = named.join(responses, "response_id", "left")
+    # Revisits without a response stay out of the join, where they would all be one null key.
+    alone = named.where("response_id is null").select("response_id", "record_id", "fresh")
+    alone = alone.withColumns({"held": F.lit(None).cast(HEADERS), "body": F.lit(None).cast("string")})
+    both = named.where("response_id is not null").join(responses, "response_id").unionByName(alone)
 
     def tag(headers: str) -> Column:
         return F.regexp_replace(header(F.col(headers), "etag"), "^W/", "")
