@@ -74,7 +74,7 @@ class _Cores(_Bounded):
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        low = text if text.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", text))
+        low = text.lower() if text.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", text))
         # A run of Latin letters is one unit of the vocabulary's merges, without any splitting.
         if low.isalpha() and max(low) < "\u0250":
             ids = [token.id for token in self.model.tokenize("".join(map(_BYTES.__getitem__, low.encode())))]

@@ -129,6 +129,13 @@ def test_word_cache_gives_the_tokenizers_ids(spark):
         assert np.frombuffer(own.ids(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_capitals_in_texts_with_an_angle_bracket():
+    texts = ["Hello < World", "<p>The End</p> NASA", "if A < B: RETURN Hello.", "<|im_start|>USER Hi <|endoftext|> The END", "NASA", "İ < Straße ÄRGER The"]
+    whole, own = Tokenizer.from_file(public_tokenizer()), _words(public_tokenizer())
+    for text in texts:
+        assert np.frombuffer(own.ids(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(spark):
     rng = random.Random(2)
     docs = [(i, "word " * rng.randint(0, 40)) for i in range(200)] + [(300 + i, "same text here") for i in range(150)]
