@@ -16,13 +16,13 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from litsieve.llm.common import columns, texts as text_rows
+from litsieve.session import stored
 
 EXAMPLES_PER_LABEL = 1024
-EXAMPLE_TERMS = 2048  # the sample takes labelled texts with at most this many different terms
-MIN_EXAMPLES_WITH_TERM = 3
+POSTINGS_PER_LABEL = 1 << 21  # the sample of a label is full when its texts have so many different terms in all
 BLOCK = 64
 COMMON = 8  # a term is common if one of so many examples holds it
 FIRST_BLOCKS = 4
@@ -198,32 +198,29 @@ def _held_out() -> F.Column:
 def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [letter_terms(text) for text in batch.column("text").to_pylist()]
-        few = [len(keys) <= EXAMPLE_TERMS for keys, _ in found]
-        grams = [keys if ok else None for (keys, _), ok in zip(found, few)]
-        counts = [n.astype(np.int32) if ok else None for (_, n), ok in zip(found, few)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("toxic"), pa.array(grams, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))],
+            [
+                batch.column("doc_id"),
+                batch.column("toxic"),
+                pa.array([keys for keys, _ in found], pa.list_(pa.int64())),
+                pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32())),
+            ],
             names=["doc_id", "toxic", "grams", "counts"],
         )
 
 
-def _document_counts(vocabulary: np.ndarray):
-    """Documents of a task that hold each term, and its documents under term -1."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = 0, np.zeros(len(vocabulary) + 1, np.int64)
-        for batch in batches:
-            total += batch.num_rows
-            for text in batch.column("text").to_pylist():
-                keys, _ = letter_terms(text)
-                place = np.minimum(np.searchsorted(vocabulary, keys), max(0, len(vocabulary) - 1))
-                seen[place[vocabulary[place] == keys] if len(vocabulary) else place[:0]] += 1
-        terms = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[-1, terms], pa.int64()), pa.array(np.r_[total, seen[terms]], pa.int64())], names=["term", "n"]
-        )
-
-    return run
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a task that hold each term, and its documents under a null term."""
+    total, terms, seen = 0, np.empty(0, np.int64), np.empty(0, np.int64)
+    for batch in batches:
+        total += batch.num_rows
+        found = [letter_terms(text)[0] for text in batch.column("text").to_pylist()]
+        new, n = np.unique(np.concatenate(found or [terms[:0]]), return_counts=True)
+        terms, place = np.unique(np.concatenate([terms, new]), return_inverse=True)
+        seen = np.bincount(place, np.concatenate([seen, n]), len(terms)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays(
+        [pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(terms, pa.int64())]), pa.array(np.r_[total, seen], pa.int64())], names=["term", "n"]
+    )
 
 
 def _calibrated(votes: np.ndarray, toxic: np.ndarray, prior: float) -> tuple[float, float]:
@@ -247,36 +244,48 @@ def _calibrated(votes: np.ndarray, toxic: np.ndarray, prior: float) -> tuple[flo
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL) -> Model:
     """Index a sample of labelled texts that are not held out, ``per_label`` of each label at most.
 
-    The sample is the rows of smallest hash of their id.  Its size bounds the model;
-    document counts cover all documents.  Equal texts are one example, whose label
-    is the mean of theirs.
+    The sample is the rows of smallest hash of their id among those whose text has a
+    letter; texts of any length are taken, until the label's number of rows or of
+    different terms is reached.  A doc_id that repeats stands for its smallest text.
+    The vocabulary and document counts are those of all documents, so lengths of
+    vectors miss nothing.  Equal texts are one example, whose label is the mean of
+    theirs.
     """
     spark = docs.sparkSession
     known = columns(labels, doc_id="long", toxic="double").where("toxic in (0, 1) and doc_id is not null").where(~_held_out())
     total, positive = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0.0))).first()
     prior = (positive + 1) / (total + 2)
-    taken = [known.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for v in (0, 1)]
-    sample = taken[0].unionByName(taken[1])
     texts = text_rows(docs, doc_id="long", text="string")
+    lettered = texts.where(F.col("text").rlike(r"\p{L}")).select("doc_id").distinct()
+    drawn = known.select("doc_id", "toxic").distinct().join(lettered, "doc_id", "left_semi")
+    taken = [drawn.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for v in (0, 1)]
+    sample = taken[0].unionByName(taken[1])
     # Bounded: at most ``per_label`` rows of each label.
-    rows = (
+    found = stored(
         texts.join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min("text").alias("text"))
         .mapInArrow(_example_rows, "doc_id long, toxic double, grams array<long>, counts array<int>")
-        .where("grams is not null and size(grams) > 0")
-        .toArrow()
+        .where("size(grams) > 0")
     )
+    earlier = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = found.select("doc_id", "toxic", F.size("grams").alias("n"))
+    full = F.coalesce(F.sum("n").over(earlier), F.lit(0)) >= POSTINGS_PER_LABEL
+    open_rows = sizes.withColumn("full", full).where("not full").select("doc_id", "toxic")
+    rows = found.join(F.broadcast(open_rows), ["doc_id", "toxic"]).select("doc_id", "toxic", "grams", "counts").toArrow()
     merged: dict[bytes, list] = {}
-    for doc_id, toxic, grams, counts in sorted(zip(*(rows.column(c).to_pylist() for c in rows.column_names)), key=lambda r: r[0]):
-        keys, n = np.array(grams, np.int64), np.array(counts, np.int64)
+    lists = [[x.values.to_numpy() for x in rows.column(c)] for c in ("grams", "counts")]
+    for doc_id, toxic, keys, n in sorted(zip(rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist(), *lists), key=lambda r: r[:2]):
         merged.setdefault(keys.tobytes() + n.tobytes(), [doc_id, keys, n, []])[3].append(toxic)
     examples = list(merged.values())
-    grams, seen = np.unique(np.concatenate([e[1] for e in examples] or [np.empty(0, np.int64)]), return_counts=True)
-    vocabulary = grams[seen >= min(MIN_EXAMPLES_WITH_TERM, max(1, len(examples) // 4))]
-    counted = texts.select("text").mapInArrow(_document_counts(vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    count = dict(zip(counted.column("term").to_pylist(), counted.column("n").to_pylist()))
-    n_docs = count.pop(-1, 0)
-    df = np.zeros(len(vocabulary))
-    df[list(count)] = list(count.values())
+    # One row per different term of the corpus; sixteen bytes each on the driver.
+    counted = texts.select("text").mapInArrow(_document_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = counted.column("term"), counted.column("n").to_numpy()
+    unnamed = term.is_null().to_numpy()
+    n_docs = int(n[unnamed].sum())
+    vocabulary, df = term.drop_null().to_numpy(), n[~unnamed]
+    by_term = np.argsort(vocabulary)
+    vocabulary, df = vocabulary[by_term], df[by_term]
     idf = np.log((n_docs + 1) / (df + 1)) + 1e-6
     vectors = [tf_idf(vocabulary, idf, e[1], e[2]) for e in examples]
     doc_id = np.array([e[0] for e in examples], np.int64)

@@ -85,6 +85,23 @@ def test_scores_depend_on_text_alone(spark):
     assert first == {r.doc_id: r.score for r in score_documents(moved, model).collect()}
 
 
+def test_long_texts_are_examples_and_all_terms_count(spark):
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    docs = [(i, " ".join(word(6) for _ in range(1500)) + (" " + " ".join(INSULTS) * 40 if i % 2 else "")) for i in range(40)]
+    docs += [(100 + i, docs[1][1]) for i in range(3)] + [(1, docs[1][1] + " other")] * 3
+    assert all(len(letter_terms(t)[0]) > 2048 for _, t in docs)
+    rows, known = tables(spark, docs, [(i, i % 2) for i in range(40)] + [(9000 + i, 1) for i in range(40)])
+    model = fit(rows, known, per_label=12)
+    # Labels without a text take no place of the sample, and repeated rows are one example.
+    drawn = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sorted(model.toxic) == [0.0] * min(12, sum(i % 2 == 0 for i in drawn)) + [1.0] * min(12, sum(i % 2 for i in drawn))
+    # The vocabulary is the corpus: no text has a term that its length leaves out.
+    for _, text in docs[:5]:
+        terms, weights = model.vector(*letter_terms(text))
+        assert len(terms) == len(letter_terms(text)[0]) and (weights**2).sum() == pytest.approx(1)
+
+
 def test_without_labels_or_rows(spark):
     rows, known = tables(spark, [(1, "some text"), (2, None)], [(9, 1)])
     assert [r.predicted for r in toxicity(rows, known.limit(0)).collect()] == [0, 0]
