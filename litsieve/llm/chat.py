@@ -7,9 +7,10 @@ by texts, and come out with the segments that the loss counts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from litsieve.llm.common import columns
+from litsieve.operators.positions import with_rank
 
 # Marks of the template, and control strings of other templates and tokenizers (fixed values).
 TURN, TEXT, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -111,10 +112,15 @@ def conversation_log(conversations: DataFrame) -> DataFrame:
     Messages of the assistant were streamed, thrown away and generated again;
     others were streamed by half and edited to their final text.  Rows of one
     conversation and turn are messages of their own, ordered by role and text.
+    Messages have the exact number of their row in the conversation, from 0.
     """
     rows = columns(conversations, conv_id="long", turn="long", role="string", text="string")
-    # Nearly always 1: only rows that repeat a turn are numbered.
-    copy = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    # Equal rows are counted before they travel and get copy numbers, so no two rows rank the same.
+    counted = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("copies"))
+    single = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
+    # A null turn comes first.
+    said = [F.coalesce(name, F.lit("")) for name in ("role", "text")]
+    numbered = with_rank(single, [F.col("turn"), *said, F.col("role"), F.col("text"), F.col("copy")], ["conv_id"])
     text = F.coalesce("text", F.lit(""))
     half = F.floor(F.char_length(text) / 2).cast("int")
     first, second = F.left(text, half), F.substr(text, half + 1)
@@ -125,10 +131,7 @@ def conversation_log(conversations: DataFrame) -> DataFrame:
     start = event(OPEN, F.lit(""), 0)
     streamed = F.array(start, event(DELTA, first, 1), event(REGENERATE, F.lit(""), 2), event(DELTA, first, 3), event(DELTA, second, 4))
     typed = F.array(start, event(DELTA, first, 1), event(EDIT, text, 2))
-    numbered = rows.withColumn("copy", copy.cast("long"))
-    # Turns keep their order; a null turn comes first.
-    number = (F.coalesce("turn", F.lit(-1)) + 1) * 1024 + F.col("copy") - 1
-    return numbered.withColumn("message_no", number).select(
+    return numbered.withColumn("message_no", F.col("rank") - 1).select(
         "conv_id",
         "message_no",
         "role",

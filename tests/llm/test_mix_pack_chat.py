@@ -191,6 +191,18 @@ def test_chat_round_trip(spark):
     assert read_back(format_log(conversation_log(table.limit(0)))).count() == 0
 
 
+def test_many_rows_of_one_turn_and_turns_without_number(spark):
+    rows = [(1, 0, "user", f"t{i:04d}") for i in range(1100)] + [(1, 1, "assistant", "answer"), (1, 2, "user", "thanks")]
+    rows += [(2, -1, "user", "b"), (2, -1, "user", "a"), (2, 0, "assistant", "d")]
+    rows += [(3, 0, "user", "same")] * 1100 + [(3, 1, "assistant", "other")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    check_chat(spark, rows, read_back(format_log(conversation_log(table))).collect())
+    # A null turn comes before turn -1, whatever the roles and texts.
+    odd = spark.createDataFrame([(4, -1, "a", "1"), (4, None, "z", "2"), (4, None, "z", None)], "conv_id long, turn long, role string, text string")
+    texts = [(r.message_no, r.role, r.text) for r in fold_messages(conversation_log(odd)).orderBy("message_no").collect()]
+    assert texts == [(0, "z", ""), (1, "z", "2"), (2, "a", "1")]
+
+
 def test_escape_is_reversible_and_complete(spark):
     rng = random.Random(6)
     parts = [*CONTROLS, "\\", "<", "[", "|", "s>", "INST]", "a", "\n"]
