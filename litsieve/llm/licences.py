@@ -77,6 +77,8 @@ NO_NOTICES = (
 )
 UNKNOWN, NONE = "unknown", "none"
 CLASSES = (*TEMPLATES, UNKNOWN, NONE)
+# Blank lines end a paragraph; single line breaks are white space.
+BLANK_LINES = r"\n[ \t\x0B\f\r]*\n\s*"
 N_GRAM = 2
 # Long paragraphs are read in overlapping windows of this many words.
 WINDOW, STRIDE = 80, 40
@@ -174,7 +176,7 @@ def fit(background: list[str], seed: int = 11) -> Classifier:
 
 def background_paragraphs(docs: DataFrame, n: int = BACKGROUND) -> list[str]:
     """First paragraphs of the ``n`` documents of smallest hash, for training only."""
-    first = F.left(F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(1)), F.lit(4000))
+    first = F.get(F.split(F.left(F.coalesce("text", F.lit("")), F.lit(4000)), BLANK_LINES, 2), 0)
     sample = columns(docs, doc_id="long", text="string").select(F.xxhash64("doc_id").alias("h"), "doc_id", first.alias("text"))
     return [row["text"] for row in sample.orderBy("h", "doc_id").limit(n).collect()]
 
@@ -190,35 +192,68 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
     """Licence notices of every document: ``doc_id, paragraph, window, family, probability,
     template, similarity, confirmed``.
 
-    Whole texts are read, paragraph by paragraph (lines), long ones in overlapping
-    windows.  A row stands for a window whose likeliest class is a family or the
-    unknown class; a family below ``CERTAIN`` is unknown too.  ``confirmed`` says that a
-    template of the family is found in the window.  Null and empty texts have no rows.
+    Whole texts are read, paragraph by paragraph (parted by blank lines), long ones in
+    overlapping windows.  A row stands for a window whose likeliest class is a family
+    or the unknown class; a family below ``CERTAIN`` is unknown too.  ``confirmed`` says
+    that a template of the family is found in the window.  A single line that confirms
+    a family none of the paragraph's windows does has a row of its own behind them, so
+    notices one below the other are all named.  Null and empty texts have no rows.
     Repeated rows are scanned one by one; a null doc_id stays null.
     """
 
+    cues = {g for t in model.vocabulary for g in t.split()}
+    templates = [grams_of(words_of(t)) for own in TEMPLATES.values() for t in own]
+    template_words = {g for own in templates for g in own if " " not in g}
+
+    def judged(part: list[str]) -> tuple | None:
+        if cues.isdisjoint(part):
+            return None  # no known term: no licence
+        grams = grams_of(part)
+        chance = model.probabilities(model.features(grams))
+        best = int(chance.argmax())
+        if CLASSES[best] == NONE:
+            return None
+        family, probability = CLASSES[best], float(chance[best])
+        template, share = (None, 0.0) if family == UNKNOWN else similarity(grams, family)
+        if family != UNKNOWN and probability < CERTAIN:
+            family = UNKNOWN
+        return family, probability, template, share, family != UNKNOWN and share >= CONFIRMED
+
+    def may_confirm(line: list[str]) -> bool:
+        # The shortest template has nine n-grams, of which three words hold five at most.
+        if len(template_words.intersection(line)) < 4:
+            return False
+        grams = grams_of(line)
+        return any(len(own & grams) >= CONFIRMED * len(own) for own in templates)
+
+    def windows(words: list[str]) -> list[list[str]]:
+        return [words[start : start + WINDOW] for start in range(0, max(1, len(words) - STRIDE), STRIDE)]
+
+    def of_paragraph(paragraph: str) -> Iterator[tuple]:
+        lines = [words for line in paragraph.split("\n") if (words := words_of(line))]
+        parts = windows([word for words in lines for word in words])
+        named = set()
+        for window, part in enumerate(parts):
+            if found := judged(part):
+                if found[-1]:
+                    named.add(found[0])
+                yield (window, *found)
+        window = len(parts)
+        for words in lines if len(lines) > 1 else ():
+            for part in windows(words) if may_confirm(words) else ():
+                if (found := judged(part)) and found[-1] and found[0] not in named:
+                    yield (window, *found)
+                    named.add(found[0])
+                    window += 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cues = {g for t in model.vocabulary for g in t.split()}
+        blank = re.compile(BLANK_LINES)
         for batch in batches:
             out: list[list] = [[] for _ in range(8)]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for number, paragraph in enumerate((text or "").split("\n")):
-                    words = words_of(paragraph)
-                    for window, start in enumerate(range(0, max(1, len(words) - STRIDE), STRIDE)):
-                        part = words[start : start + WINDOW]
-                        if cues.isdisjoint(part):
-                            continue  # no known term: no licence
-                        grams = grams_of(part)
-                        chance = model.probabilities(model.features(grams))
-                        best = int(chance.argmax())
-                        if CLASSES[best] == NONE:
-                            continue
-                        family, probability = CLASSES[best], float(chance[best])
-                        template, share = (None, 0.0) if family == UNKNOWN else similarity(grams, family)
-                        if family != UNKNOWN and probability < CERTAIN:
-                            family = UNKNOWN
-                        row = (doc_id, number, window, family, probability, template, share, family != UNKNOWN and share >= CONFIRMED)
-                        for column, value in zip(out, row):
+                for number, paragraph in enumerate(blank.split(text or "")):
+                    for found in of_paragraph(paragraph):
+                        for column, value in zip(out, (doc_id, number, *found)):
                             column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.string(), pa.float64(), pa.bool_())
             names = [field.split()[0] for field in FOUND.split(", ")]

@@ -139,6 +139,20 @@ def test_notices_are_found_in_long_paragraphs(spark, scanner):
     assert scan(rows.limit(0), scanner).count() == 0
 
 
+def test_wrapped_notices_and_notices_one_below_the_other(spark, scanner):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License"
+    both = "Released under the MIT License\nLicensed under the Apache License, Version 2.0"
+    texts = [bsd, gpl, both, f"{bsd}\r\n \t\r\n{gpl}\n\n\n{both}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in scan(rows, scanner).collect():
+        if r.confirmed:
+            got.setdefault(r.doc_id, set()).add((r.paragraph, r.family))
+    assert got[0] == {(0, "bsd")} and got[1] == {(0, "gpl-3.0")} and got[2] == {(0, "mit"), (0, "apache-2.0")}
+    assert got[3] == {(0, "bsd"), (1, "gpl-3.0"), (2, "mit"), (2, "apache-2.0")}
+
+
 def test_classifier_on_new_notices(scanner):
     from litsieve.llm.licences import CLASSES, grams_of, words_of
 
