@@ -23,6 +23,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return docs.where(~toxic_text(spark, fit(docs, labels))("text"))
 
 
+def with_row_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with a unique ``row_id``: ids may be null or repeat."""
+    return stored(docs.withColumn("row_id", F.monotonically_increasing_id()))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates stays, and one row of each doc_id.
 
@@ -42,7 +47,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """What the mix takes of every document: a row for each time it is taken, with the taken text."""
-    taken = mixed_texts(mix(docs), docs, ("lang", "source"))
+    rows = with_row_ids(docs)
+    taken = mixed_texts(mix(rows, row="row_id"), rows, ("lang", "source"), row="row_id")
     text = F.col("mixed_text").alias("text")
     return taken.select("doc_id", text, "lang", "source", F.char_length("mixed_text").cast("long").alias("n_chars"))
 

@@ -166,7 +166,7 @@ def slot_table(plan: DataFrame, counts: DataFrame, block_words: int = BLOCK_WORD
 @dataclass(frozen=True)
 class Mix:
     """``documents``: doc_id, size, source_size, target, source_no, start (their first word in
-    the source's stream).  ``slots``: shard, source_no, epoch, block, words.  ``takes``: the
+    the source's stream), and the row key where there is one.  ``slots``: shard, source_no, epoch, block, words.  ``takes``: the
     part of a document in a slot: source_no, start, shard, epoch, first_word, n_words."""
 
     documents: DataFrame
@@ -181,17 +181,21 @@ def mix(
     limit: float = LIMIT,
     block_words: int = BLOCK_WORDS,
     shard_slots: int = SHARD_SLOTS,
+    row: str | None = None,
 ) -> Mix:
     """Choose what the mix takes of every document.
 
     Words are runs without ASCII white space.  Null and empty texts have size 0:
     they are listed and nothing of them is taken.  A null source is a source of its
     own.  Repeated rows are documents of their own.  A row without doc_id counts
-    like any other.  An empty table gives an empty mix.  Draws and permutations
+    like any other.  ``row`` names a unique number of the rows, which ``documents`` then
+    keeps.  An empty table gives an empty mix.  Draws and permutations
     depend on the data alone, so reruns agree.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sizes = stored(columns(docs, doc_id="long", source="string", text="string").select("doc_id", "source", size.alias("size")))
+    key = {row: "long"} if row else {}
+    own = columns(docs, doc_id="long", source="string", text="string", **key)
+    sizes = stored(own.select("doc_id", "source", size.alias("size"), *key))
     targets = stored(source_targets(sizes, weights, share, limit))
     named = targets.withColumnRenamed("source", "name")
     numbered = sizes.join(named, F.col("source").eqNullSafe(F.col("name"))).drop("source", "name")
@@ -222,10 +226,11 @@ def taken_words(mixed: Mix) -> DataFrame:
     )
 
 
-def mixed_texts(mixed: Mix, docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def mixed_texts(mixed: Mix, docs: DataFrame, carry: tuple[str, ...] = (), row: str = "doc_id") -> DataFrame:
     """``doc_id, epoch, mixed_text``: the taken words of every document, one row per epoch.
 
-    ``carry`` names further columns of ``docs`` to keep.
+    ``carry`` names further columns of ``docs`` to keep.  ``row`` is the row key that
+    :func:`mix` was given; without one, ``doc_id`` has to be unique and never null.
     A document of which an epoch takes everything keeps its exact text; of others the
     taken words stay with the white space before them.
     """
@@ -233,13 +238,13 @@ def mixed_texts(mixed: Mix, docs: DataFrame, carry: tuple[str, ...] = ()) -> Dat
         F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("ranges"), F.sum("n_words").alias("n")
     )
     # An empty document starts where the next one does.
-    named = ranges.join(mixed.documents.where("size > 0").select("source_no", "start", "doc_id", "size"), ["source_no", "start"])
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text", *carry)
+    named = ranges.join(mixed.documents.where("size > 0").select("source_no", "start", "doc_id", "size", F.col(row).alias("__row")), ["source_no", "start"])
+    texts = docs.select(F.col(row).cast("long").alias("__id"), "text", *carry)
     words = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
     cut = F.array_join(
         F.flatten(F.transform("ranges", lambda r: F.slice(F.col("words"), (r["first_word"] + 1).cast("int"), r["n_words"].cast("int")))), ""
     )
-    found = named.join(texts, F.col("doc_id") == F.col("id"))
+    found = named.join(texts, F.col("__row") == F.col("__id"))
     whole = F.col("n") == F.col("size")
     found = found.withColumn("words", F.when(~whole, words))
     return found.select("doc_id", "epoch", F.when(whole, F.col("text")).otherwise(F.ltrim(cut)).alias("mixed_text"), *carry)

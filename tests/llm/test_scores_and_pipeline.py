@@ -208,5 +208,18 @@ def test_stages_one_after_the_other(spark, tmp_path):
     assert {r.doc_id for r in packed} == {r.doc_id for r in read("3").collect()}
 
 
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_mixing_stage_with_null_and_repeated_ids(spark):
+    texts = [(1, "a b c"), (1, "d e f g"), (1, "d e f g"), (None, "h i"), (None, "j k l m n"), (2, "o p")]
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], DOCUMENT)
+    got = corpus_pipeline.mix_sources(spark, rows, "").collect()
+    n = sum(len(t.split()) for _, t in texts)
+    assert abs(sum(len(r.text.split()) for r in got) - 1.5 * n) <= 0.5
+    # One block takes everything once, and half of the words again.
+    assert all(sum((r.doc_id, r.text) == own for r in got) >= texts.count(own) for own in texts)
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
