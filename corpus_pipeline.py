@@ -29,20 +29,35 @@ def with_row_ids(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates stays, and one row of each doc_id.
+    """One row of each group of near duplicates stays, the one of smallest doc_id.
 
-    Only documents that may go are shuffled: a Bloom filter of their ids lets the
-    others pass.
+    Every row is judged by its own text, so different texts of one doc_id are not tied
+    to each other.  Rows without a word are no near duplicates; of those with one
+    doc_id and text one stays.  Rows without doc_id stay.  Only rows that may go are
+    shuffled: a Bloom filter of their numbers lets the others pass.
     """
-    gone = near_duplicates(docs).where("not kept").select("doc_id")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    touched = stored(gone.withColumn("gone", F.lit(True)).unionByName(repeated.withColumn("gone", F.lit(False))))
-    ids = touched.groupBy("doc_id").agg(F.bool_or("gone").alias("gone"))
-    maybe = F.coalesce(may_be_listed(spark, build_filter(ids, "doc_id"))(F.xxhash64("doc_id")) & F.col("doc_id").isNotNull(), F.lit(False))
-    marked = docs.withColumn("__maybe", maybe)
-    others = marked.where("not __maybe").drop("__maybe")
-    checked = marked.where("__maybe").drop("__maybe").join(ids.where("gone"), "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return others.unionByName(checked.select(docs.columns))
+    rows = with_row_ids(docs)
+    named = rows.where("doc_id is not null")
+    judged = near_duplicates(named.select(F.col("row_id").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("row_id"), F.col("component_id").alias("component"), (F.col("n_shingles") > 0).alias("worded")
+    )
+    # The hash of the text orders rows of one id, so reruns keep the same text.
+    order = F.struct("doc_id", "hash", "row_id")
+    keys = named.select("row_id", "doc_id", F.xxhash64("text").alias("hash"))
+    known = stored(keys.join(judged, "row_id"))
+    worded = known.where("worded").groupBy("component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    tied = known.where("worded").join(worded, "component").where("row_id <> first.row_id").select("row_id")
+    same = ["doc_id", "text"]
+    empty = known.where("not worded").select("row_id").join(named.select("row_id", *same), "row_id")
+    again = empty.groupBy(*same).agg(F.min("row_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").alias("g")
+    alike = [F.col(f"e.{c}").eqNullSafe(F.col(f"g.{c}")) for c in same]
+    repeated = empty.alias("e").join(again, alike).where("row_id <> first").select("row_id")
+    gone = stored(tied.unionByName(repeated))
+    maybe = may_be_listed(spark, build_filter(gone, "row_id"))(F.xxhash64("row_id"))
+    marked = rows.withColumn("__maybe", maybe)
+    others = marked.where("not __maybe")
+    checked = marked.where("__maybe").join(gone, "row_id", "left_anti")
+    return others.select(docs.columns).unionByName(checked.select(docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

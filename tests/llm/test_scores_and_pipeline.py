@@ -221,5 +221,15 @@ def test_mixing_stage_with_null_and_repeated_ids(spark):
     assert all(sum((r.doc_id, r.text) == own for r in got) >= texts.count(own) for own in texts)
 
 
+def test_near_duplicate_stage_judges_rows(spark):
+    words = lambda start: " ".join(f"w{start}x{i}" for i in range(40))
+    texts = [(1, words(1)), (2, words(1) + " more"), (2, words(2)), (2, words(3)), (2, words(3)), (3, words(4)), (3, words(5))]
+    texts += [(4, None), (4, None), (4, ""), (5, ""), (None, words(6)), (None, words(7))]
+    rows = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], DOCUMENT)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, rows, "").collect()]
+    expected = {own for own in texts if own != (2, words(1) + " more")}
+    assert len(got) == len(expected) and set(got) == expected
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
