@@ -16,7 +16,6 @@ from litsieve.session import stored
 
 K_WORDS = 5
 INNER_WORDS = 2
-SKETCH = 128
 
 
 def words_of(text: Column) -> Column:
@@ -74,31 +73,24 @@ def matched_anchors(left: DataFrame, right: DataFrame, pairs: DataFrame) -> Data
     return named.groupBy("a", pairs["b"], (F.col("r.place") - F.col("l.place")).alias("shift")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds the ``SKETCH`` smallest different anchor hashes of a text, sorted."""
+def with_hashes(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the hashes of all anchors of a text, in the order of their places."""
     w, h = f"__{name}_words", f"__{name}_inner"
     inner = _with_inner(df.withColumn(w, words_of(F.col(text))), w, h)
     found = F.transform(_places(h), lambda i: _hash(h, i))
     whole = F.when(F.size(w) > 0, F.array(F.hash(w))).otherwise(F.array().cast("array<int>"))
-    every = F.when(F.size(w) >= K_WORDS, found).otherwise(whole)
-    sketch = F.slice(F.sort_array(F.array_distinct(every)), 1, SKETCH)
-    return inner.withColumn(name, sketch).drop(w, h)
+    return inner.withColumn(name, F.when(F.size(w) >= K_WORDS, found).otherwise(whole)).drop(w, h)
 
 
-def fingerprint(sketch: Column) -> Column:
-    """Sketch as text: eight hexadecimal digits per anchor."""
-    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.hex(F.expr("4294967295L").bitwiseAND(x.cast("long"))), 8, "0")), "")
+def fingerprint(hashes: Column) -> Column:
+    """Anchors as text: eight hexadecimal digits each."""
+    return F.array_join(F.transform(hashes, lambda x: F.lpad(F.hex(F.expr("4294967295L").bitwiseAND(x.cast("long"))), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of common anchors among the smallest ones of both texts, from 0 to 1.
-
-    It estimates the Jaccard similarity of all their anchors.  Two texts without
-    anchors are alike.
-    """
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(both, F.array_intersect(a, b)))
-    return F.when(F.size(both) == 0, 1.0).otherwise(common / F.size(both))
+    """Jaccard similarity of all anchors of both texts, from 0 to 1.  Two texts without anchors are alike."""
+    both = F.size(F.array_union(a, b))
+    return F.when(both == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / both)
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -111,7 +103,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     no part.  Empty tables give no rows.
 
     Only ids and lengths are ordered.  Texts are shuffled once by id; what a
-    document needs of the next one travels from there: the prefix and the sketch.
+    document needs of the next one travels from there: the prefix and the anchors.
     """
     texts = columns(docs, doc_id="long", text="string").where("doc_id is not null").withColumn("text", F.coalesce("text", F.lit("")))
     sizes = texts.select("doc_id", F.char_length("text").cast("long").alias("n_chars"))
@@ -125,26 +117,26 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     # The document that precedes each one, and how much of the text it borrows.
     owners = ranked.select(F.col("doc_id").alias("owner"), F.floor(F.col("n_chars") / 2).alias("half"), (F.col("rank") % F.lit(max(1, total)) + 1).alias("rank"))
     loans = stored(ranked.select("doc_id", "rank").join(owners, "rank").select("doc_id", "owner", "half"))
-    own = with_sketch(texts.join(loans.select("doc_id", "owner", "half"), "doc_id"), "text", "sketch")
+    own = with_hashes(texts.join(loans.select("doc_id", "owner", "half"), "doc_id"), "text", "hashes")
     lent = own.select(
         F.col("owner").alias("doc_id"),
         F.left("text", F.col("half").cast("int")).alias("borrowed"),
-        F.col("sketch").alias("next_sketch"),
+        F.col("hashes").alias("next_hashes"),
     )
-    mine = own.select("doc_id", "text", "sketch")
+    mine = own.select("doc_id", "text", "hashes")
     both = mine.join(lent, "doc_id")
     n = F.char_length("text")
     kept = n - F.floor(n / 2)
     edited = F.concat(F.left("text", kept.cast("int")), "borrowed")
     # A shorter next document replaces as much as it has; the rest of the half is gone.
     both = both.withColumn("edited", edited)
-    both = with_sketch(both, "edited", "edited_sketch")
+    both = with_hashes(both, "edited", "edited_hashes")
     return both.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("sketch")).alias("fingerprint"),
-        fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        fingerprint(F.col("hashes")).alias("fingerprint"),
+        fingerprint(F.col("edited_hashes")).alias("edited_fingerprint"),
+        likeness(F.col("hashes"), F.col("edited_hashes")).alias("near_edited"),
+        likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
     )

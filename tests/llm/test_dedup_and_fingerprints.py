@@ -129,6 +129,20 @@ def test_edited_texts_and_likeness(spark):
     assert edited_fingerprints(rows.limit(0)).count() == 0
 
 
+def test_fingerprints_hold_every_anchor(spark):
+    rng = random.Random(2)
+    words = [f"v{rng.randrange(10**6)}" for _ in range(3000)]
+    # The second text differs in one word and has a passage of its own.
+    other = words[:1000] + ["changed"] + words[1001:] + [f"v{rng.randrange(10**6)}" for _ in range(60)]
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "doc_id long, text string")
+    own = {r.doc_id: [a.hash for a in r.anchors] for r in anchors(rows).collect()}
+    got = {r.doc_id: r for r in edited_fingerprints(rows).collect()}
+    for i, found in own.items():
+        assert len(found) > 1000 and got[i].fingerprint == "".join(f"{h & 0xFFFFFFFF:08X}" for h in found)
+    alike = len({*own[1]} & {*own[2]}) / len({*own[1]} | {*own[2]})
+    assert alike < 1 and abs(got[1].near_next - alike) < 1e-12 and abs(got[2].near_next - alike) < 1e-12
+
+
 def test_repeated_ids_are_one_document(spark):
     rows = spark.createDataFrame([(1, "b b b"), (1, "a a a"), (2, "c"), (None, "x")], "doc_id long, text string")
     got = {r.doc_id: r.n_chars for r in edited_fingerprints(rows).collect()}
