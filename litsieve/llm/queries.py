@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litsieve.llm import revisits, sql, url_filter
+from litsieve.llm import hard_negatives, revisits, sql, url_filter
 from litsieve.llm.chat import conversation_log, format_log, read_back
 from litsieve.llm.common import table
 from litsieve.llm.licences import licences
@@ -64,6 +64,12 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(format_log(conversation_log(said.unionByName(planted))))
 
 
+def op12_slot_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_multi_index": op1_multi_index,
@@ -76,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_chat_format": op10_chat_format,
+        "op12_slot_negatives": op12_slot_negatives,
     }
 
 
@@ -85,4 +92,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_url_filter": url_filter.ORACLE_SQL,
         "op5_minmax_dedup": sql.NEAR_DUPLICATES,
         "op10_chat_format": sql.CHAT,
+        "op12_slot_negatives": hard_negatives.ORACLE_SQL,
     }
