@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,24 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def public_tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def worker_value(key, make: Callable):
+    """What ``make`` gives, once per worker process: tasks that follow find it.
+
+    Functions reach the workers by value, each with globals of its own, so the values
+    are kept in a module that belongs to the process.
+    """
+    kept = sys.modules.setdefault("litsieve_worker", types.ModuleType("litsieve_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes | None]:
     """UTF-8 bytes of a text column, without a Python string per row."""
     column = batch.column(name)

@@ -15,6 +15,7 @@ from litsieve.llm.mixing import mix, taken_words
 from litsieve.llm.multi_index import nearest_neighbours
 from litsieve.llm.packing import packed_documents
 from litsieve.llm.syncmers import edited_fingerprints
+from litsieve.llm.token_alignment import token_alignment
 from litsieve.llm.toxicity import toxicity
 
 
@@ -64,6 +65,10 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(format_log(conversation_log(said.unionByName(planted))))
 
 
+def op11_token_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment(table(spark, folder, "documents"))
+
+
 def op12_slot_negatives(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -82,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_chat_format": op10_chat_format,
+        "op11_token_windows": op11_token_windows,
         "op12_slot_negatives": op12_slot_negatives,
     }
 
