@@ -24,11 +24,13 @@ def columns(df: DataFrame, **types: str) -> DataFrame:
 # Rows of one Arrow batch.  Spark's 10,000 are tens of megabytes of text, held by the
 # JVM and by Python at once in every task.
 TEXT_BATCH_ROWS = 1000
+TEXT_BATCH_BYTES = 16 << 20
 
 
 def texts(df: DataFrame, **types: str) -> DataFrame:
     """Like :func:`columns`, for tables whose texts go to Python: batches are kept small."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_BATCH_ROWS)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", TEXT_BATCH_BYTES)
     return columns(df, **types)
 
 

@@ -14,6 +14,7 @@ from litsieve.llm.minhash import near_duplicates
 from litsieve.llm.mixing import mix, taken_words
 from litsieve.llm.multi_index import nearest_neighbours
 from litsieve.llm.packing import packed_documents
+from litsieve.llm.suffix_dedup import suffix_dedup
 from litsieve.llm.syncmers import edited_fingerprints
 from litsieve.llm.token_alignment import token_alignment
 from litsieve.llm.toxicity import toxicity
@@ -75,6 +76,10 @@ def op12_slot_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_multi_index": op1_multi_index,
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_chat_format": op10_chat_format,
         "op11_token_windows": op11_token_windows,
         "op12_slot_negatives": op12_slot_negatives,
+        "op13_suffix_dedup": op13_suffix_dedup,
     }
 
 
