@@ -640,8 +640,19 @@ marked AS (SELECT n.*, CASE WHEN title_en IN (SELECT t FROM en) AND abstract IN
           SELECT seq, title_zh, CASE WHEN mark = '' THEN {_template("'其他'", 'abstract')} ELSE summary_zh END AS summary_zh
           FROM (SELECT seq, journal, publication_stage, title_en, abstract, mark, {_translated('mark')} FROM marked)"""),
         "stream_digest": sql(TO_REVIEWED, "SELECT seq, relevance_status, category, llm_confidence, final_decision FROM reviewed"),
-        "stream_dedupe": sql([RAW, NORM], f"SELECT DISTINCT {DKEY} AS dedupe_key FROM norm WHERE published_at <> ''"),
+        "stream_dedupe": sql([RAW, NORM], f"SELECT min(seq) AS seq, {DKEY} AS dedupe_key FROM norm WHERE published_at <> '' GROUP BY 2"),
         "stream_undated": sql([RAW, NORM], "SELECT source_id, count(*) AS n FROM norm WHERE published_at = '' GROUP BY 1"),
+        "stream_clusters": sql([RAW, NORM, KEYS, CLUSTERS], "SELECT seq, cluster FROM cluster", True),
+        "stream_late": """
+          WITH e AS (SELECT event_type, ts, day(ts) // 8 + (event_id % 10 = 0)::INT AS run FROM events),
+          marks AS (SELECT run, max(max(ts)) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM e GROUP BY run),
+          days AS (SELECT unnest(generate_series((SELECT date_trunc('day', min(ts)) FROM events) - INTERVAL 3 DAY,
+            (SELECT date_trunc('day', max(ts)) FROM events) + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS d),
+          w AS (SELECT d - INTERVAL 8 HOUR AS s, d + INTERVAL 24 HOUR AS t FROM days),
+          seen AS (SELECT event_type, s, t, coalesce(t <= mark - INTERVAL 1 DAY, false) AS late FROM e JOIN marks USING (run) JOIN w ON ts >= s AND ts < t)
+          SELECT strftime(s, '%Y-%m-%dT%H:%M:%SZ') AS window_start, strftime(t, '%Y-%m-%dT%H:%M:%SZ') AS window_end, event_type,
+            count(*) FILTER (NOT late) AS n, count(*) FILTER (late) AS n_late
+          FROM seen GROUP BY ALL""",
     }
 
 

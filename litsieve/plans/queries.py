@@ -45,7 +45,7 @@ from litsieve.sources.feeds import read_feeds, skip_front_matter
 from litsieve.sources.listings import listing_links, page_links
 from litsieve.sources.records import scan_records as scan_json, filled_decisions
 from litsieve.sources.registry import enrich, select_sources as choose_sources, source_locators
-from litsieve.streaming import runs
+from litsieve.streaming import resolution, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -638,19 +638,24 @@ def _stream_records(spark: SparkSession, sf: str) -> DataFrame:
     return records_from(_record_stream(spark, sf))
 
 
-def _deduped(spark: SparkSession, sf: str) -> str:
-    """Folder of a stream of ``documents`` that landed in five files, one per micro-batch."""
-    folder = _folder(spark)
+def _landed(spark: SparkSession, sf: str, folder: str, parts: int = 5) -> DataFrame:
+    """Stream of ``documents`` that landed in several files, one per micro-batch."""
     docs = table(spark, sf, "documents", spread_text=False)
-    docs.repartitionByRange(5, "doc_id").write.parquet(f"{folder}/in")
+    docs.repartitionByRange(parts, "doc_id").write.parquet(f"{folder}/in")
     stream = runs.read_landed(spark, f"{folder}/in", docs.schema, "parquet", files_per_batch=1)
-    runs.start_dedupe(normalize_records(records_from(stream)), folder).awaitTermination()
+    return normalize_records(records_from(stream))
+
+
+def _deduped(spark: SparkSession, sf: str) -> str:
+    folder = _folder(spark)
+    runs.start_dedupe(_landed(spark, sf, folder), folder).awaitTermination()
     return folder
 
 
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct primary keys of the dated records of a stream."""
-    return spark.read.schema("dedupe_key string").parquet(f"{_deduped(spark, sf)}/records").select("dedupe_key")
+    """First record of each primary key among the dated records of a stream."""
+    kept = runs.read_deduped(spark, _deduped(spark, sf), "seq long, dedupe_key string")
+    return kept.select("seq", "dedupe_key")
 
 
 def stream_undated(spark: SparkSession, sf: str) -> DataFrame:
@@ -659,6 +664,31 @@ def stream_undated(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters kept up over the batches of a stream, whose files arrive in any order."""
+    folder = _folder(spark)
+    resolution.start_resolution(_landed(spark, sf, folder, 3), folder).awaitTermination()
+    return resolution.current_clusters(spark, folder)
+
+
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Counted and late events by digest window and type, after five runs.
+
+    Each run gets the events of eight days of the month; one event in ten comes a run
+    late.
+    """
+    folder = _folder(spark)
+    events = table(spark, sf, "events").select("event_id", "ts", "event_type")
+    run = F.floor(F.dayofmonth("ts") / 8) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    for number in range(5):
+        landed = events.where(run == number)
+        landed.write.mode("append").parquet(f"{folder}/in")
+        stream = runs.read_landed(spark, f"{folder}/in", landed.schema, "parquet")
+        runs.start_window_counts(stream, folder, "ts", ["event_type"], "1 day").awaitTermination()
+    counts = runs.read_window_counts(spark, folder, "event_type string")
+    return counts.select(iso_utc("window_start").alias("window_start"), iso_utc("window_end").alias("window_end"), "event_type", "n", "n_late")
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_records": scan_records,
@@ -738,4 +768,6 @@ def queries() -> dict[str, Query]:
         "stream_digest": stream_digest,
         "stream_dedupe": stream_dedupe,
         "stream_undated": stream_undated,
+        "stream_clusters": stream_clusters,
+        "stream_late": stream_late,
     }

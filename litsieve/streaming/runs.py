@@ -19,6 +19,11 @@ from litsieve.operators.dedupe import dedupe_key
 from litsieve.operators.normalize import normalize_records
 from litsieve.operators.relevance import filter_relevance
 from litsieve.operators.review import review
+from litsieve.session import release, stored
+from litsieve.streaming.keyed import KeyedTable
+
+# Length, step and offset of the daily digest window.
+DIGEST_WINDOW = ("32 hours", "24 hours", "16 hours")
 
 
 def read_landed(
@@ -77,48 +82,109 @@ def split_undated(stream: DataFrame, time: str = "published_at") -> tuple[DataFr
 
 
 def start_dedupe(normalized: DataFrame, folder: str, available_now: bool = True) -> StreamingQuery:
-    """Write each record whose primary key no earlier batch or run has seen.
-
-    The keys are a stored table next to the output, so they are never forgotten and
-    copies may lie any time apart.  Each batch reads the keys of earlier batches,
-    keeps the first record of every new key, and writes records, keys and undated
-    records under its own number: a batch that is repeated after a failure replaces
-    what it wrote.  Undated records have no place in a digest and are set aside, not
-    lost.  Chains over several keys stay with the batch resolution.
+    """Keep one record of each primary key; :func:`read_deduped` reads them.
+
+    The record of smallest ``seq`` stands for its key, whichever file, batch or run
+    brings it, so the result does not hang on the order of arrival: a batch writes a
+    record if its key is new or if its ``seq`` is below the one kept so far.  The keys
+    are a table in hash-partitioned files next to the output; they are never forgotten,
+    copies may lie any time apart, and a batch reads only the partitions it touches.  A
+    batch that is repeated after a failure replaces what it wrote.  Undated records have
+    no place in a digest and are set aside, not lost.  Chains over several keys are kept
+    by ``streaming.resolution``.
     """
-    out, keys, undated = (f"{folder}/{name}" for name in ("records", "keys", "undated"))
 
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        keys = KeyedTable(batch.sparkSession, f"{folder}/keys", "dedupe_key", "dedupe_key string, seq long")
+        batch.persist()
         dated, rest = split_undated(batch)
-        rest.drop("event_time").write.mode("overwrite").parquet(f"{undated}/batch={number}")
+        rest.drop("event_time").write.mode("overwrite").parquet(f"{folder}/undated/batch={number}")
         keyed = dated.withColumn("dedupe_key", dedupe_key())
-        if number:
-            seen = spark.read.schema("dedupe_key string, batch long").parquet(keys).where(F.col("batch") < number)
-            keyed = keyed.join(seen.select("dedupe_key"), "dedupe_key", "left_anti")
         first = keyed.groupBy("dedupe_key").agg(F.min("seq").alias("seq"))
-        keyed.join(first, ["dedupe_key", "seq"], "left_semi").write.mode("overwrite").parquet(f"{out}/batch={number}")
-        first.select("dedupe_key").write.mode("overwrite").parquet(f"{keys}/batch={number}")
+        seen = keys.find(first, number).groupBy("dedupe_key").agg(F.min("seq").alias("seen"))
+        better = stored(first.join(seen, "dedupe_key", "left").where("seen is null or seq < seen").drop("seen"))
+        keyed.join(better, ["dedupe_key", "seq"], "left_semi").write.mode("overwrite").parquet(f"{folder}/records/batch={number}")
+        keys.put(better, number)
+        release(better)
+        batch.unpersist()
 
     return start_batches(normalized, handle, f"{folder}/state", available_now)
 
 
+def read_deduped(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """What :func:`start_dedupe` keeps; ``schema`` names the columns to read, ``seq`` and ``dedupe_key`` among them."""
+    rows = spark.read.schema(schema).parquet(f"{folder}/records")
+    first = rows.groupBy("dedupe_key").agg(F.min("seq").alias("seq"))
+    return rows.join(first, ["dedupe_key", "seq"], "left_semi")
+
+
 def window_counts(events: DataFrame, time: str, keys: list[str], delay: str = "1 day") -> DataFrame:
-    """Counts per daily digest window and key; late rows past the delay are dropped."""
+    """Counts per daily digest window and key; late rows past the delay are dropped.
+
+    :func:`start_window_counts` keeps and counts them.
+    """
     late = events.withWatermark(time, delay)
     return (
-        late.groupBy(F.window(time, "32 hours", "24 hours", "16 hours"), *keys)
+        late.groupBy(F.window(time, *DIGEST_WINDOW), *keys)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "n")
     )
 
 
+def start_window_counts(
+    events: DataFrame, folder: str, time: str, keys: list[str], delay: str = "1 day", available_now: bool = True
+) -> StreamingQuery:
+    """Counts per daily digest window and key, with the late rows beside them.
+
+    The watermark of a batch is the latest time of all earlier batches less ``delay``.
+    A row is late for a window that ended by then: its digest has been sent.  Late rows
+    are counted apart and kept, one row for each window they missed, under
+    ``late/batch=n``; counts of a batch are added up on reading
+    (:func:`read_window_counts`), so no window has to stay in memory.
+    Rows without a time are counted with a null window.
+    """
+    spark = events.sparkSession
+
+    def handle(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        marks = f"{folder}/marks"
+        latest = F.lit(None).cast("timestamp")
+        if number:
+            # One row per batch.
+            seen = spark.read.schema("latest timestamp, batch long").parquet(marks).where(F.col("batch") < number)
+            latest = F.lit(seen.agg(F.max("latest")).first()[0])
+        dated = batch.withColumn("digest", F.window(time, *DIGEST_WINDOW))
+        undated = batch.where(F.col(time).isNull()).withColumn("digest", F.lit(None).cast(dated.schema["digest"].dataType))
+        closed = F.coalesce(F.col("digest.end") <= latest - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        marked = dated.unionByName(undated).withColumns(
+            {"late": closed, "window_start": F.col("digest.start"), "window_end": F.col("digest.end")}
+        ).drop("digest")
+        counts = marked.groupBy("window_start", "window_end", *keys, "late").agg(F.count(F.lit(1)).alias("n"))
+        counts.write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
+        marked.where("late").drop("late").write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
+        batch.agg(F.max(time).alias("latest")).write.mode("overwrite").parquet(f"{marks}/batch={number}")
+        batch.unpersist()
+
+    return start_batches(events, handle, f"{folder}/state", available_now)
+
+
+def read_window_counts(spark: SparkSession, folder: str, keys: str) -> DataFrame:
+    """``window_start, window_end``, the keys, ``n`` and ``n_late``; ``keys`` is the layout of the keys."""
+    names = [field.split()[0] for field in keys.split(",")]
+    rows = spark.read.schema(f"window_start timestamp, window_end timestamp, {keys}, late boolean, n long").parquet(f"{folder}/counts")
+    late = F.sum(F.when(F.col("late"), F.col("n")).otherwise(0))
+    return rows.groupBy("window_start", "window_end", *names).agg((F.sum("n") - late).alias("n"), late.alias("n_late"))
+
+
 __all__ = [
     "annotate_stream",
+    "read_deduped",
     "read_landed",
+    "read_window_counts",
     "split_undated",
     "start_batches",
     "start_dedupe",
     "start_routes",
+    "start_window_counts",
     "window_counts",
 ]

@@ -1,11 +1,14 @@
 import datetime as dt
 import json
+import random
 
 from pyspark.sql import functions as F
 
+from litsieve.operators.dedupe import clusters, dedupe_candidates
 from litsieve.operators.normalize import normalize_records
 from litsieve.schemas import RAW
 from litsieve.streaming import runs
+from litsieve.streaming.resolution import current_clusters, resolve_batch
 
 
 def drain(stream, tmp_path, name):
@@ -28,18 +31,78 @@ def test_duplicates_across_runs(spark, tmp_path):
             {"tags": F.array().cast("array<string>"), "authors": F.array().cast("array<string>")}
         )
         runs.start_dedupe(normalize_records(raw), str(tmp_path / "work")).awaitTermination()
-        return spark.read.schema("seq bigint, dedupe_key string").parquet(str(tmp_path / "work" / "records"))
+        return runs.read_deduped(spark, str(tmp_path / "work"), "seq bigint, dedupe_key string")
 
     assert run().count() == 1
     # A copy weeks later is still a copy, and so is one in the next file.
     later = [dict(record, seq=2, published="2026-05-01T00:00:00Z"), dict(record, seq=3, doi="10.1/b"), dict(record, seq=4, published="")]
     (folder / "day2.json").write_text("\n".join(json.dumps(r) for r in later))
     (folder / "day3.json").write_text(json.dumps(dict(record, seq=5, doi="10.1/b")))
+    # Both files are written within a tick, so either may come first; the smaller seq stands.
     assert {r.seq for r in run().collect()} == {1, 3}
     undated = spark.read.schema("seq bigint").parquet(str(tmp_path / "work" / "undated"))
     assert [r.seq for r in undated.collect()] == [4]
 
 
+def chained(draw, n):
+    """Records with urls and dois out of few, so that clusters join late and in chains."""
+    pick = lambda name, k: f"{name}{draw.randrange(k)}" if draw.random() < 0.6 else ""
+    return [
+        (i, f"https://x.org/{u}" if (u := pick("u", n // 2)) else "", f"10.1/{d}" if (d := pick("d", n // 2)) else "", "j", f"t{draw.randrange(n)}")
+        for i in range(n)
+    ]
+
+
+def test_clusters_in_any_order(spark, tmp_path):
+    draw = random.Random(4)
+    rows = chained(draw, 60)
+    records = spark.createDataFrame(rows, "seq long, canonical_url string, doi string, journal string, title_norm string")
+    keys = records.select("seq", dedupe_candidates().alias("candidates"))
+    want = {(r.seq, r.cluster) for r in clusters(keys).collect()}
+    assert len({c for _, c in want}) < 50
+    for turn in range(2):
+        draw.shuffle(rows)
+        folder = str(tmp_path / f"{turn}")
+        for number in range(4):
+            batch = spark.createDataFrame(rows[number::4], records.schema)
+            resolve_batch(batch, folder, number)
+            if number == 2:  # a batch that is repeated after a failure
+                resolve_batch(batch, folder, number)
+        assert {(r.seq, r.cluster) for r in current_clusters(spark, folder).collect()} == want
+
+
+def test_first_record_wins_in_any_order(spark, tmp_path):
+    def run(order):
+        folder = tmp_path / "-".join(map(str, order))
+        (folder / "in").mkdir(parents=True)
+        for seq in order:
+            row = {"seq": seq, "title": "a", "doi": f"10.1/{seq % 2}", "published": "2026-03-01T00:00:00Z"}
+            (folder / "in" / f"{seq}.json").write_text(json.dumps(row))
+            raw = runs.read_landed(spark, str(folder / "in"), RAW).withColumns(
+                {"tags": F.array().cast("array<string>"), "authors": F.array().cast("array<string>")}
+            )
+            runs.start_dedupe(normalize_records(raw), str(folder / "work")).awaitTermination()
+        kept = runs.read_deduped(spark, str(folder / "work"), "seq bigint, dedupe_key string, title_en string")
+        return sorted((r.seq, r.dedupe_key, r.title_en) for r in kept.collect())
+
+    assert run([4, 1, 3, 2]) == run([1, 2, 3, 4]) == [(1, "doi:10.1/1", "a"), (2, "doi:10.1/0", "a")]
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    folder = str(tmp_path)
+    day = lambda d, h: dt.datetime(2026, 3, d, h)
+    for rows in ([(day(1, 18), "a"), (day(9, 12), "a")], [(day(1, 19), "a"), (day(8, 17), "b"), (None, "b")]):
+        spark.createDataFrame(rows, "ts timestamp, kind string").write.mode("append").parquet(f"{folder}/in")
+        events = spark.readStream.schema("ts timestamp, kind string").parquet(f"{folder}/in")
+        runs.start_window_counts(events, folder, "ts", ["kind"], "12 hours").awaitTermination()
+    got = {(r.window_end, r.kind): (r.n, r.n_late) for r in runs.read_window_counts(spark, folder, "kind string").collect()}
+    # The row of the first evening came after both of its digests, the others in time.
+    assert got[day(2, 0), "a"] == (1, 1) and got[day(3, 0), "a"] == (1, 1)
+    assert got[day(9, 0), "b"] == (0, 1) and got[day(10, 0), "b"] == (1, 0) and got[None, "b"] == (1, 0)
+    kept = spark.read.schema("ts timestamp, window_end timestamp").parquet(f"{folder}/late").collect()
+    assert sorted((r.ts, r.window_end) for r in kept) == [(day(1, 19), day(2, 0)), (day(1, 19), day(3, 0)), (day(8, 17), day(9, 0))]
+
+
 def test_window_counts_drop_late_rows(spark, tmp_path):
     folder = str(tmp_path / "events")
     rows = [(dt.datetime(2026, 3, 1, 18), "a"), (dt.datetime(2026, 3, 20), "a")]
