@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +22,9 @@ from litsieve.session import release, stored
 
 BYTE_LEVEL_FILE = "byte_bpe_50k.json"
 PIECE_FILE = "piece_bpe_32k.model"
-# Windows that a worker remembers, and the ids that one may have to be remembered.
-MEMO_WINDOWS = 100_000
-MEMO_IDS = 64
+# Windows and linked pairs that a worker remembers; it starts afresh beyond.
+MEMO_WINDOWS = 250_000
+MEMO_PAIRS = 4_000_000
 # Longer texts are tokenised in parts; both tokenizers always split before a space between letters.
 PART_CHARS = 1 << 20
 PART_END = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
@@ -60,7 +60,8 @@ class _Tokens:
 
     def __init__(self, entries: list[bytes]):
         self.entries = entries
-        self.lengths = np.array([len(e) for e in entries], np.int64)
+        self.sizes = [len(e) for e in entries]
+        self.lengths = np.array(self.sizes, np.int64)
         self.spaced = np.array([e[:1] == b" " for e in entries])
 
     def whole(self, ids: list[int], data: bytes) -> bool:
@@ -86,7 +87,8 @@ class _Aligner:
         # The merges of a byte-level vocabulary are in the order of its ids.
         ranks = {entry: i for i, entry in enumerate(self.a.entries) if entry}
         self.bytes_bpe = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.memo: dict[bytes, tuple] = {}
+        self.numbers = [str(i) for i in range(max(len(self.a.entries), len(self.b.entries)))].__getitem__
+        self.forget()
 
     def ids(self, text: str) -> tuple[list[int], list[int]]:
         if len(text) <= PART_CHARS:
@@ -102,20 +104,41 @@ class _Aligner:
             start = end
         return first, second
 
-    def window(self, a: bytes, b: bytes) -> tuple:
-        """Groups as text, their number, links, and the linked pairs with their times."""
-        a_ids, b_ids = np.frombuffer(a, "<u4").tolist(), np.frombuffer(b, "<u4").tolist()
-        ends = [np.cumsum(t.lengths[i]).tolist() for t, i in ((self.a, a_ids), (self.b, b_ids))]
-        groups, links, i, j, low, high = [], [], 0, 0, 0, 0
-        while i < len(a_ids) and j < len(b_ids):
-            links.append(a_ids[i] << 32 | b_ids[j])
-            x, y = ends[0][i], ends[1][j]
-            i, j = i + (x <= y), j + (y <= x)
-            if x == y:
-                groups.append(",".join(map(str, a_ids[low:i])) + "|" + ",".join(map(str, b_ids[high:j])))
+    def window(self, a_ids: list[int], b_ids: list[int]) -> int:
+        """Align two lists of ids that cover the same bytes; returns the window's number."""
+        a_size, b_size, numbers = self.a.sizes, self.b.sizes, self.numbers
+        groups, links = [], {}
+        i = j = low = high = 0
+        x, y, total = a_size[a_ids[0]], b_size[b_ids[0]], 0
+        while True:
+            pair = a_ids[i] << 32 | b_ids[j]
+            links[pair] = links.get(pair, 0) + 1
+            total += 1
+            end, other = x, y
+            if end <= other:
+                i += 1
+            if other <= end:
+                j += 1
+            if end == other:
+                groups.append(",".join(map(numbers, a_ids[low:i])) + "|" + ",".join(map(numbers, b_ids[high:j])))
                 low, high = i, j
-        pairs = Counter(links)
-        return ";".join(groups).encode(), len(groups), len(links), list(pairs), list(pairs.values())
+                if i == len(a_ids) or j == len(b_ids):
+                    break
+            if end <= other:
+                x += a_size[a_ids[i]]
+            if other <= end:
+                y += b_size[b_ids[j]]
+        for column, value in ((self.starts, len(self.pairs)), (self.counts, len(links)), (self.groups, len(groups)), (self.links, total)):
+            column.append(value)
+        self.pairs.extend(links)
+        self.times.extend(links.values())
+        self.texts.append(";".join(groups).encode())
+        return len(self.texts) - 1
+
+    def forget(self) -> None:
+        self.memo: dict[bytes, int] = {}
+        self.texts: list[bytes] = []
+        self.starts, self.counts, self.groups, self.links, self.pairs, self.times = (array("q") for _ in range(6))
 
     def align(self, data: bytes | None) -> tuple:
         """Counts, digest, pairs and times of one text."""
@@ -126,41 +149,37 @@ class _Aligner:
         spaced = b" " + data
         if not (self.a.whole(a_list, spaced) and self.b.whole(b_list, spaced)):
             return nothing
+        if len(self.texts) > MEMO_WINDOWS or len(self.pairs) > MEMO_PAIRS:
+            self.forget()
         a_ids, b_ids = np.array(a_list, "<u4"), np.array(b_list, "<u4")
         (a_at, a_byte), (b_at, b_byte) = self.a.spaces(a_ids), self.b.spaces(b_ids)
         near = np.searchsorted(b_byte, a_byte)
         shared = near < len(b_byte)
         shared[shared] = b_byte[near[shared]] == a_byte[shared]
-        a_cuts = [0, *(4 * a_at[shared]).tolist(), 4 * len(a_ids)]
-        b_cuts = [0, *(4 * b_at[near[shared]]).tolist(), 4 * len(b_ids)]
+        a_cuts, b_cuts = [*a_at[shared].tolist(), len(a_list)], [*b_at[near[shared]].tolist(), len(b_list)]
+        if a_cuts[0]:
+            a_cuts, b_cuts = [0, *a_cuts], [0, *b_cuts]
         a_raw, b_raw, memo = a_ids.tobytes(), b_ids.tobytes(), self.memo
-        digest, groups, links, first = hashlib.sha256(), 0, 0, True
-        seen: Counter = Counter()
-        done: dict[bytes, tuple] = {}
-        keys = []
-        for i, j, k, m in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:]):
-            if i == j:
-                continue
-            # No id has all bits set, so the key tells both sides apart.
-            key = a_raw[i:j] + b"\xff\xff\xff\xff" + b_raw[k:m]
-            if key not in memo:
-                if j - i + m - k > 4 * MEMO_IDS:
-                    done[key] = self.window(a_raw[i:j], b_raw[k:m])
-                else:
-                    if len(memo) >= MEMO_WINDOWS:
-                        done |= {k: memo[k] for k in set(keys) if k in memo}
-                        memo.clear()
-                    memo[key] = self.window(a_raw[i:j], b_raw[k:m])
-            keys.append(key)
-        found = [memo.get(key) or done[key] for key in keys]
-        digest.update(b";".join([w[0] for w in found]))
-        for key, times in Counter(keys).items():
-            _, n_groups, n_links, pairs, each = memo.get(key) or done[key]
-            groups += times * n_groups
-            links += times * n_links
-            for pair, n in zip(pairs, each):
-                seen[pair] += times * n
-        return len(a_list), len(b_list), groups, links, digest.hexdigest(), list(seen), list(seen.values())
+        cuts = list(zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:]))
+        # No id has all bits set, so the key tells both sides apart.
+        keys = [a_raw[4 * i : 4 * j] + b"\xff\xff\xff\xff" + b_raw[4 * k : 4 * m] for i, j, k, m in cuts]
+        numbers = list(map(memo.get, keys))
+        for at, number in enumerate(numbers):
+            if number is None:
+                i, j, k, m = cuts[at]
+                # The same window may have come earlier in this text.
+                number = memo.get(keys[at])
+                if number is None:
+                    number = memo[keys[at]] = self.window(a_list[i:j], b_list[k:m])
+                numbers[at] = number
+        digest = hashlib.sha256(b";".join(map(self.texts.__getitem__, numbers))).hexdigest()
+        used, times = np.unique(numbers, return_counts=True)
+        starts, counts, groups, links = (np.frombuffer(c, np.int64)[used] for c in (self.starts, self.counts, self.groups, self.links))
+        flat = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        pairs, place = np.unique(np.frombuffer(self.pairs, np.int64)[flat], return_inverse=True)
+        each = np.zeros(len(pairs), np.int64)
+        np.add.at(each, place, np.frombuffer(self.times, np.int64)[flat] * np.repeat(times, counts))
+        return len(a_list), len(b_list), int(groups @ times), int(links @ times), digest, pairs, each
 
 
 def _align(byte_level: str, pieces: str):

@@ -89,7 +89,6 @@ def test_groups_links_and_counts(spark, encoders, monkeypatch):
 
 def test_random_texts_small_memo_and_parts(encoders, monkeypatch):
     monkeypatch.setattr(ta, "MEMO_WINDOWS", 5)
-    monkeypatch.setattr(ta, "MEMO_IDS", 8)
     monkeypatch.setattr(ta, "PART_CHARS", 40)
     aligner = ta._Aligner(public_tokenizer(ta.BYTE_LEVEL_FILE), public_tokenizer(ta.PIECE_FILE))
     draw = random.Random(3)
