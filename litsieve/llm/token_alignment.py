@@ -73,6 +73,12 @@ class _Tokens:
         return at, (np.cumsum(self.lengths[ids]) - self.lengths[ids])[at]
 
 
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers from each low up to its high."""
+    n = high - low
+    return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 class _Aligner:
     """Both tokenizers of a worker process and the windows they have aligned."""
 
@@ -87,7 +93,9 @@ class _Aligner:
         # The merges of a byte-level vocabulary are in the order of its ids.
         ranks = {entry: i for i, entry in enumerate(self.a.entries) if entry}
         self.bytes_bpe = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.numbers = [str(i) for i in range(max(len(self.a.entries), len(self.b.entries)))].__getitem__
+        # An id with what stands behind it: within a side, after either side of a group, after a window.
+        numbers = range(max(len(self.a.entries), len(self.b.entries)))
+        self.names = np.array([[f"{i}{mark}" for i in numbers] for mark in ",|;\n"], object)
         self.forget()
 
     def ids(self, text: str) -> tuple[list[int], list[int]]:
@@ -104,41 +112,39 @@ class _Aligner:
             start = end
         return first, second
 
-    def window(self, a_ids: list[int], b_ids: list[int]) -> int:
-        """Align two lists of ids that cover the same bytes; returns the window's number."""
-        a_size, b_size, numbers = self.a.sizes, self.b.sizes, self.numbers
-        groups, links = [], {}
-        i = j = low = high = 0
-        x, y, total = a_size[a_ids[0]], b_size[b_ids[0]], 0
-        while True:
-            pair = a_ids[i] << 32 | b_ids[j]
-            links[pair] = links.get(pair, 0) + 1
-            total += 1
-            end, other = x, y
-            if end <= other:
-                i += 1
-            if other <= end:
-                j += 1
-            if end == other:
-                groups.append(",".join(map(numbers, a_ids[low:i])) + "|" + ",".join(map(numbers, b_ids[high:j])))
-                low, high = i, j
-                if i == len(a_ids) or j == len(b_ids):
-                    break
-            if end <= other:
-                x += a_size[a_ids[i]]
-            if other <= end:
-                y += b_size[b_ids[j]]
-        for column, value in ((self.starts, len(self.pairs)), (self.counts, len(links)), (self.groups, len(groups)), (self.links, total)):
-            column.append(value)
-        self.pairs.extend(links)
-        self.times.extend(links.values())
-        self.texts.append(";".join(groups).encode())
-        return len(self.texts) - 1
+    def windows(self, ids: tuple[np.ndarray, np.ndarray], cuts: np.ndarray) -> range:
+        """Align windows of a text that are not known yet; returns their numbers.
+
+        ``cuts`` has their first and last tokens of both sides, one row each.  The
+        windows are put in a row: both sides of one have the same bytes.
+        """
+        counts = cuts[:, 1] - cuts[:, 0], cuts[:, 3] - cuts[:, 2]
+        tokens = [i[_ranges(cuts[:, s], cuts[:, s + 1])] for i, s in zip(ids, (0, 2))]
+        ends = [np.cumsum(t.lengths[i]) for t, i in zip((self.a, self.b), tokens)]
+        last = ends[0][np.cumsum(counts[0]) - 1]
+        # Between two neighbouring ends of either side lies one link.
+        every = np.union1d(*ends)
+        first, second = (np.searchsorted(e, every) for e in ends)
+        pairs = tokens[0][first].astype(np.int64) << 32 | tokens[1][second]
+        closes = every[(ends[0][first] == every) & (ends[1][second] == every)]
+        links, groups = (np.diff(np.searchsorted(e, last, "right"), prepend=0) for e in (every, closes))
+        starts = len(self.pairs) + np.cumsum(links) - links
+        for column, values in ((self.pairs, pairs), (self.starts, starts), (self.links, links), (self.groups, groups)):
+            column.frombytes(values.astype(np.int64).tobytes())
+        # Tokens by group, those of the first side before those of the second.
+        place = np.concatenate([2 * np.searchsorted(closes, e) + s for s, e in enumerate(ends)])
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        window = np.concatenate([np.repeat(np.arange(len(cuts)), n) for n in counts])[order]
+        mark = np.where(np.diff(place, append=-1) == 0, 0, 1 + place % 2)
+        mark[np.diff(window, append=-1) != 0] = 3
+        self.texts += "".join(self.names[mark, np.concatenate(tokens)[order]].tolist()).split("\n")[:-1]
+        return range(len(self.texts) - len(cuts), len(self.texts))
 
     def forget(self) -> None:
         self.memo: dict[bytes, int] = {}
-        self.texts: list[bytes] = []
-        self.starts, self.counts, self.groups, self.links, self.pairs, self.times = (array("q") for _ in range(6))
+        self.texts: list[str] = []
+        self.starts, self.groups, self.links, self.pairs = (array("q") for _ in range(4))
 
     def align(self, data: bytes | None) -> tuple:
         """Counts, digest, pairs and times of one text."""
@@ -147,7 +153,7 @@ class _Aligner:
             return nothing
         a_list, b_list = self.ids(data.decode("utf-8", "replace"))
         spaced = b" " + data
-        if not (self.a.whole(a_list, spaced) and self.b.whole(b_list, spaced)):
+        if self.bytes_bpe.decode_bytes(a_list) != spaced or not self.b.whole(b_list, spaced):
             return nothing
         if len(self.texts) > MEMO_WINDOWS or len(self.pairs) > MEMO_PAIRS:
             self.forget()
@@ -156,29 +162,28 @@ class _Aligner:
         near = np.searchsorted(b_byte, a_byte)
         shared = near < len(b_byte)
         shared[shared] = b_byte[near[shared]] == a_byte[shared]
-        a_cuts, b_cuts = [*a_at[shared].tolist(), len(a_list)], [*b_at[near[shared]].tolist(), len(b_list)]
-        if a_cuts[0]:
-            a_cuts, b_cuts = [0, *a_cuts], [0, *b_cuts]
+        edges = np.stack([a_at[shared], b_at[near[shared]]])
+        edges = np.concatenate([[[0], [0]]] * (edges[0, :1].sum() > 0 or not edges.size) + [edges, [[len(a_list)], [len(b_list)]]], axis=1)
+        cuts = np.stack([edges[0, :-1], edges[0, 1:], edges[1, :-1], edges[1, 1:]], axis=1)
         a_raw, b_raw, memo = a_ids.tobytes(), b_ids.tobytes(), self.memo
-        cuts = list(zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:]))
         # No id has all bits set, so the key tells both sides apart.
-        keys = [a_raw[4 * i : 4 * j] + b"\xff\xff\xff\xff" + b_raw[4 * k : 4 * m] for i, j, k, m in cuts]
+        a_bytes, b_bytes = (4 * edges).tolist()
+        keys = [a_raw[i:j] + b"\xff\xff\xff\xff" + b_raw[k:m] for i, j, k, m in zip(a_bytes, a_bytes[1:], b_bytes, b_bytes[1:])]
         numbers = list(map(memo.get, keys))
-        for at, number in enumerate(numbers):
-            if number is None:
-                i, j, k, m = cuts[at]
-                # The same window may have come earlier in this text.
-                number = memo.get(keys[at])
-                if number is None:
-                    number = memo[keys[at]] = self.window(a_list[i:j], b_list[k:m])
-                numbers[at] = number
-        digest = hashlib.sha256(b";".join(map(self.texts.__getitem__, numbers))).hexdigest()
+        if None in numbers:
+            missing = [at for at, number in enumerate(numbers) if number is None]
+            fresh: dict[bytes, int] = {}
+            for at in missing:
+                fresh.setdefault(keys[at], at)
+            memo.update(zip(fresh, self.windows((a_ids, b_ids), cuts[list(fresh.values())])))
+            for at in missing:
+                numbers[at] = memo[keys[at]]
+        digest = hashlib.sha256(";".join(map(self.texts.__getitem__, numbers)).encode()).hexdigest()
         used, times = np.unique(numbers, return_counts=True)
-        starts, counts, groups, links = (np.frombuffer(c, np.int64)[used] for c in (self.starts, self.counts, self.groups, self.links))
-        flat = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        pairs, place = np.unique(np.frombuffer(self.pairs, np.int64)[flat], return_inverse=True)
-        each = np.zeros(len(pairs), np.int64)
-        np.add.at(each, place, np.frombuffer(self.times, np.int64)[flat] * np.repeat(times, counts))
+        starts, links, groups = (np.frombuffer(c, np.int64)[used] for c in (self.starts, self.links, self.groups))
+        flat = np.frombuffer(self.pairs, np.int64)[_ranges(starts, starts + links)]
+        pairs, place = np.unique(flat, return_inverse=True)
+        each = np.bincount(place, np.repeat(times, links)).astype(np.int64)
         return len(a_list), len(b_list), int(groups @ times), int(links @ times), digest, pairs, each
 
 
