@@ -393,12 +393,14 @@ def _template(labels: str, abstract: str) -> str:
 def _feed(form: str) -> str:
     head = "SELECT source_id, journal, \"group\", 'https://feeds.example.org/' || source_id || '/' || (seq // 1000) AS source_url"
     pos = "row_number() OVER (PARTITION BY source_id, seq // 1000 ORDER BY seq) - 1 AS item_pos"
-    tags = "lang || '|' || source || '|' || upper(lang) AS tags"
+    # A blank term of Atom is kept as an empty tag.
+    tags = f"lang || '|' || source || '{'||' if form == 'atom' else '|'}' || upper(lang) AS tags"
     authors = r"array_to_string(list_filter(authors, lambda a: a <> ''), '|')" if form == "rdf" else "''"
+    published = "published" if form == "rdf" else "CASE WHEN seq % 2 = 1 OR published = '' THEN '2001-02-03T04:05:06Z' ELSE published END"
     doi = "CASE WHEN doi LIKE 'https://doi.org/%' THEN substr(doi, 17) ELSE '' END" if form == "atom" else "doi"
     return sql(
         [RAW],
-        f"{head}, {pos}, trim(title) AS title, link, published, trim(abstract, ' ' || chr(10)) AS abstract, {doi} AS doi, "
+        f"{head}, {pos}, trim(title) AS title, link, {published} AS published, trim(abstract, ' ' || chr(10)) AS abstract, {doi} AS doi, "
         f"{tags}, {authors} AS authors FROM raw",
     )
 
@@ -490,6 +492,10 @@ loc AS (SELECT *, CASE WHEN number % 2 = 1 THEN c - 1 - p ELSE p END AS locator_
           SELECT (number * 10000 + locator_pos) * 100000000 + item_pos AS seq, source_id, url AS source_url, title,
             '2024-06-01T00:00:00Z' AS fetched_at FROM items JOIN loc USING (source_id, page)
           QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY locator_pos, item_pos) <= 30"""),
+        "acquire_rest": sql([RAW], """
+          , pages AS (SELECT DISTINCT source_id, seq // 1000 AS page, substr(source_id, 4)::INT AS number FROM raw WHERE source_id <> 'src10')
+          SELECT 'quarantine' AS kind, source_id, 'https://feeds.example.org/' || source_id || '/' || page || '/a' AS url FROM pages WHERE number % 7 = 3
+          UNION ALL SELECT DISTINCT 'missing', source_id, 'https://nowhere.example.org/' FROM pages"""),
         "digest_sections": sql([*TO_KEYED, f"""
 visible AS (SELECT s.*, publication_stage AS stage FROM shown s WHERE NOT {HIDDEN})""", groups("visible", "stage")], f"""
           SELECT v.seq, CASE v.stage WHEN 'journal' THEN 0 ELSE 1 END AS stage_rank, v.stage,

@@ -40,7 +40,7 @@ from litsieve.plans.tables import (
 )
 from litsieve.schemas import NORMALIZED_COLUMNS
 from litsieve.session import durable, shared_folder
-from litsieve.sources.dispatch import acquire, limit_per_source
+from litsieve.sources.dispatch import Acquired, acquire, limit_per_source
 from litsieve.sources.feeds import read_feeds, skip_front_matter
 from litsieve.sources.listings import listing_links, page_links
 from litsieve.sources.records import scan_records as scan_json, filled_decisions
@@ -131,7 +131,7 @@ def _feed(form: str) -> Query:
     return query
 
 
-def acquire_records(spark: SparkSession, sf: str) -> DataFrame:
+def _acquired(spark: SparkSession, sf: str) -> Acquired:
     """First 30 records of each enabled source from its two addresses, in listed order.
 
     The second address is listed first for every other source, each source has one
@@ -157,8 +157,19 @@ def acquire_records(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("official_feed_or_toc").alias("source_strategy"),
         F.concat(listed, F.array(F.lit("https://nowhere.example.org/"))).alias("source_locator"), number.alias("position"),
     )
-    got = acquire(two.select("url", "payload"), None, None, F.lit("2024-06-01T00:00:00Z"), 30, sources=choose_sources(sources))
-    return got.records.select("seq", "source_id", "source_url", "title", "fetched_at")
+    return acquire(two.select("url", "payload"), None, None, F.lit("2024-06-01T00:00:00Z"), 30, sources=choose_sources(sources))
+
+
+def acquire_rest(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads that nothing could read, and listed addresses without one."""
+    got = _acquired(spark, sf)
+    rest = got.quarantine.select(F.lit("quarantine").alias("kind"), "source_id", "url")
+    return rest.unionByName(got.missing.select(F.lit("missing").alias("kind"), "source_id", "url"))
+
+
+def acquire_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records that the acquire step lets through."""
+    return _acquired(spark, sf).records.select("seq", "source_id", "source_url", "title", "fetched_at")
 
 
 def html_links(spark: SparkSession, sf: str) -> DataFrame:
@@ -705,6 +716,7 @@ def queries() -> dict[str, Query]:
         "archive_retention": archive_retention,
         "archive_kept": archive_kept,
         "acquire_records": acquire_records,
+        "acquire_rest": acquire_rest,
         "digest_sections": digest_sections,
         "review_sections": review_sections,
         "card_fields": card_fields,

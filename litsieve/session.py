@@ -15,6 +15,8 @@ def build_session(master: str | None = None, **settings: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Batches that go to Python are bounded in bytes, not only in rows.
+        "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
         # Checkpoints that nothing refers to any more are deleted.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Recording a call site for every column expression costs a millisecond each.

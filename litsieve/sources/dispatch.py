@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from litsieve.functions.dates import iso_utc, parse_datetime
 from litsieve.functions.text import text_or_empty
 from litsieve.operators.windows import ingest_filter
-from litsieve.sources.feeds import read_feeds, skip_front_matter, split_payloads
+from litsieve.session import stored
+from litsieve.sources.feeds import feed_records, parse_feed, skip_front_matter
 from litsieve.sources.listings import read_listings
 from litsieve.sources.registry import source_locators
 
@@ -44,12 +45,16 @@ def read_payloads(
 
     Listing sources go to the listing reader.  All others are read as XML, and
     those that are not well-formed fall back to the listing reader of their
-    address.
+    address.  Payloads are parsed once: the parsed table is stored, and records and
+    rest are read from it.
     """
     is_listing = F.coalesce(F.col("source_strategy") == LISTING_STRATEGY, F.lit(False))
-    feeds, broken = split_payloads(payloads.where(~is_listing))
-    pages = payloads.where(is_listing).unionByName(broken)
-    records = read_feeds(feeds)
+    xml = F.when(~is_listing, F.col("payload"))
+    # What parsed needs its payload no more; the others have nothing but that.
+    parsed = payloads.withColumn("feed", parse_feed(xml)).withColumn("payload", F.when(F.col("feed").isNull(), F.col("payload")))
+    parsed = stored(parsed)
+    pages = parsed.where("feed IS NULL").drop("feed")
+    records = feed_records(parsed.where("feed IS NOT NULL"))
     taken = F.lit(False)
     for rule in rules:
         chosen = pages.where(rule.covers() & ~taken)

@@ -1,104 +1,81 @@
 """Feed payloads to records: RSS 2.0, RDF (RSS 1.0) and Atom.
 
 Payloads are rows of a table: ``url``, ``payload`` and source columns.  Each is
-parsed by ``from_xml`` inside its own task.  A payload that is not well-formed
-gives no items; ``split_payloads`` shows which ones.
+parsed once, inside its own task, into the children of its items in document
+order.  Which children make up a record is said by column expressions over that
+list.  A payload that is not well-formed, or is no feed, has no list and can be set
+aside from the same pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from xml.etree import ElementTree
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from litsieve.defaults import FRONT_MATTER_TITLES
 from litsieve.functions.text import as_column, first_filled, strip_ends, text_or_empty
 from litsieve.schemas import FEED_COLUMNS
 
-_TEXT = T.StringType()
-_TEXTS = T.ArrayType(T.StringType())
-
-
-def _struct(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
-
-
-_RSS_ITEM = _struct(
-    title=_TEXTS, link=_TEXTS, pubDate=_TEXTS, published=_TEXTS, date=_TEXTS, description=_TEXTS,
-    encoded=_TEXTS, summary=_TEXTS, type=_TEXTS, identifier=_TEXTS, category=_TEXTS,
-)
-_RDF_ITEM = _struct(
-    title=_TEXTS, link=_TEXTS, url=_TEXTS, date=_TEXTS, published=_TEXTS, encoded=_TEXTS,
-    description=_TEXTS, summary=_TEXTS, type=_TEXTS, doi=_TEXTS, identifier=_TEXTS, subject=_TEXTS,
-    category=_TEXTS, creator=_TEXTS,
-)
-_ATOM_LINK = T.ArrayType(_struct(_href=_TEXT, _VALUE=_TEXT))
-_ATOM_ENTRY = _struct(
-    title=_TEXTS, link=_ATOM_LINK, published=_TEXTS, updated=_TEXTS, date=_TEXTS, summary=_TEXTS,
-    content=_TEXTS, subtitle=_TEXTS, type=_TEXTS, doi=_TEXTS, identifier=_TEXTS, id=_TEXTS,
-    category=T.ArrayType(_struct(_term=_TEXT)),
-)
+SOURCE_COLUMNS = ("source_id", "journal", "publisher_family", "group", "publication_stage")
 
-RSS = _struct(channel=_struct(item=T.ArrayType(_RSS_ITEM)))
-RDF = _struct(item=T.ArrayType(_RDF_ITEM))
-ATOM = _struct(entry=T.ArrayType(_ATOM_ENTRY))
-_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
+# Element of an item, by the local name of the root.
+ITEM_OF = {"rss": "item", "RDF": "item", "feed": "entry"}
+_CHILD = pa.struct([(name, pa.string()) for name in ("name", "text", "href", "term")])
+_PARSED = pa.struct([("root", pa.string()), ("items", pa.list_(pa.list_(_CHILD)))])
 
-SOURCE_COLUMNS = ("source_id", "journal", "publisher_family", "group", "publication_stage")
 
+def _local(element: ElementTree.Element) -> str:
+    return element.tag.rpartition("}")[2] if isinstance(element.tag, str) else ""
 
-def _filled(values: Column) -> Column:
-    """Trimmed, non-empty texts of repeated elements."""
-    return F.filter(F.transform(values, strip_ends), lambda v: v != "")
 
+def _parsed(payload: str | None) -> dict | None:
+    """Root and items of a feed, each item the list of its children in document order."""
+    try:
+        root = ElementTree.fromstring(payload or "")
+    except (ElementTree.ParseError, ValueError):
+        return None
+    name = _local(root)
+    if name not in ITEM_OF:
+        return None
+    # The items of RSS stand in its first channel.
+    parent = next((c for c in root if _local(c) == "channel"), ()) if name == "rss" else root
+    items = [
+        [{"name": _local(c), "text": "".join(c.itertext()).strip(), "href": c.get("href"), "term": c.get("term")} for c in item]
+        for item in parent
+        if _local(item) == ITEM_OF[name]
+    ]
+    return {"root": name, "items": items}
 
-def _first(*fields: Column) -> Column:
-    """First non-empty text, fields taken in the listed order."""
-    return text_or_empty(first_filled(*(F.try_element_at(_filled(f), F.lit(1)) for f in fields)))
 
+@F.arrow_udf(from_arrow_type(_PARSED))
+def parse_feed(payloads: pa.Array) -> pa.Array:
+    """``root`` and ``items`` of every payload, null where it is no well-formed feed.
 
-def _all(*fields: Column) -> Column:
-    """All non-empty texts, fields taken in the listed order."""
-    empty = F.array().cast("array<string>")
-    return F.concat(*(F.coalesce(_filled(f), empty) for f in fields))
+    Spark's own XML reader forgets the order of elements with different names, which
+    decides between alternatives; nothing else is left to Python.
+    """
+    return pa.array([_parsed(p) for p in payloads.to_pylist()], _PARSED)
 
 
-def _items(payloads: DataFrame, parsed: Column, items: str) -> DataFrame:
-    """Explode the items of each payload, numbered by position in the feed."""
-    return payloads.withColumn("feed", parsed).select(
-        *SOURCE_COLUMNS, F.col("url").alias("source_url"), F.posexplode(f"feed.{items}").alias("item_pos", "i")
-    )
+def child_texts(item: Column, *names: str) -> Column:
+    """All non-empty texts of the children of these names, in document order."""
+    found = F.filter(item, lambda c: c["name"].isin(*names) & (c["text"] != ""))
+    return F.transform(found, lambda c: c["text"])
 
 
-def read_rss(payloads: DataFrame) -> DataFrame:
-    items = _items(payloads, F.from_xml("payload", RSS, _OPTIONS), "channel.item")
-    i = F.col("i")
-    return _feed_rows(
-        items,
-        title=_first(i["title"]),
-        link=_first(i["link"]),
-        published=_first(i["pubDate"], i["published"], i["date"]),
-        abstract=_first(i["description"], i["encoded"], i["summary"]),
-        article_type=_first(i["type"]),
-        doi=_first(i["identifier"]),
-        tags=_all(i["category"]),
-    )
+def child_text(item: Column, *names: str) -> Column:
+    """First non-empty text among the children of these names, whichever comes first."""
+    return text_or_empty(F.try_element_at(child_texts(item, *names), F.lit(1)))
 
 
-def read_rdf(payloads: DataFrame) -> DataFrame:
-    items = _items(payloads, F.from_xml("payload", RDF, _OPTIONS), "item")
-    i = F.col("i")
-    return _feed_rows(
-        items,
-        title=_first(i["title"]),
-        link=_first(i["link"], i["url"]),
-        published=_first(i["date"], i["published"]),
-        abstract=_first(i["encoded"], i["description"], i["summary"]),
-        article_type=_first(i["type"]),
-        doi=_first(i["doi"], i["identifier"]),
-        tags=_all(i["subject"], i["category"]),
-        authors=_all(i["creator"]),
-    )
+def child_attributes(item: Column, name: str, attribute: str) -> Column:
+    """Non-empty attributes of the children of one name, then trimmed, in document order."""
+    found = F.filter(item, lambda c: (c["name"] == name) & (c[attribute] != ""))
+    return F.transform(found, lambda c: strip_ends(c[attribute]))
 
 
 def doi_from_id(entry_id: Column) -> Column:
@@ -106,62 +83,65 @@ def doi_from_id(entry_id: Column) -> Column:
     return F.regexp_extract(entry_id, r"(?i)doi\.org/(.+)$", 1)
 
 
-def read_atom(payloads: DataFrame) -> DataFrame:
-    items = _items(payloads, F.from_xml("payload", ATOM, _OPTIONS), "entry")
-    i = F.col("i")
-    return _feed_rows(
-        items,
-        title=_first(i["title"]),
-        link=_first(i["link"]["_href"], i["link"]["_VALUE"]),
-        published=_first(i["published"], i["updated"], i["date"]),
-        abstract=_first(i["summary"], i["content"], i["subtitle"]),
-        article_type=_first(i["type"]),
-        doi=text_or_empty(first_filled(_first(i["doi"], i["identifier"]), doi_from_id(_first(i["id"])))),
-        tags=_all(i["category"]["_term"]),
-    )
-
-
-def _feed_rows(items: DataFrame, **fields: Column) -> DataFrame:
-    fields.setdefault("authors", F.array().cast("array<string>"))
-    return items.withColumns(fields).select(*FEED_COLUMNS)
-
-
-def root_element(payload: Column | str) -> Column:
-    """Local name of the first element of a payload, ``''`` where there is none."""
-    return F.regexp_extract(
-        as_column(payload), r"(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<![^>]*>\s*)*<(?:[\w.\-]+:)?([\w.\-]+)", 1
-    )
-
-
-def well_formed(payload: Column | str) -> Column:
-    """True for a feed that parses, with or without items."""
-    payload = as_column(payload)
-    root = root_element(payload)
-    # The reader fills the error column for markup it cannot parse; a feed without items parses.
-    parsed = F.from_xml(payload, _struct(_corrupt_record=_TEXT), _OPTIONS)
-    return F.coalesce(
-        root.isin("rss", "RDF", "feed") & parsed.isNotNull() & parsed["_corrupt_record"].isNull(),
-        F.lit(False),
+def _fields(i: Column) -> dict[str, dict[str, Column]]:
+    """Columns of a record for each kind of feed."""
+    empty = F.array().cast("array<string>")
+    href = F.try_element_at(child_attributes(i, "link", "href"), F.lit(1))
+    return {
+        "rss": dict(
+            link=child_text(i, "link"),
+            published=child_text(i, "pubDate", "published", "date"),
+            abstract=child_text(i, "description", "encoded", "summary"),
+            doi=child_text(i, "identifier"),
+            tags=child_texts(i, "category"),
+            authors=empty,
+        ),
+        "RDF": dict(
+            link=child_text(i, "link", "url"),
+            published=child_text(i, "date", "published"),
+            abstract=child_text(i, "encoded", "description", "summary"),
+            doi=child_text(i, "doi", "identifier"),
+            tags=child_texts(i, "subject", "category"),
+            authors=child_texts(i, "creator"),
+        ),
+        "feed": dict(
+            link=text_or_empty(F.coalesce(href, child_text(i, "link"))),
+            published=child_text(i, "published", "updated", "date"),
+            abstract=child_text(i, "summary", "content", "subtitle"),
+            doi=text_or_empty(first_filled(child_text(i, "doi", "identifier"), doi_from_id(child_text(i, "id")))),
+            tags=child_attributes(i, "category", "term"),
+            authors=empty,
+        ),
+    }
+
+
+def parse_payloads(payloads: DataFrame) -> DataFrame:
+    """``payloads`` plus ``feed``: the parsed payload, null where nothing could be read."""
+    return payloads.withColumn("feed", parse_feed("payload"))
+
+
+def feed_records(parsed: DataFrame) -> DataFrame:
+    """Records of parsed payloads, numbered by their position in the feed."""
+    items = parsed.select(
+        *SOURCE_COLUMNS,
+        F.col("url").alias("source_url"),
+        F.col("feed.root").alias("root"),
+        F.posexplode("feed.items").alias("item_pos", "i"),
     )
+    i, root = F.col("i"), F.col("root")
+    kinds = _fields(i)
+    chosen = {
+        name: F.when(root == "rss", kinds["rss"][name]).when(root == "RDF", kinds["RDF"][name]).otherwise(kinds["feed"][name])
+        for name in kinds["rss"]
+    }
+    return items.withColumns(
+        {"title": child_text(i, "title"), "article_type": child_text(i, "type"), **chosen}
+    ).select(*FEED_COLUMNS)
 
 
 def read_feeds(payloads: DataFrame) -> DataFrame:
-    """Route each payload by its root element and union the records."""
-    routed = payloads.withColumn("root", root_element("payload"))
-    return (
-        read_rss(routed.where("root = 'rss'"))
-        .unionByName(read_rdf(routed.where("root = 'RDF'")))
-        .unionByName(read_atom(routed.where("root = 'feed'")))
-    )
-
-
-def split_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Readable payloads, and the rest for the listing reader or for quarantine."""
-    tested = payloads.withColumn("readable", well_formed("payload"))
-    return (
-        tested.where("readable").drop("readable"),
-        tested.where("NOT readable").drop("readable"),
-    )
+    """Records of all payloads, in one pass whatever their kinds."""
+    return feed_records(parse_payloads(payloads))
 
 
 def skip_front_matter(records: DataFrame, titles: Sequence[str] = FRONT_MATTER_TITLES) -> DataFrame:

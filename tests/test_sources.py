@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from litsieve.config import DigestRules, sources_from_watchlist
 from litsieve.sources.dispatch import acquire, read_payloads
-from litsieve.sources.feeds import read_atom, read_rdf, read_rss
+from litsieve.sources.feeds import read_feeds
 from litsieve.sources.listings import page_links
 from litsieve.sources.records import filled_decisions, read_decisions, scan_records
 from litsieve.sources.registry import select_sources, source_locators
@@ -40,14 +40,38 @@ def payloads(spark, *rows):
 
 def test_feed_forms(spark):
     table = payloads(spark, ("r", "u1", RSS), ("d", "u2", RDF), ("a", "u3", ATOM))
-    rss = read_rss(table.where("source_id = 'r'")).orderBy("item_pos").collect()
+    rss = read_feeds(table.where("source_id = 'r'")).orderBy("item_pos").collect()
     assert (rss[0].title, rss[0].link, rss[0].tags) == ("A <i>x</i>", "http://a", ["k1", "k2"])
-    rdf = read_rdf(table.where("source_id = 'd'")).first()
+    rdf = read_feeds(table.where("source_id = 'd'")).first()
     assert (rdf.doi, rdf.authors, rdf.tags) == ("10.1/b", ["X", "Y"], ["s"])
-    atom = read_atom(table.where("source_id = 'a'")).first()
+    atom = read_feeds(table.where("source_id = 'a'")).first()
     assert (atom.link, atom.doi, atom.tags) == ("http://c", "10.1000/abc", ["t"])
 
 
+def test_first_child_in_document_order(spark):
+    rss = "<rss><title>no channel</title><channel>{}</channel><channel><item><title>second channel</title></item></channel></rss>"
+    item = "<item><title> </title><title>T<b>wo</b> </title>{}</item>"
+    both = ["<date>d</date><pubDate>p</pubDate>", "<pubDate>p</pubDate><date>d</date>", "<pubDate> </pubDate><published>q</published>"]
+    atom = (
+        '<feed xmlns="a"><!-- c --><entry><title>C</title><link href=""/><link>text</link><link href=" h "/><category term=" t "/><category/>'
+        "<content>first</content><summary>second</summary><id>http://x/1</id></entry><other/></feed>"
+    )
+    rdf = "<RDF><item><summary>s</summary><encoded>e</encoded><url>u</url><link>l</link><subject>a</subject><category>b</category><subject>c</subject></item></RDF>"
+    table = payloads(
+        spark, ("r", "u1", rss.format("".join(item.format(b) for b in both))), ("a", "u2", atom), ("d", "u3", rdf),
+        ("x", "u4", "<html/>"), ("y", "u5", ""), ("z", "u6", None),
+    )
+    got = {(r.source_id, r.item_pos): r for r in read_feeds(table).collect()}
+    assert sorted(got) == [("a", 0), ("d", 0), ("r", 0), ("r", 1), ("r", 2)]
+    assert [got["r", i].published for i in range(3)] == ["d", "p", "q"] and got["r", 0].title == "Two"
+    assert (got["a", 0].link, got["a", 0].abstract, got["a", 0].tags, got["a", 0].doi) == ("h", "first", ["t"], "")
+    assert (got["d", 0].link, got["d", 0].abstract, got["d", 0].tags) == ("u", "s", ["a", "b", "c"])
+    assert sorted(r.source_id for r in read_payloads(table)[1].collect()) == ["x", "y", "z"]
+    # One scan and one parse for all kinds of feeds.
+    plan = read_feeds(table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Union" not in plan
+
+
 def test_dispatch_and_quarantine(spark):
     oup = "https://academic.oup.com/x/advance-articles"
     table = payloads(spark, ("r", "u1", RSS), ("l", oup, LISTING), ("bad", "u9", "<rss><channel>"))
