@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from litsieve.defaults import SUGGESTION_TOKENS
 from litsieve.functions.text import text_or_empty
-from litsieve.operators.skew import first_rows, top_counts
-from litsieve.session import durable
+from litsieve.operators.skew import counts_with_first, first_rows, top_counts
 
 
 def decision_counts(reviewed: DataFrame) -> DataFrame:
@@ -65,8 +64,8 @@ def token_suggestions(
 ) -> DataFrame:
     """Suggested tokens over uncategorised and review records, with example titles.
 
-    A record in both sets counts twice.  Tokens are substrings.  Counting is a
-    partial aggregate; examples come from a group limit ahead of the shuffle.
+    A record in both sets counts twice.  Tokens are substrings.  Counts and first
+    titles combine in the tasks, in one pass over the records.
     """
     columns = ["seq", "title_en", "abstract"]
     rows = (
@@ -79,14 +78,9 @@ def token_suggestions(
         "part", "seq", "title_en",
         F.explode(F.filter(numbered, lambda entry: F.col("text").contains(entry["token"]))).alias("t"),
     ).select("part", "seq", "title_en", "t.token", "t.token_pos")
-    # Counts and examples both read the matches, so the records are read once.
-    seen = durable(seen)
-    top = top_counts(seen, "token", ["seq", "token_pos", "part"], limit)
-    shown = first_rows(seen.select("token", "part", "seq", "title_en"), ["part", "seq"], examples, ["token"])
-    titles = shown.groupBy("token").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("item", "title_en"))), lambda e: e["title_en"]).alias("examples")
-    )
-    return top.join(titles, "token").select("token", "n", "examples")
+    counted = counts_with_first(seen, "token", ["part", "seq", "token_pos"], examples, "title_en")
+    top = counted.orderBy(F.desc("n"), "first").limit(limit)
+    return top.select("token", "n", F.transform("first", lambda e: F.coalesce(e["shown"], F.lit(""))).alias("examples"))
 
 
 def decision_examples(reviewed: DataFrame, decisions: Sequence[str] = ("review", "reject"), limit: int = 20) -> DataFrame:

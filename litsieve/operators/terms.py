@@ -8,8 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from litsieve.defaults import TERM_STOP_WORDS
 from litsieve.functions.text import ALPHANUMERICS, SPACES, as_column, squeeze, text_or_empty
-from litsieve.operators.skew import first_rows, sort_position
-from litsieve.session import durable
+from litsieve.operators.skew import counts_with_first
+from litsieve.session import release, stored
+
+# Counters of the sketch, and the terms it names.
+TRACKED_TERMS = 200_000
+NAMED_TERMS = 2_000
 
 # Fixed value: a term is one to four words, the first starting with a letter.
 # Word boundaries are spelled out, since the Unicode ones of Java are slow.
@@ -26,7 +30,7 @@ def normalize_term(term: Column | str) -> Column:
 
 
 def term_occurrences(records: DataFrame, stop_words: Sequence[str] = TERM_STOP_WORDS) -> DataFrame:
-    """One row per occurrence of a usable term: ``term``, ``seq``, ``pos``, ``title_en``."""
+    """One row per occurrence of a usable term: ``term``, ``seq``, ``pos``."""
     text = F.lower(
         F.concat_ws(" ", text_or_empty("title_en"), text_or_empty("abstract"), F.array_join("tags", " "))
     )
@@ -40,7 +44,20 @@ def term_occurrences(records: DataFrame, stop_words: Sequence[str] = TERM_STOP_W
     # Normalized and tested inside the array, where each term is computed once.
     matches = F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0))
     terms = F.filter(F.transform(matches, squeeze), usable)
-    return records.select("seq", "title_en", F.posexplode(terms).alias("pos", "term"))
+    return records.select("seq", F.posexplode(terms).alias("pos", "term"))
+
+
+def _most_frequent(occurrences: DataFrame, tracked: int, named: int) -> tuple[list[str], int]:
+    """Terms that a counter sketch names, and how often a term it doesn't name can occur.
+
+    Each task keeps ``tracked`` counters; the sketches are merged, never the terms.
+    A counter is off by at most 3.5 parts in ``tracked`` of all occurrences.
+    """
+    row = occurrences.agg(
+        F.expr(f"approx_top_k(term, {named}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")
+    ).first()
+    top, error = row["top"] or [], 0 if row["n"] <= tracked // 2 else -(-7 * row["n"] // (2 * tracked))
+    return [e["item"] for e in top], error + (top[-1]["count"] if len(top) == named else 0)
 
 
 def glossary_candidates(
@@ -49,35 +66,38 @@ def glossary_candidates(
     limit: int = 50,
     examples: int = 2,
     stop_words: Sequence[str] = TERM_STOP_WORDS,
+    tracked: int = TRACKED_TERMS,
+    named: int = NAMED_TERMS,
 ) -> DataFrame:
-    """Most frequent unknown terms with example titles, ``rank`` by count then first seen.
+    """Most frequent unknown terms with example titles, by count then first seen.
 
-    Occurrences are counted with a partial aggregate, so a very common word
-    costs one row per task.  The known terms are removed from the counted terms,
-    not from every occurrence.  Examples are looked up for the ``limit`` winners
-    only; that table has at most ``limit`` rows, which bounds its broadcast.
+    The pattern runs over the texts once; its terms are stored without their titles.
+    A counter sketch names the candidates, and those alone are counted exactly, with
+    their first occurrences in the same pass.  Where the sketch's error bound cannot
+    tell the last winner from a term it did not name, all terms are counted, so the
+    result is always exact.
     """
-    occurrences = term_occurrences(records, stop_words)
+    occurrences = stored(term_occurrences(records, stop_words).select("term", "seq", "pos"))
     spark = records.sparkSession
     if not isinstance(known_terms, DataFrame):
         known = spark.createDataFrame([(t,) for t in known_terms], "term string")
     else:
         known = known_terms.select("term").distinct()
-    counted = occurrences.groupBy("term").agg(
-        F.count(F.lit(1)).alias("n"), F.min(sort_position("seq", "pos")).alias("first_seen"), F.min("seq").alias("first_seq")
-    )
-    # At most ``limit`` rows, kept because both the examples and the result read them.
-    top = durable(
-        counted.join(known, "term", "left_anti")
-        .orderBy(F.desc("n"), "first_seen")
-        .limit(limit)
-        .select("term", "n", "first_seq")
-    )
-    winners = F.broadcast(top.select("term"))
-    # The k-th example is at latest the k-th occurrence, so a group limit ahead
-    # of the shuffle keeps k rows per term and task.
-    shown = first_rows(occurrences.join(winners, "term", "left_semi"), ["seq", "pos"], examples, ["term"])
-    titles = shown.groupBy("term").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("item", "title_en"))), lambda e: e["title_en"]).alias("examples")
-    )
-    return top.join(titles, "term").select("term", "n", "first_seq", "examples")
+
+    def best(rows: DataFrame) -> DataFrame:
+        counted = counts_with_first(rows, "term", ["seq", "pos"], examples).join(known, "term", "left_anti")
+        # At most ``limit`` rows.
+        return stored(counted.orderBy(F.desc("n"), "first").limit(limit))
+
+    terms, unseen = _most_frequent(occurrences, tracked, named)
+    candidates = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string"))
+    top = best(occurrences.join(candidates, "term", "left_semi"))
+    counts = [r["n"] for r in top.select("n").collect()]
+    if unseen and (len(counts) < limit or min(counts) <= unseen):
+        release(top)
+        top = best(occurrences)
+    # The titles of at most ``limit`` times ``examples`` records.
+    wanted = top.select("term", "n", F.col("first")[0]["o0"].alias("first_seq"), F.posexplode("first").alias("item", "e"))
+    shown = records.select("seq", "title_en").join(F.broadcast(wanted.withColumn("seq", F.col("e.o0"))), "seq")
+    titles = F.transform(F.array_sort(F.collect_list(F.struct("item", "title_en"))), lambda e: e["title_en"])
+    return shown.groupBy("term", "n", "first_seq").agg(titles.alias("examples"))

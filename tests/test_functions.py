@@ -156,3 +156,22 @@ def test_json_path(spark):
     payload = ['{"a":[{"b":"x"}],"c":{"0":"y"}}', "not json", None]
     assert apply(spark, payload, lambda c: json_path(c, "a.0.b")) == ["x", None, None]
     assert apply(spark, payload, lambda c: json_path(c, "c.0")) == ["y", None, None]
+
+
+def test_phrases_in_one_pass(spark):
+    import random
+
+    from litsieve.functions.keywords import found_terms, keyword_pattern, present_runs
+
+    draw = random.Random(9)
+    parts = ["ab", "abc", "rna", "seq", "x1", "é", "-", " ", "  ", "\n", "s", "+", "ers"]
+    phrases = ["ab abc", "ab abc rna", "rna-seq", "rna-", "+ab", "c++", "seq x1", "seq x1é", "é-é", "abc-abs", "ab-rnas", "ab-rna x1", "abc rna"]
+    phrases += list({"".join(draw.choice(parts) for _ in range(draw.randint(2, 5))).strip() for _ in range(60)})
+    phrases = [p for p in dict.fromkeys(" ".join(p.split()) for p in phrases) if p and not p.isalnum()]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(300)] + [f"a {p}s. {p}" for p in phrases]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    words = ("ab", "seq")
+    found = df.select("t", found_terms("t", present_runs("t", [*words, *phrases]), [*words, *phrases]).alias("found"))
+    single = F.array_compact(F.array(*(F.when(F.col("t").rlike(keyword_pattern(p)), F.lit(p)) for p in phrases)))
+    for r in found.select("found", single.alias("want")).collect():
+        assert sorted({f for f in r.found if f in phrases}) == sorted(r.want)
