@@ -60,12 +60,15 @@ class _Tokens:
 
     def __init__(self, entries: list[bytes]):
         self.entries = entries
-        self.sizes = [len(e) for e in entries]
-        self.lengths = np.array(self.sizes, np.int64)
+        self.lengths = np.array([len(e) for e in entries], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(entries), np.uint8)
         self.spaced = np.array([e[:1] == b" " for e in entries])
 
-    def whole(self, ids: list[int], data: bytes) -> bool:
-        return b"".join(map(self.entries.__getitem__, ids)) == data
+    def whole(self, ids: np.ndarray, data: np.ndarray) -> bool:
+        """Whether the tokens' bytes in a row are ``data``."""
+        low, n = self.starts[ids], self.lengths[ids]
+        return int(n.sum()) == len(data) and np.array_equal(self.flat[_ranges(low, low + n)], data)
 
     def spaces(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the space-marked tokens and the bytes they start at."""
@@ -98,19 +101,17 @@ class _Aligner:
         self.names = np.array([[f"{i}{mark}" for i in numbers] for mark in ",|;\n"], object)
         self.forget()
 
-    def ids(self, text: str) -> tuple[list[int], list[int]]:
-        if len(text) <= PART_CHARS:
-            return self.bytes_bpe.encode_ordinary(" " + text), self.pieces.encode(text, num_threads=1)
+    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         first, second, start = [], [], 0
         while start < len(text):
-            cut = PART_END.search(text, start + PART_CHARS)
+            cut = PART_END.search(text, start + PART_CHARS) if len(text) > start + PART_CHARS else None
             end = cut.start() if cut else len(text)
             # Both put a space in front, so a later part goes without its own.
             one, two = text[start:end], text[start + (start > 0) : end]
-            first += self.bytes_bpe.encode_ordinary(one if start else " " + one)
-            second += self.pieces.encode(two, num_threads=1)
+            first.append(self.bytes_bpe.encode_to_numpy(one if start else " " + one, disallowed_special=()))
+            second.append(np.array(self.pieces.encode(two, num_threads=1), np.uint32))
             start = end
-        return first, second
+        return np.concatenate(first), np.concatenate(second)
 
     def windows(self, ids: tuple[np.ndarray, np.ndarray], cuts: np.ndarray) -> range:
         """Align windows of a text that are not known yet; returns their numbers.
@@ -151,19 +152,18 @@ class _Aligner:
         nothing = (0, 0, 0, 0, "", [], [])
         if not data:
             return nothing
-        a_list, b_list = self.ids(data.decode("utf-8", "replace"))
-        spaced = b" " + data
-        if self.bytes_bpe.decode_bytes(a_list) != spaced or not self.b.whole(b_list, spaced):
+        a_ids, b_ids = self.ids(data.decode("utf-8", "replace"))
+        spaced = np.frombuffer(b" " + data, np.uint8)
+        if not (self.a.whole(a_ids, spaced) and self.b.whole(b_ids, spaced)):
             return nothing
         if len(self.texts) > MEMO_WINDOWS or len(self.pairs) > MEMO_PAIRS:
             self.forget()
-        a_ids, b_ids = np.array(a_list, "<u4"), np.array(b_list, "<u4")
         (a_at, a_byte), (b_at, b_byte) = self.a.spaces(a_ids), self.b.spaces(b_ids)
         near = np.searchsorted(b_byte, a_byte)
         shared = near < len(b_byte)
         shared[shared] = b_byte[near[shared]] == a_byte[shared]
         edges = np.stack([a_at[shared], b_at[near[shared]]])
-        edges = np.concatenate([[[0], [0]]] * (edges[0, :1].sum() > 0 or not edges.size) + [edges, [[len(a_list)], [len(b_list)]]], axis=1)
+        edges = np.concatenate([[[0], [0]]] * (edges[0, :1].sum() > 0 or not edges.size) + [edges, [[len(a_ids)], [len(b_ids)]]], axis=1)
         cuts = np.stack([edges[0, :-1], edges[0, 1:], edges[1, :-1], edges[1, 1:]], axis=1)
         a_raw, b_raw, memo = a_ids.tobytes(), b_ids.tobytes(), self.memo
         # No id has all bits set, so the key tells both sides apart.
@@ -184,7 +184,7 @@ class _Aligner:
         flat = np.frombuffer(self.pairs, np.int64)[_ranges(starts, starts + links)]
         pairs, place = np.unique(flat, return_inverse=True)
         each = np.bincount(place, np.repeat(times, links)).astype(np.int64)
-        return len(a_list), len(b_list), int(groups @ times), int(links @ times), digest, pairs, each
+        return len(a_ids), len(b_ids), int(groups @ times), int(links @ times), digest, pairs, each
 
 
 def _align(byte_level: str, pieces: str):
