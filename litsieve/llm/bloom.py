@@ -49,6 +49,8 @@ def build_filter(listed: DataFrame, key: str, max_blocks: int = MAX_BLOCKS) -> n
     found = merged.toArrow()
     for i in range(len(SALTS)):
         words[np.asarray(found.column("block")), i] = np.asarray(found.column(f"w{i}")).astype(np.uint32)
+    del found
+    pa.default_memory_pool().release_unused()
     return words
 
 

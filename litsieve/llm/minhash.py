@@ -8,7 +8,6 @@ find candidates; every link is confirmed on the full shingle sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from litsieve.llm.bloom import build_filter, may_be_listed
-from litsieve.llm.common import mixed, shingles, text_bytes, texts as text_rows
+from litsieve.llm.common import mixed, shingles, text_bytes, texts as text_rows, worker_value
 from litsieve.operators.components import connected_components
 from litsieve.session import release, stored
 
@@ -33,8 +32,11 @@ SIGNATURE_SLACK = 0.13
 FEATURES = "doc_id long, n_shingles long, set_key binary, signature binary"
 
 
-@lru_cache(maxsize=1)
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
+    return worker_value("permutations", _drawn_permutations)
+
+
+def _drawn_permutations() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
     n = BANDS * BAND_PERMUTATIONS
     return rng.integers(1, 2**63, n, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, n, np.uint64)

@@ -11,14 +11,13 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from litsieve.llm.common import text_bytes, texts
+from litsieve.llm.common import public_tokenizer, text_bytes, texts, worker_value
 from litsieve.operators.positions import with_rank
 from litsieve.session import stored
 
@@ -35,12 +34,6 @@ SLOT_CHUNK = 1 << 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def public_tokenizer(name: str = TOKENIZER_FILE) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 # Printable stand-ins that byte-level vocabularies use for bytes (fixed values): printable
 # characters of Latin-1 stand for themselves, the others follow from 256 on.
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -93,7 +86,8 @@ class _Words(_Bounded):
     def __missing__(self, word: bytes) -> bytes:
         split = _TAIL.match(word)
         # Marks after a letter or digit are a token of their own; after another mark they are not.
-        if split and split[1].decode("utf-8", "replace")[-1].isalnum():
+        # The lower-cased form counts: some capitals become a letter and a combining mark.
+        if split and split[1].decode("utf-8", "replace").lower()[-1].isalnum():
             ids = self.cores[split[1]] + self.cores[split[2]]
         else:
             ids = self.cores[word]
@@ -105,10 +99,9 @@ class _Words(_Bounded):
         return b"".join(map(self.__getitem__, words))
 
 
-@lru_cache(maxsize=2)
 def _words(path: str) -> _Words:
     """One set of caches per worker process and tokenizer; tasks that follow find it warm."""
-    return _Words(path)
+    return worker_value(("words", path), lambda: _Words(path))
 
 
 def _pieces(path: str, limit: int, end_id: int, with_ids: bool):
@@ -148,7 +141,7 @@ def token_pieces(
     """
     schema = PIECES + (", ids array<int>" if with_ids else "")
     return texts(docs, doc_id="long", text="string").mapInArrow(
-        _pieces(tokenizer or public_tokenizer(), limit, end_id, with_ids), schema
+        _pieces(tokenizer or public_tokenizer(TOKENIZER_FILE), limit, end_id, with_ids), schema
     )
 
 

@@ -9,17 +9,20 @@ are exact.  The nearest examples vote by distance.
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from litsieve.llm.common import columns, texts as text_rows
-from litsieve.session import stored
+from litsieve.llm.common import columns, texts as text_rows, worker_value
+from litsieve.session import release, stored
 
 EXAMPLES_PER_LABEL = 1024
 POSTINGS_PER_LABEL = 1 << 21  # the sample of a label is full when its texts have so many different terms in all
@@ -35,9 +38,8 @@ THRESHOLD = 0.7
 SCORES = "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, toxic: double>>"
 
 
-@lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    return worker_value("letters", lambda: np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
 
 
 def letter_terms(text: str | None, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
@@ -276,8 +278,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     merged: dict[bytes, list] = {}
     lists = [[x.values.to_numpy() for x in rows.column(c)] for c in ("grams", "counts")]
     for doc_id, toxic, keys, n in sorted(zip(rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist(), *lists), key=lambda r: r[:2]):
-        merged.setdefault(keys.tobytes() + n.tobytes(), [doc_id, keys, n, []])[3].append(toxic)
+        merged.setdefault(xxhash.xxh3_128_digest(keys.tobytes() + n.tobytes()), [doc_id, keys, n, []])[3].append(toxic)
+    del lists, rows
+    release(found)
     examples = list(merged.values())
+    del merged
     # One row per different term of the corpus; sixteen bytes each on the driver.
     counted = texts.select("text").mapInArrow(_document_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     term, n = counted.column("term"), counted.column("n").to_numpy()
@@ -287,9 +292,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     by_term = np.argsort(vocabulary)
     vocabulary, df = vocabulary[by_term], df[by_term]
     idf = np.log((n_docs + 1) / (df + 1)) + 1e-6
-    vectors = [tf_idf(vocabulary, idf, e[1], e[2]) for e in examples]
+    vectors = [tf_idf(vocabulary, idf, e.pop(1), e.pop(1)) for e in examples]
     doc_id = np.array([e[0] for e in examples], np.int64)
-    toxic = np.array([np.mean(e[3]) for e in examples])
+    toxic = np.array([np.mean(e[1]) for e in examples])
     order = _similar_side_by_side(vectors, len(vocabulary))
     index = BlockMaxIndex([vectors[i] for i in order], len(vocabulary))
     balance = (len(toxic) - toxic.sum()) / toxic.sum() if 0 < toxic.sum() < len(toxic) else 1.0
@@ -300,6 +305,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
         if len(best):
             votes[i] = model.vote(best, cosine)
     model.slope, model.level = _calibrated(votes, model.toxic, prior)
+    # What the tables of the fit took goes back to the system.
+    del vectors, counted, term, n
+    pa.default_memory_pool().release_unused()
     return model
 
 
@@ -320,6 +328,20 @@ def _similar_side_by_side(vectors, terms: int) -> np.ndarray:
     return np.argsort(at, kind="stable")
 
 
+def _shared(spark, model: Model) -> tuple:
+    """The model for the workers, with its class: they may have no copy of this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model)), uuid.uuid4().hex
+
+
+def _received(shared, key: str) -> Model:
+    """The model in a worker, unpacked once; a worker keeps one model."""
+    held = worker_value("toxicity", dict)
+    if key not in held:
+        held.clear()
+        held[key] = pickle.loads(shared.value)
+    return held[key]
+
+
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence`` for every document.
 
@@ -328,10 +350,10 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     of label 1 among the labelled rows.  Equal texts get equal scores.  Repeated rows
     are scored one by one; a null doc_id stays and is not held out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = _received(*shared)
         for batch in batches:
             found = [own.score(text) for text in batch.column("text").to_pylist()]
             score = np.array([s for s, _ in found], np.float64)
@@ -353,11 +375,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 def toxic_text(spark, model: Model):
     """Column function on texts: whether the score reaches the threshold."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = _shared(spark, model)
 
     @F.pandas_udf("boolean")
     def judged(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(text)[0] >= THRESHOLD for text in texts], dtype=bool)
+        own = _received(*shared)
+        return pd.Series([own.score(text)[0] >= THRESHOLD for text in texts], dtype=bool)
 
     return judged
 

@@ -13,7 +13,8 @@ from tokenizers import Tokenizer
 from litsieve.llm import queries
 from litsieve.llm.chat import CONTROLS, END, TEXT, TURN, conversation_log, escaped, fold_messages, format_log, read_back, unescaped
 from litsieve.llm.mixing import mix, mixed_texts, permuted, taken_words
-from litsieve.llm.packing import _words, packed_documents, plan_slots, public_tokenizer, token_pieces
+from litsieve.llm.common import public_tokenizer
+from litsieve.llm.packing import TOKENIZER_FILE, _words, packed_documents, plan_slots, token_pieces
 
 FOLDER = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -124,14 +125,16 @@ def test_plan_is_best_fit():
 def test_word_cache_gives_the_tokenizers_ids(spark):
     texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     texts += ["Αρχή ΟΔΟΣ", "a b　c\x1cd\x85e", "e ́x <|endoftext|>y <|startoftext|> z<|end", "İstanbul don't I'll 's it's", "日本語 123 4５", "a\x00b", "ﬁ ½ x².", "ein). Fß. «á». a’. ǅ Å. A'S", "<|ENDOFTEXT|>. Abc<|endoftext|>.", "x" * 5000]
-    whole, own = Tokenizer.from_file(public_tokenizer()), _words(public_tokenizer())
+    whole, own = Tokenizer.from_file(public_tokenizer(TOKENIZER_FILE)), _words(public_tokenizer(TOKENIZER_FILE))
     for text in texts:
         assert np.frombuffer(own.ids(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
 def test_capitals_in_texts_with_an_angle_bracket():
-    texts = ["Hello < World", "<p>The End</p> NASA", "if A < B: RETURN Hello.", "<|im_start|>USER Hi <|endoftext|> The END", "NASA", "İ < Straße ÄRGER The"]
-    whole, own = Tokenizer.from_file(public_tokenizer()), _words(public_tokenizer())
+    texts = ["Hello < World", "<p>The End</p> NASA", "if A < B: RETURN Hello.", "<|im_start|>USER Hi <|endoftext|> The END", "NASA", "İ < Straße ÄRGER The", "ENERJİ, TARİHİ. İ! Bİ:"]
+    draw = random.Random(7)
+    texts += ["".join(draw.choice("aİI\u0307é.,!'&1ßÅ ") for _ in range(12)) for _ in range(3000)]
+    whole, own = Tokenizer.from_file(public_tokenizer(TOKENIZER_FILE)), _words(public_tokenizer(TOKENIZER_FILE))
     for text in texts:
         assert np.frombuffer(own.ids(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
@@ -141,7 +144,7 @@ def test_packing(spark):
     docs = [(i, "word " * rng.randint(0, 40)) for i in range(200)] + [(300 + i, "same text here") for i in range(150)]
     docs += [(900, None), (901, ""), (902, "long " * 500), (902, "long " * 500), (None, "none")]
     rows = spark.createDataFrame(docs, "doc_id long, text string").withColumn("rank", F.lit("clash")).withColumn("length", F.lit("clash"))
-    tokenizer = Tokenizer.from_file(public_tokenizer())
+    tokenizer = Tokenizer.from_file(public_tokenizer(TOKENIZER_FILE))
     got = packed_documents(rows, limit=64, with_ids=True).collect()
     pieces, sequences = {}, {}
     for r in got:
