@@ -165,6 +165,49 @@ def test_classifier_on_new_notices(scanner):
     assert scanner.probabilities([]).argmax() == CLASSES.index(NONE)
 
 
+HEADERS = [
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+     "by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "lgpl"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+     "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "agpl-3.0"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+     "Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gpl-2.0"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+     "Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gpl-3.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "cc-by-nc-nd"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+     "copyright notice and this permission notice appear in all copies.", "isc"),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "epl-2.0"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("Licensed under the Apache License, Version 1.1", None),
+    ("Licensed under the Boost Software License version 1.0", None),
+    ("This font is licensed under the SIL Open Font License", None),
+]
+
+
+def test_headers_of_like_licences(spark, scanner):
+    rows = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(HEADERS)], "doc_id long, text string")
+    got = {}
+    for r in scan(rows, scanner).collect():
+        got.setdefault(r.doc_id, set()).add((r.family, r.confirmed))
+    for i, (text, family) in enumerate(HEADERS):
+        assert {f for f, ok in got.get(i, ()) if ok} == ({family} if family else set()), (text, got.get(i))
+    # No licence without a family is taken for one.
+    assert all({f for f, _ in got.get(i, ())} <= {UNKNOWN} for i, (_, family) in enumerate(HEADERS) if family is None)
+
+
+def test_unknown_class_on_families_it_has_not_met(scanner):
+    from litsieve.llm.licences import CERTAIN, CLASSES, UNKNOWN_NOTICES, grams_of, words_of
+
+    names = ("fair source", "business source", "elastic", "microsoft reciprocal", "nokia open source", "intel", "w3c software notice", "ruby", "php", "qt")
+    texts = [words_of(n.format(name)) for n in UNKNOWN_NOTICES for name in names]
+    chances = [scanner.probabilities(scanner.features(grams_of(words))) for words in texts]
+    families = [c for c in chances if CLASSES[int(c.argmax())] != UNKNOWN and c.max() >= CERTAIN]
+    assert len(families) <= 0.05 * len(texts)
+
+
 def test_licence_query_finds_every_notice(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     found = {r.doc_id for r in queries.op7_licences(spark, FOLDER).collect() if r.confirmed}
