@@ -14,7 +14,9 @@ from litsieve.functions.text import (
     normalize_title,
     text_or_empty,
 )
+from litsieve.operators.skew import rank_rows
 from litsieve.schemas import NORMALIZED_COLUMNS
+from litsieve.session import stored
 
 
 def _optional(df: DataFrame, *names: str) -> Column:
@@ -64,6 +66,23 @@ def normalize_records(raw: DataFrame) -> DataFrame:
     return cleaned.withColumn("title_norm", normalize_title("title_en")).select("seq", *NORMALIZED_COLUMNS)
 
 
+def normalized_order(records: DataFrame) -> DataFrame:
+    """``seq`` and ``rank``: newest first, then journal and title from the end; equal rows keep their order.
+
+    Text sorts in rising order only, so ranks are counted from the bottom, with ``-seq``
+    for ties, and turned round.
+    """
+    keys = stored(
+        records.select(
+            "seq", "journal", "title_en",
+            (-F.coalesce(F.unix_seconds(parse_datetime("published_at")), F.lit(-(2**40)))).alias("newest"),
+        )
+    )
+    total = keys.count()
+    rising = rank_rows(keys, [-F.col("newest"), F.col("journal"), F.col("title_en"), -F.col("seq")], name="rising")
+    return rising.select("seq", (F.lit(total) + 1 - F.col("rising")).alias("rank"))
+
+
 def completeness(df: DataFrame, columns: tuple[str, ...] = NORMALIZED_COLUMNS) -> Column:
     """Number of filled columns: non-blank text, non-empty lists, other non-null values."""
     score = F.lit(0)

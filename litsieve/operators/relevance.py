@@ -8,6 +8,7 @@ from litsieve.config import DigestRules, RelevanceRules
 from litsieve.functions.keywords import found_terms, hits_among, present_runs, starts_with_any
 from litsieve.functions.text import joined_text, strip_ends, text_or_empty
 from litsieve.session import evaluate_once
+from litsieve.sources.registry import enrich
 
 
 def search_text() -> Column:
@@ -99,8 +100,7 @@ def with_registry_group(records: DataFrame, sources: DataFrame | None) -> DataFr
     """Add ``registry_group``; records of unknown sources get null."""
     if sources is None:
         return records.withColumn("registry_group", F.lit(None).cast("string"))
-    groups = sources.select("source_id", F.col("group").alias("registry_group"))
-    return records.join(groups, "source_id", "left")
+    return enrich(records, sources.withColumnRenamed("group", "registry_group"), ["registry_group"])
 
 
 def filter_relevance(records: DataFrame, rules: DigestRules, sources: DataFrame | None = None) -> DataFrame:

@@ -14,6 +14,18 @@ def write_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.select(*sorted(df.columns)).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def write_ingested(raw: DataFrame, path: str, time: Column, mode: str = "append") -> None:
+    """Raw records with their parsed time, laid out by day.
+
+    The time is parsed once, at ingest.  Rows are range-partitioned and sorted by it, so
+    a day is a folder with few files whose row groups cover short stretches of time;
+    undated rows have a folder of their own.
+    """
+    timed = raw.withColumn("published_ts", time).withColumn("published_day", F.to_date("published_ts"))
+    ordered = timed.repartitionByRange("published_ts").sortWithinPartitions("published_ts")
+    ordered.write.mode(mode).partitionBy("published_day").parquet(path)
+
+
 def write_routes(df: DataFrame, path: str, column: str, mode: str = "overwrite") -> None:
     """One table whose partitions are the routes; readers prune to one of them."""
     df.write.mode(mode).partitionBy(column).parquet(path)

@@ -5,7 +5,7 @@ The current time is always a parameter, so results repeat.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from litsieve.functions.text import as_column
 
@@ -34,6 +34,38 @@ def window_filter(
     return records.where(in_window(time, start, end))
 
 
+def scan_window(
+    spark: SparkSession, path: str, start: Column | None = None, end: Column | None = None, undated: bool = False
+) -> DataFrame:
+    """Window over a table of ``sinks.write_ingested``; ``undated`` lets undated rows pass.
+
+    The days prune folders, the times row groups and rows: no text outside of the window
+    is read and nothing is parsed.
+    """
+    rows = spark.read.parquet(path)
+    # Plain comparisons, which the scan can use; they leave undated rows out.
+    inside = rows.where("published_day IS NOT NULL")
+    for limit, test in ((start, lambda a, b: a >= b), (end, lambda a, b: a <= b)):
+        if limit is not None:
+            inside = inside.where(test(F.col("published_day"), F.to_date(limit)) & test(F.col("published_ts"), limit))
+    return inside.unionByName(rows.where("published_day IS NULL")) if undated else inside
+
+
+def observed_window(
+    records: DataFrame, time: Column, start: Column | None = None, end: Column | None = None
+) -> tuple[DataFrame, Observation]:
+    """:func:`window_filter` that counts in its own pass.
+
+    The observation has the counts of :func:`window_stats` once the filtered records have
+    been written or read to the end.
+    """
+    seen = Observation()
+    timed = records.withColumn("__time", time)
+    inside = in_window(F.col("__time"), start, end)
+    counted = timed.observe(seen, *_counts(F.col("__time"), inside))
+    return counted.where(inside).drop("__time"), seen
+
+
 def lookback_filter(
     records: DataFrame, time: Column, as_of: Column, hours: int, keep_undated: bool = False
 ) -> DataFrame:
@@ -47,13 +79,16 @@ def window_stats(
 ) -> DataFrame:
     """One row: total, inside, undated and outside counts."""
     timed = records.select(time.alias("time"))
-    inside = in_window(F.col("time"), start, end)
-    return timed.agg(
+    return timed.agg(*_counts(F.col("time"), in_window(F.col("time"), start, end)))
+
+
+def _counts(time: Column, inside: Column) -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("n_total"),
         F.count_if(inside).alias("n_inside"),
-        F.count_if(F.col("time").isNull()).alias("n_undated"),
-        F.count_if(F.col("time").isNotNull() & ~inside).alias("n_outside"),
-    )
+        F.count_if(time.isNull()).alias("n_undated"),
+        F.count_if(time.isNotNull() & ~inside).alias("n_outside"),
+    ]
 
 
 def scheduled_window(now: Column | str, time_zone: str, delivery: str) -> tuple[Column, Column]:

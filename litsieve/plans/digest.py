@@ -5,20 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from litsieve.config import DigestRules, Glossary
 from litsieve.operators.classify import classify
 from litsieve.operators.dedupe import resolve_duplicates
 from litsieve.operators.display import in_digest_order, with_publish_date
 from litsieve.operators.localization import localize, localize_by_template
-from litsieve.operators.normalize import normalize_records, publish_time
+from litsieve.operators.normalize import normalize_records, normalized_order, publish_time
 from litsieve.operators.providers import CallPolicy
 from litsieve.operators.relevance import filter_relevance
 from litsieve.operators.review import apply_decisions, review
 from litsieve.operators.routing import delivery_blocked, digest_input, route
 from litsieve.operators.sinks import export_rows, write_archive, write_csv, write_routes
-from litsieve.operators.windows import lookback_filter, window_filter
+from litsieve.operators.windows import lookback_filter, observed_window, window_filter
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,11 @@ class DigestRun:
     reviewed: DataFrame
     final: DataFrame
     localized: DataFrame
+    window_counts: Observation | None = None
+
+    def normalized_order(self) -> DataFrame:
+        """``seq`` and ``rank`` of the normalized records, newest first."""
+        return normalized_order(self.normalized)
 
 
 def _stage(df: DataFrame, folder: str | None, name: str, partition: str | None = None) -> DataFrame:
@@ -65,14 +70,18 @@ def run_digest(
     policy: CallPolicy = CallPolicy(),
     include_review: bool = True,
     work_folder: str | None = None,
+    count_window: bool = False,
 ) -> DigestRun:
     """Window, normalize, resolve, filter, classify, review, decide, localize.
 
     The window applies to the parsed publish time alone, so it runs before any
-    text is cleaned.
+    text is cleaned.  ``count_window`` counts what it lets through and drops, in the same
+    pass: ``window_counts`` holds the numbers once the normalized stage is written.
     """
-    inside = raw
-    if start is not None or end is not None:
+    inside, window_counts = raw, None
+    if count_window:
+        inside, window_counts = observed_window(raw, publish_time(raw), start, end)
+    elif start is not None or end is not None:
         inside = window_filter(raw, publish_time(raw), start, end)
     elif lookback_hours is not None and as_of is not None:
         inside = lookback_filter(raw, publish_time(raw), as_of, lookback_hours)
@@ -94,6 +103,7 @@ def run_digest(
         reviewed=reviewed,
         final=final,
         localized=_stage(localized, work_folder, "localized"),
+        window_counts=window_counts,
     )
 
 

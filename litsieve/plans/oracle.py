@@ -327,6 +327,13 @@ def sql(ctes: list[str], select: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",".join(ctes) + "\n" + select
 
 
+
+WINDOW_STATS = sql([RAW], f"""
+  SELECT count(*) AS n_total, count(*) FILTER (published_ts BETWEEN TIMESTAMP '{WINDOW_START}' AND TIMESTAMP '{WINDOW_END}') AS n_inside,
+    count(*) FILTER (published_ts IS NULL) AS n_undated,
+    count(*) FILTER (published_ts NOT BETWEEN TIMESTAMP '{WINDOW_START}' AND TIMESTAMP '{WINDOW_END}') AS n_outside FROM raw""")
+
+
 def _glossary(x: str) -> str:
     x = f"trim({x})"
     for source, target in PROSE_GLOSSARY.replacements:
@@ -517,10 +524,7 @@ visible AS (SELECT s.*, publication_stage AS stage FROM shown s WHERE NOT {HIDDE
             f"{joined('tags')} AS tags, {joined('authors')} AS authors FROM norm"),
         "ingest_window": sql([RAW], f"SELECT seq, published FROM raw WHERE published_ts IS NULL OR published_ts BETWEEN TIMESTAMP '{WINDOW_START}' AND TIMESTAMP '{WINDOW_END}'"),
         "window_filter": sql([RAW], f"SELECT seq, {iso('published_ts')} AS published_at FROM raw WHERE published_ts BETWEEN TIMESTAMP '{WINDOW_START}' AND TIMESTAMP '{WINDOW_END}'"),
-        "window_stats": sql([RAW], f"""
-          SELECT count(*) AS n_total, count(*) FILTER (published_ts BETWEEN TIMESTAMP '{WINDOW_START}' AND TIMESTAMP '{WINDOW_END}') AS n_inside,
-            count(*) FILTER (published_ts IS NULL) AS n_undated,
-            count(*) FILTER (published_ts NOT BETWEEN TIMESTAMP '{WINDOW_START}' AND TIMESTAMP '{WINDOW_END}') AS n_outside FROM raw"""),
+        "window_stats": WINDOW_STATS,
         "lookback_filter": sql([RAW], f"SELECT seq, published FROM raw WHERE published_ts >= TIMESTAMP '{AS_OF}' - INTERVAL 96 HOUR"),
         "digest_window": f"""
           WITH d AS (SELECT event_id, {delivered} AS day FROM events)
@@ -533,6 +537,19 @@ visible AS (SELECT s.*, publication_stage AS stage FROM shown s WHERE NOT {HIDDE
           SELECT strftime(s, '%Y-%m-%dT%H:%M:%SZ') AS window_start, strftime(e, '%Y-%m-%dT%H:%M:%SZ') AS window_end, event_type, count(*) AS n
           FROM events JOIN w ON ts >= s AND ts < e GROUP BY ALL""",
         "limit_per_source": sql([RAW], "SELECT source_id, seq FROM raw QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY seq) <= 20"),
+        "relevance_split": sql([RAW, NORM, SEARCH, HITS, RELEVANCE], "SELECT seq, relevance_status, relevance_reason FROM relevance WHERE relevance_status = 'reject'"),
+        "window_observed": WINDOW_STATS,
+        "decisions_csv": sql([RAW], """
+          SELECT CASE WHEN toxic = 1 THEN 'reject' ELSE 'keep' END AS review_final_decision,
+            CASE WHEN toxic = 1 THEN '' ELSE 'romance' END AS review_final_category, CASE WHEN toxic = 1 THEN 'flagged' ELSE '' END AS reviewer_notes,
+            count(*) AS n, count(DISTINCT nullif(trim(title), '')) AS n_titles, min(nullif(trim(doi), '')) AS first_doi
+          FROM labels JOIN raw ON seq = doc_id WHERE toxic = 1 OR quality = 1 GROUP BY 1, 2, 3"""),
+        "delivery_gate": sql([*TO_REVIEWED, FINAL], """
+          SELECT 'all' AS records, count(*) FILTER (final_decision = 'review') > 0 AS blocked, false AS blocked_if_allowed FROM final
+          UNION ALL SELECT 'kept', false, false"""),
+        "fallback_summary": sql([RAW, NORM], f"""
+          SELECT seq, '该文来源为《' || journal || '》' || {_stage_zh()} || '条目，归类为“其他”。当前未抓取到可用摘要，建议后续人工补充中文总结。' AS summary_zh
+          FROM norm WHERE publication_stage = 'preprint'"""),
         "relevance_filter": sql([RAW, NORM, SEARCH, HITS, RELEVANCE], f"""
           SELECT seq, relevance_status, relevance_reason, {joined('keep_hits')} AS relevance_keep_hits,
             {joined('ai_hits')} AS relevance_ai_keep_hits, {joined('reject_hits')} AS relevance_reject_hits,

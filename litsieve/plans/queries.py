@@ -17,7 +17,7 @@ from litsieve.functions.keywords import found_terms, hits_among, present_runs
 from litsieve.functions.payloads import json_path
 from litsieve.functions.rewriting import apply_glossary, cap_sentences, leading_sentences, trace_glossary
 from litsieve.functions.text import author_line, clean_text, normalize_title, snippet
-from litsieve.operators import dedupe, display, reports, review as reviews, routing, sinks, terms, windows
+from litsieve.operators import dedupe, display, normalize, reports, review as reviews, routing, sinks, terms, windows
 from litsieve.operators.classify import category_scores, classify, classify_records
 from litsieve.operators.localization import (
     localize,
@@ -26,7 +26,6 @@ from litsieve.operators.localization import (
 )
 from litsieve.operators.normalize import completeness, normalize_records, publish_time
 from litsieve.operators.relevance import filter_relevance
-from litsieve.operators.skew import rank_rows
 from litsieve.plans.tables import (
     PROSE_GLOSSARY,
     PROSE_RULES,
@@ -39,11 +38,11 @@ from litsieve.plans.tables import (
     records_from,
 )
 from litsieve.schemas import NORMALIZED_COLUMNS
-from litsieve.session import durable, shared_folder
+from litsieve.session import durable, shared_folder, stored
 from litsieve.sources.dispatch import Acquired, acquire, limit_per_source
 from litsieve.sources.feeds import read_feeds, skip_front_matter
 from litsieve.sources.listings import listing_links, page_links
-from litsieve.sources.records import scan_records as scan_json, filled_decisions
+from litsieve.sources.records import filled_decisions, read_decisions, scan_records as scan_json
 from litsieve.sources.registry import enrich, select_sources as choose_sources, source_locators
 from litsieve.streaming import resolution, runs
 
@@ -196,16 +195,29 @@ def skip_front_matter_query(spark: SparkSession, sf: str) -> DataFrame:
 # --- filters and windows -----------------------------------------------------
 
 
+def _ingested(spark: SparkSession, sf: str) -> str:
+    """Folder of the records, laid out by publish day."""
+    path, raw = f"{shared_folder(spark)}/ingested-{uuid.uuid4().hex}", raw_records(spark, sf)
+    sinks.write_ingested(raw, path, publish_time(raw))
+    return path
+
+
 def ingest_window(spark: SparkSession, sf: str) -> DataFrame:
-    raw = raw_records(spark, sf)
-    kept = windows.ingest_filter(raw, publish_time(raw), _time(WINDOW_START), _time(WINDOW_END))
+    kept = windows.scan_window(spark, _ingested(spark, sf), _time(WINDOW_START), _time(WINDOW_END), undated=True)
     return kept.select("seq", "published")
 
 
 def window_filter(spark: SparkSession, sf: str) -> DataFrame:
+    kept = windows.scan_window(spark, _ingested(spark, sf), _time(WINDOW_START), _time(WINDOW_END))
+    return kept.select("seq", iso_utc("published_ts").alias("published_at"))
+
+
+def window_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of the window, taken while the filtered records are written."""
     raw = raw_records(spark, sf)
-    kept = windows.window_filter(raw, publish_time(raw), _time(WINDOW_START), _time(WINDOW_END))
-    return kept.select("seq", iso_utc(publish_time(kept)).alias("published_at"))
+    kept, seen = windows.observed_window(raw, publish_time(raw), _time(WINDOW_START), _time(WINDOW_END))
+    normalize_records(kept).write.parquet(f"{shared_folder(spark)}/observed-{uuid.uuid4().hex}")
+    return spark.createDataFrame([seen.get], "n_total long, n_inside long, n_undated long, n_outside long")
 
 
 def window_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -322,24 +334,7 @@ def normalize_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def normalized_order(spark: SparkSession, sf: str) -> DataFrame:
     """Newest first; equal rows keep their input order."""
-    records = _normalized(spark, sf)
-    descending = records.select(
-        "seq", "journal", "title_en",
-        (-F.coalesce(F.unix_seconds(parse_datetime("published_at")), F.lit(-(2**40)))).alias("newest"),
-    )
-    groups = durable(descending)
-    return _descending_rank(groups)
-
-
-def _descending_rank(rows: DataFrame) -> DataFrame:
-    """Rank with text keys in falling order: rank rising from the other end.
-
-    Ranks count from the top in ``rank_rows``; counting from the bottom turns a
-    rising order of text into a falling one, and ``-seq`` keeps ties stable.
-    """
-    total = rows.count()
-    rising = rank_rows(rows, [-F.col("newest"), F.col("journal"), F.col("title_en"), -F.col("seq")], name="rising")
-    return rising.select("seq", (F.lit(total) + 1 - F.col("rising")).alias("rank"))
+    return normalize.normalized_order(_normalized(spark, sf))
 
 
 def dedupe_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -440,6 +435,42 @@ def manual_decisions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def decisions_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Edited review files, written in two parts and read back: the last filled row of a file name wins."""
+    path = f"{shared_folder(spark)}/decisions-{uuid.uuid4().hex}"
+    edited = decisions(spark, sf).select("journal", "doi", "title_en", "article_url", "review_final_decision", "review_final_category", "reviewer_notes")
+    edited.repartitionByRange(2, "doi").write.option("header", True).option("escape", '"').csv(path)
+    read = read_decisions(spark, path)
+    return read.groupBy("review_final_decision", "review_final_category", "reviewer_notes").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("title_en").alias("n_titles"), F.min("doi").alias("first_doi")
+    )
+
+
+def relevance_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Kept and rejected records as two partitions of one table; the rejected one is read back."""
+    path = f"{shared_folder(spark)}/relevance-{uuid.uuid4().hex}"
+    filtered = _filtered(spark, sf).drop("found")
+    sinks.write_routes(filtered, path, "relevance_status")
+    return spark.read.schema(filtered.schema).parquet(path).where("relevance_status = 'reject'").select("seq", "relevance_status", "relevance_reason")
+
+
+def delivery_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the waiting review queue blocks the delivery, of all records and of the kept ones."""
+    final = stored(_final(spark, sf).select("final_decision"))
+    rows = [
+        (name, routing.delivery_blocked(part), routing.delivery_blocked(part, allow_review_pending=True))
+        for name, part in (("all", final), ("kept", final.where("final_decision = 'keep'")))
+    ]
+    return spark.createDataFrame(rows, "records string, blocked boolean, blocked_if_allowed boolean")
+
+
+def fallback_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Translated records, some of which came without an abstract."""
+    records = classify_records(_normalized(spark, sf), PROSE_RULES)
+    shown = records.withColumn("abstract", F.when(F.col("publication_stage") == "preprint", "").otherwise(F.col("abstract")))
+    return localize(shown, _mark, PROSE_GLOSSARY).where("publication_stage = 'preprint'").select("seq", "summary_zh")
+
+
 def route_counts(spark: SparkSession, sf: str) -> DataFrame:
     return routing.route_counts(_final(spark, sf))
 
@@ -711,6 +742,11 @@ def queries() -> dict[str, Query]:
         "select_sources": select_sources,
         "skip_front_matter": skip_front_matter_query,
         "route_counts": route_counts,
+        "decisions_csv": decisions_csv,
+        "relevance_split": relevance_split,
+        "delivery_gate": delivery_gate,
+        "fallback_summary": fallback_summary,
+        "window_observed": window_observed,
         "digest_export": digest_export,
         "review_export": review_export,
         "archive_retention": archive_retention,

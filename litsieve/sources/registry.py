@@ -18,11 +18,37 @@ def source_locators(sources: DataFrame) -> DataFrame:
     return sources.select("*", F.posexplode("source_locator").alias("locator_pos", "url"))
 
 
+# A registry part of up to so many rows and characters goes to every task.
+SMALL_ROWS = 10_000
+SMALL_CHARS = 4 << 20
+SALTS = 32
+
+
+def _small(rows: DataFrame) -> list | None:
+    """The rows, if they are few and short; a row more than the bound is read at most."""
+    found = rows.limit(SMALL_ROWS + 1).collect()
+    chars = sum(len(str(value)) for row in found for value in row)
+    return found if len(found) <= SMALL_ROWS and chars <= SMALL_CHARS else None
+
+
 def enrich(records: DataFrame, sources: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Left join to the registry.
+    """Left join to the registry that leaves the records where they are.
 
-    The caller's registry decides the strategy: one built from a configuration
-    file carries a broadcast hint because its size was checked; any other table
-    is broadcast only if Spark's own size threshold allows it.
+    A registry within the bounds above is sent to every task.  Of a larger one only the
+    sources that occur are looked at: their ids are read from one column of the records.
+    Where even those are too many, the records meet the registry by source and a salt of
+    their ``seq``, so a source with a third of the records is spread over many tasks.
     """
-    return records.join(sources.select("source_id", *columns), "source_id", "left")
+    spark = records.sparkSession
+    wanted = sources.select("source_id", *columns)
+    small = _small(wanted)
+    if small is None and not records.isStreaming:
+        wanted = wanted.join(records.select("source_id").distinct(), "source_id", "left_semi")
+        small = _small(wanted)
+    if small is not None:
+        return records.join(F.broadcast(spark.createDataFrame(small, wanted.schema)), "source_id", "left")
+    if records.isStreaming:
+        return records.join(wanted, "source_id", "left")
+    salted = records.withColumn("__salt", F.pmod(F.xxhash64("seq"), F.lit(SALTS)))
+    copies = wanted.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, ["source_id", "__salt"], "left").drop("__salt")

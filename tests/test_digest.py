@@ -263,3 +263,35 @@ def test_terms_named_by_sketch_or_counted_in_full(spark):
     best = sorted((t for t in counts if t != words[-1]), key=lambda t: (-counts[t], seen[t][0]))[:15]
     assert [(t, n) for t, n, *_ in whole] == sorted((t, counts[t]) for t in best)
     assert all((first, titles) == (seen[t][0], tuple(f"title {i}" for i in seen[t][:2])) for t, _, first, titles in whole)
+
+
+def test_window_scan_prunes_and_counts_in_one_pass(spark, raw, tmp_path):
+    from litsieve.operators.normalize import publish_time
+
+    more = raw.unionByName(raw.withColumns({"seq": F.col("seq") + 10, "published": F.lit("2026-03-16T05:00:00Z")}))
+    more = more.unionByName(raw.where("seq = 1").withColumns({"seq": F.lit(20).cast("long"), "published": F.lit("")}))
+    path = str(tmp_path / "ingested")
+    sinks.write_ingested(more, path, publish_time(more))
+    start, end = ts("2026-03-14 00:30:00"), ts("2026-03-15 00:00:00")
+    kept = windows.scan_window(spark, path, start, end)
+    assert {r.seq for r in kept.collect()} == {2, 3, 4}
+    assert {r.seq for r in windows.scan_window(spark, path, start, end, undated=True).collect()} == {2, 3, 4, 20}
+    plan = kept.select("seq")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(published_ts" in plan and "published_day" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "Python" not in plan
+    run = run_digest(more, DigestRules(), start=start, end=end, work_folder=str(tmp_path / "work"), count_window=True)
+    assert run.window_counts.get == windows.window_stats(more, publish_time(more), start, end).first().asDict()
+    assert [r.seq for r in run.normalized_order().orderBy("rank").collect()] == [4, 3, 2]
+
+
+def test_registries_of_any_size(spark, monkeypatch):
+    from litsieve.sources import registry
+
+    records = spark.createDataFrame([(i, f"s{i % 3}" if i else None) for i in range(60)], "seq long, source_id string")
+    sources = spark.createDataFrame([(f"s{i}", f"g{i}") for i in range(1, 40)], "source_id string, `group` string")
+    want = {(i, None if not i or i % 3 == 0 else f"g{i % 3}") for i in range(60)}
+    for rows, joins in ((10_000, "Broadcast"), (5, "Broadcast"), (1, "__salt")):
+        monkeypatch.setattr(registry, "SMALL_ROWS", rows)
+        got = registry.enrich(records, sources, ["group"])
+        assert {(r.seq, r.group) for r in got.collect()} == want
+        assert joins in got._jdf.queryExecution().toString()
