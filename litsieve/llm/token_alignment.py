@@ -96,9 +96,11 @@ class _Aligner:
         # The merges of a byte-level vocabulary are in the order of its ids.
         ranks = {entry: i for i, entry in enumerate(self.a.entries) if entry}
         self.bytes_bpe = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        # An id with what stands behind it: within a side, after either side of a group, after a window.
-        numbers = range(max(len(self.a.entries), len(self.b.entries)))
-        self.names = np.array([[f"{i}{mark}" for i in numbers] for mark in ",|;\n"], object)
+        # Decimal digits of every id.
+        numbers = [str(i).encode() for i in range(max(len(self.a.entries), len(self.b.entries)))]
+        self.width = np.array(list(map(len, numbers)), np.int64)
+        self.digit_at = np.cumsum(self.width) - self.width
+        self.digits = np.frombuffer(b"".join(numbers), np.uint8)
         self.forget()
 
     def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -137,14 +139,25 @@ class _Aligner:
         order = np.argsort(place, kind="stable")
         place = place[order]
         window = np.concatenate([np.repeat(np.arange(len(cuts)), n) for n in counts])[order]
-        mark = np.where(np.diff(place, append=-1) == 0, 0, 1 + place % 2)
-        mark[np.diff(window, append=-1) != 0] = 3
-        self.texts += "".join(self.names[mark, np.concatenate(tokens)[order]].tolist()).split("\n")[:-1]
-        return range(len(self.texts) - len(cuts), len(self.texts))
+        # An id, then what stands behind it: within a side, after the first or second side of a group.
+        mark = np.where(np.diff(place, append=-1) == 0, ord(","), np.where(place % 2 == 0, ord("|"), ord(";")))
+        named = np.concatenate(tokens)[order]
+        wide = self.width[named]
+        behind = np.cumsum(wide + 1) - 1
+        text = np.empty(behind[-1] + 1, np.uint8)
+        digits = np.ones(len(text), bool)
+        digits[behind] = False
+        text[behind] = mark
+        text[digits] = self.digits[_ranges(self.digit_at[named], self.digit_at[named] + wide)]
+        stops = len(self.text) + behind[np.flatnonzero(np.diff(window, append=-1))] + 1
+        self.text.frombytes(text.tobytes())
+        self.text_stops.frombytes(stops.astype(np.int64).tobytes())
+        return range(len(self.starts) - len(cuts), len(self.starts))
 
     def forget(self) -> None:
         self.memo: dict[bytes, int] = {}
-        self.texts: list[str] = []
+        # Texts of the groups of all windows in a row, and where each ends.
+        self.text, self.text_stops = array("B"), array("q", [0])
         self.starts, self.groups, self.links, self.pairs = (array("q") for _ in range(4))
 
     def align(self, data: bytes | None) -> tuple:
@@ -154,9 +167,10 @@ class _Aligner:
             return nothing
         a_ids, b_ids = self.ids(data.decode("utf-8", "replace"))
         spaced = np.frombuffer(b" " + data, np.uint8)
-        if not (self.a.whole(a_ids, spaced) and self.b.whole(b_ids, spaced)):
+        # The merges of a byte-level vocabulary only join bytes: all are there if their number is right.
+        if int(self.a.lengths[a_ids].sum()) != len(spaced) or not self.b.whole(b_ids, spaced):
             return nothing
-        if len(self.texts) > MEMO_WINDOWS or len(self.pairs) > MEMO_PAIRS:
+        if len(self.starts) > MEMO_WINDOWS or len(self.pairs) > MEMO_PAIRS:
             self.forget()
         (a_at, a_byte), (b_at, b_byte) = self.a.spaces(a_ids), self.b.spaces(b_ids)
         near = np.searchsorted(b_byte, a_byte)
@@ -178,7 +192,9 @@ class _Aligner:
             memo.update(zip(fresh, self.windows((a_ids, b_ids), cuts[list(fresh.values())])))
             for at in missing:
                 numbers[at] = memo[keys[at]]
-        digest = hashlib.sha256(";".join(map(self.texts.__getitem__, numbers)).encode()).hexdigest()
+        stops = np.frombuffer(self.text_stops, np.int64)
+        text = np.frombuffer(self.text, np.uint8)[_ranges(stops[numbers], stops[np.array(numbers) + 1])]
+        digest = hashlib.sha256(text[:-1]).hexdigest()
         used, times = np.unique(numbers, return_counts=True)
         starts, links, groups = (np.frombuffer(c, np.int64)[used] for c in (self.starts, self.links, self.groups))
         flat = np.frombuffer(self.pairs, np.int64)[_ranges(starts, starts + links)]
