@@ -201,7 +201,7 @@ def in_digest_order(records: DataFrame, rules: DisplayRules, grouping: str | Non
     """``records`` with their ``digest_rank``, in one sorted pass that carries all columns."""
     keyed = with_display_keys(records, rules)
     added = [c for c in keyed.columns if c not in records.columns]
-    return with_rank(keyed, _digest_keys(rules, grouping), name="digest_rank").drop(*added)
+    return with_rank(keyed, _digest_keys(rules, grouping), name="digest_rank", keep=True).drop(*added)
 
 
 def priority_groups(records: DataFrame, rules: DisplayRules, **options) -> DataFrame:
@@ -254,11 +254,11 @@ def digest_sections(
     )
     if (grouping or rules.grouping_mode) == "journal":
         groups = rank_groups(journal_groups(keyed, rules, ["stage"]), ["stage"], **options)
-        placed = display_order(keyed, ["stage", "source_id"], "card_rank", **options)
+        placed = display_order(keyed, ["stage_rank", "stage", "source_id"], "card_rank", keep=False, **options)
         rows = placed.join(groups, ["stage", "source_id"])
     else:
         order = F.array(*(F.lit(b) for b in BUCKETS))
-        placed = display_order(keyed, ["stage", "bucket"], "card_rank", **options)
+        placed = display_order(keyed, ["stage_rank", "stage", "bucket"], "card_rank", keep=False, **options)
         sizes = placed.groupBy("stage", "bucket").agg(F.count(F.lit(1)).alias("n_records"))
         rows = placed.join(sizes, ["stage", "bucket"]).withColumns(
             {
@@ -266,8 +266,7 @@ def digest_sections(
                 "group_label": label_for(F.col("bucket"), dict(labels)),
             }
         )
-    stages = keyed.select("seq", "stage_rank")
-    return rows.join(stages, "seq").select(
+    return rows.select(
         "seq", "stage_rank", "stage", label_for("stage", d.STAGE_LABELS).alias("stage_label"),
         "group_rank", "group_label", "n_records", "card_rank",
     )

@@ -79,7 +79,7 @@ def normalized_order(records: DataFrame) -> DataFrame:
         )
     )
     total = keys.count()
-    rising = rank_rows(keys, [-F.col("newest"), F.col("journal"), F.col("title_en"), -F.col("seq")], name="rising")
+    rising = rank_rows(keys, [-F.col("newest"), F.col("journal"), F.col("title_en"), -F.col("seq")], name="rising", keep=False)
     return rising.select("seq", (F.lit(total) + 1 - F.col("rising")).alias("rank"))
 
 

@@ -15,6 +15,7 @@ def with_rank(
     groups: Sequence[str] = (),
     name: str = "rank",
     ranges: int | None = None,
+    keep: bool = False,
 ) -> DataFrame:
     """``rows`` plus their exact row number (from 1) within ``groups``.
 
@@ -23,10 +24,15 @@ def with_rank(
     same group in earlier ranges.  A group that holds a third of the rows is
     spread over a third of the ranges.  The shifts are one row per group and
     range.  ``order`` should end in something unique.
+
+    The partitioner samples the keys before it sorts, which computes ``rows`` twice;
+    ``keep`` stores them first, for rows that are a long chain and no table.
     """
     ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [f"__o{i}" for i in range(len(order))]
     keyed = rows.select("*", *(column.alias(key) for key, column in zip(keys, order)))
+    if keep:
+        keyed = stored(keyed)
     by = [F.col(c) for c in (*groups, *keys)]
     # The place inside a sorted range is the low part of the id, the range its high part.
     placed = stored(

@@ -19,16 +19,17 @@ def rank_rows(
     row_id: str = "seq",
     name: str = "rank",
     ranges: int | None = None,
+    keep: bool = True,
 ) -> DataFrame:
     """Exact row numbers within ``groups`` (none: over everything).
 
     Returns ``row_id``, the groups and the rank.  ``order`` sorts ascending and
-    must end in something unique.  Only these narrow columns are sorted, in one
-    range-partitioned pass.
+    must end in something unique.  Only these narrow columns are stored and sorted, in
+    one range-partitioned pass; ``keep=False`` is for rows that are a stored table.
     """
     columns = [f"o{i}" for i in range(len(order))]
     keys = rows.select(row_id, *groups, *(column.alias(c) for column, c in zip(order, columns)))
-    ranked = with_rank(keys, [F.col(c) for c in columns], groups, name, ranges)
+    ranked = with_rank(keys, [F.col(c) for c in columns], groups, name, ranges, keep)
     return ranked.select(row_id, *groups, name)
 
 
