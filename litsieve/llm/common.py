@@ -44,16 +44,20 @@ def public_tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def worker_value(key, make: Callable):
+def worker_value(key, make: Callable, small: bool = False):
     """What ``make`` gives, once per worker process: tasks that follow find it.
 
     Functions reach the workers by value, each with globals of its own, so the values
-    are kept in a module that belongs to the process.
+    are kept in a module that belongs to the process.  Workers outlive stages: of large
+    values one is kept at a time, so the caches of one operator make room for the next.
     """
     kept = sys.modules.setdefault("litsieve_worker", types.ModuleType("litsieve_worker")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    held = kept.setdefault("small" if small else "large", {})
+    if key not in held:
+        if not small:
+            held.clear()
+        held[key] = make()
+    return held[key]
 
 
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes | None]:

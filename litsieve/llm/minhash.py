@@ -33,7 +33,7 @@ FEATURES = "doc_id long, n_shingles long, set_key binary, signature binary"
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
-    return worker_value("permutations", _drawn_permutations)
+    return worker_value("permutations", _drawn_permutations, small=True)
 
 
 def _drawn_permutations() -> tuple[np.ndarray, np.ndarray]:

@@ -39,7 +39,7 @@ SCORES = "doc_id long, held_out boolean, score double, predicted int, evidence a
 
 
 def _letters() -> np.ndarray:
-    return worker_value("letters", lambda: np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
+    return worker_value("letters", lambda: np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000), small=True)
 
 
 def letter_terms(text: str | None, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
@@ -335,11 +335,7 @@ def _shared(spark, model: Model) -> tuple:
 
 def _received(shared, key: str) -> Model:
     """The model in a worker, unpacked once; a worker keeps one model."""
-    held = worker_value("toxicity", dict)
-    if key not in held:
-        held.clear()
-        held[key] = pickle.loads(shared.value)
-    return held[key]
+    return worker_value(("toxicity", key), lambda: pickle.loads(shared.value))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
