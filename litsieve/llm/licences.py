@@ -13,9 +13,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from litsieve.llm.common import columns, texts
+from litsieve.llm.common import texts
 
 # Notices by family (fixed values: the wordings that licences ask for, in short).
 _GNU = "you can redistribute it and or modify it under the terms of the gnu {} as published by the free software foundation either version {} of the license or at your option any later version"
