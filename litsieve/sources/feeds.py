@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from litsieve.defaults import FRONT_MATTER_TITLES
-from litsieve.functions.text import as_column, first_filled, strip_ends, text_or_empty
+from litsieve.functions.text import first_filled, strip_ends, text_or_empty
 from litsieve.schemas import FEED_COLUMNS
 
 SOURCE_COLUMNS = ("source_id", "journal", "publisher_family", "group", "publication_stage")
