@@ -375,8 +375,9 @@ def _cut(with_text: bool):
 
 def repeated_ranges(packed: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, part_segments: int = PART_SEGMENTS) -> DataFrame:
     """``block, low, high``: byte ranges of a table of blocks covered by strings that start earlier too."""
-    if anchor & (anchor - 1) or not 2 * anchor <= length <= 4 * anchor:
-        raise ValueError("anchor is a power of two, length two to four times as much")
+    # Three runs of 2 * anchor bytes have to cover a segment.
+    if anchor & (anchor - 1) or not 2 * anchor <= length <= 7 * anchor // 2:
+        raise ValueError("anchor is a power of two, length two to three and a half times as much")
     by_hash = Window.partitionBy("hash")
     # A block lists an anchor once, so the rows of an anchor are at most the blocks.
     anchors = packed.mapInArrow(_anchors(length, anchor), "hash long, block long, times long")

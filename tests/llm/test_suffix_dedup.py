@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from litsieve.llm import suffix_dedup as sd
@@ -101,3 +102,10 @@ def test_sorting():
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert found(op13_suffix_dedup(spark, "/root/testdata/sf0.001")) == brute(docs)
+
+
+def test_lengths_that_hashes_cannot_cover(spark):
+    docs = spark.createDataFrame([(1, "a" * 300)], "doc_id long, text string")
+    for length, anchor in ((100, 24), (120, 32), (60, 32)):
+        with pytest.raises(ValueError):
+            sd.suffix_dedup(docs, length=length, anchor=anchor)
