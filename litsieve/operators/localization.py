@@ -97,7 +97,7 @@ def localize(
     When the first callable fails for a record, title and abstract are both
     redone by ``secondary``; without one the failure ends the job.
     """
-    last = [0.0]
+    last: list[float] = []
 
     def both(call: Callable[[str], str], record: dict) -> dict:
         title, abstract = record["title_en"] or "", record["abstract"] or ""

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -18,6 +19,8 @@ class CallPolicy:
     ``concurrency`` bounds the tasks that call at the same time, ``min_interval``
     is the pause between calls of one task, and a call that ``is_retryable``
     repeats up to ``max_attempts`` times with a linearly growing pause.
+    ``rate`` bounds the calls per second of all tasks together: each of the
+    ``concurrency`` tasks gets an equal share and starts in its own part of the interval.
     """
 
     concurrency: int | None = None
@@ -25,11 +28,31 @@ class CallPolicy:
     max_attempts: int = 1
     backoff: float = 0.0
     is_retryable: Callable[[Exception], bool] = lambda error: True
+    rate: float | None = None
+
+    def __post_init__(self):
+        if self.rate is not None and not (self.rate > 0 and self.concurrency):
+            raise ValueError("a rate over all tasks must be positive and needs a concurrency")
+
+    @property
+    def interval(self) -> float:
+        """Seconds between two calls of one task."""
+        return max(self.min_interval, self.concurrency / self.rate if self.rate else 0.0)
+
+
+def _before_first(policy: CallPolicy) -> float:
+    """Time of a call that would let this task make its first one now, or in its turn under a shared rate."""
+    task = TaskContext.get()
+    turn = task.partitionId() / policy.rate if policy.rate and task else 0.0
+    return time.monotonic() - policy.interval + turn
 
 
 def call_with_policy(call: Callable[[Any], Any], argument: Any, policy: CallPolicy, last: list[float]) -> Any:
+    """Call, pace and repeat; ``last`` holds the time of the task's latest call, and is empty before the first."""
+    if not last:
+        last.append(_before_first(policy))
     for attempt in range(1, policy.max_attempts + 1):
-        pause = policy.min_interval - (time.monotonic() - last[0])
+        pause = policy.interval - (time.monotonic() - last[0])
         if pause > 0:
             time.sleep(pause)
         last[0] = time.monotonic()
@@ -58,7 +81,7 @@ def call_records(
     fields = [part.split()[0] for part in result.split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = [0.0]
+        last: list[float] = []
         for batch in batches:
             replies = [call_with_policy(call, record, policy, last) for record in batch.to_dict("records")]
             yield pd.DataFrame([[reply.get(f) for f in fields] for reply in replies], columns=fields)

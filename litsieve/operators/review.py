@@ -11,6 +11,7 @@ from litsieve.functions.identifiers import canonical_doi, canonical_url
 from litsieve.functions.keywords import contains_any, starts_with_any
 from litsieve.functions.payloads import json_path
 from litsieve.functions.text import first_filled, normalize_title, strip_ends, text_or_empty
+from litsieve.operators.journal import ReplyJournal, call_journalled
 from litsieve.operators.providers import CallPolicy, call_records
 from litsieve.schemas import REVIEW_RESULT
 from litsieve.session import evaluate_once
@@ -91,8 +92,15 @@ def review_with(
     call: Callable[[dict], dict],
     columns: list[str],
     policy: CallPolicy = CallPolicy(),
+    journal: ReplyJournal | None = None,
 ) -> DataFrame:
-    """Add ``payload`` from a user callable ``record -> {decision, confidence, …}``."""
+    """Add ``payload`` from a user callable ``record -> {decision, confidence, …}``.
+
+    With a ``journal`` every different request is asked for once, also over lost tasks
+    and later runs; the callable then sees ``columns`` only.
+    """
+    if journal:
+        return call_journalled(records, "payload", columns, REVIEW_RESULT, call, journal, policy)
     return call_records(records, "payload", columns, REVIEW_RESULT, call, policy)
 
 
@@ -133,12 +141,13 @@ def review(
     call: Callable[[dict], dict] | None = None,
     columns: list[str] | None = None,
     policy: CallPolicy = CallPolicy(),
+    journal: ReplyJournal | None = None,
 ) -> DataFrame:
     """Review with the built-in rules or, when given, a user callable."""
     if call is None:
         return finalize_review(heuristic_review(records, rules.review), rules.review)
     wanted = columns or ["title_en", "abstract", "journal", "publication_stage", "category", "tags"]
-    return finalize_review(review_with(records, call, wanted, policy), rules.review)
+    return finalize_review(review_with(records, call, wanted, policy, journal), rules.review)
 
 
 def decision_key(*urls: str) -> Column:

@@ -561,10 +561,10 @@ judged AS (SELECT seq, {_heuristic('category')} AS rb FROM opened)"""], f"""
         "finalize_review": sql(TO_PROVIDED, """
           SELECT seq, rule_decision, llm_decision, llm_confidence, llm_reason, category_original, llm_category_override, category,
             final_decision FROM provided"""),
-        "review_provider": sql(ONLY_CLASSES, f"""
+        **dict.fromkeys(["review_provider", "review_journal"], sql(ONLY_CLASSES, f"""
           , r AS (SELECT seq, category, length(abstract) AS n, CASE WHEN length(abstract) > 1000 THEN 0.9 WHEN length(abstract) > 300 THEN 0.7 ELSE 0.2 END AS c FROM classified)
           SELECT seq, CASE WHEN n > 2000 THEN 'keep' WHEN c >= {V.keep_threshold} THEN 'keep' WHEN c >= {V.review_threshold} THEN 'review' ELSE 'reject' END AS llm_decision,
-            c::DOUBLE AS llm_confidence, n || ' characters' AS llm_reason, CASE WHEN n > 8000 THEN 'long-read' ELSE category END AS category FROM r"""),
+            c::DOUBLE AS llm_confidence, n || ' characters' AS llm_reason, CASE WHEN n > 8000 THEN 'long-read' ELSE category END AS category FROM r""")),
         "digest_gate": sql(TO_REVIEWED, """
           SELECT seq, CASE final_decision WHEN 'keep' THEN 0 ELSE 1 END AS part, final_decision FROM reviewed WHERE final_decision IN ('keep', 'review')"""),
         "visual_filter": sql(TO_KEYED, f"SELECT seq, {HIDDEN} AS hidden FROM keyed"),

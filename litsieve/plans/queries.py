@@ -19,12 +19,14 @@ from litsieve.functions.rewriting import apply_glossary, cap_sentences, leading_
 from litsieve.functions.text import author_line, clean_text, normalize_title, snippet
 from litsieve.operators import dedupe, display, normalize, reports, review as reviews, routing, sinks, terms, windows
 from litsieve.operators.classify import category_scores, classify, classify_records
+from litsieve.operators.journal import ReplyJournal, ask_once
 from litsieve.operators.localization import (
     localize,
     localize_from_memory,
     template_summary,
 )
 from litsieve.operators.normalize import completeness, normalize_records, publish_time
+from litsieve.operators.providers import CallPolicy
 from litsieve.operators.relevance import filter_relevance
 from litsieve.plans.tables import (
     PROSE_GLOSSARY,
@@ -411,20 +413,33 @@ def finalize_review(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _by_length(record: dict) -> dict:
+    length = len(record["abstract"] or "")
+    return {
+        "decision": "keep" if length > 2000 else "unsure",
+        "confidence": 0.9 if length > 1000 else 0.7 if length > 300 else 0.2,
+        "reason": f"{length} characters",
+        "category_override": "long-read" if length > 8000 else None,
+    }
+
+
 def review_provider(spark: SparkSession, sf: str) -> DataFrame:
     """A callable that decides by length; it sees every record once."""
+    records = classify_records(_normalized(spark, sf), PROSE_RULES)
+    done = reviews.review(records, PROSE_RULES, _by_length, ["abstract"])
+    return done.select("seq", "llm_decision", "llm_confidence", "llm_reason", "category")
 
-    def by_length(record: dict) -> dict:
-        length = len(record["abstract"] or "")
-        return {
-            "decision": "keep" if length > 2000 else "unsure",
-            "confidence": 0.9 if length > 1000 else 0.7 if length > 300 else 0.2,
-            "reason": f"{length} characters",
-            "category_override": "long-read" if length > 8000 else None,
-        }
 
-    records = classify_records(_normalized(spark, sf), PROSE_RULES)
-    done = reviews.review(records, PROSE_RULES, by_length, ["abstract"])
+def review_journal(spark: SparkSession, sf: str) -> DataFrame:
+    """The same callable behind a journal: equal abstracts are asked for once, and a second run asks for none."""
+
+    def refuses(record: dict) -> dict:
+        raise AssertionError("this reply is in the journal")
+
+    records = stored(classify_records(_normalized(spark, sf), PROSE_RULES))
+    journal = ReplyJournal(f"{shared_folder(spark)}/replies-{uuid.uuid4().hex}")
+    ask_once(records, ["abstract"], _by_length, journal, CallPolicy(concurrency=8))
+    done = reviews.review(records, PROSE_RULES, refuses, ["abstract"], journal=journal)
     return done.select("seq", "llm_decision", "llm_confidence", "llm_reason", "category")
 
 
@@ -810,6 +825,7 @@ def queries() -> dict[str, Query]:
         "review_payload": review_payload,
         "digest_windows": digest_windows,
         "review_provider": review_provider,
+        "review_journal": review_journal,
         "localize": localize_query,
         "localize_fallback": localize_fallback,
         "translation_memory": translation_memory,
