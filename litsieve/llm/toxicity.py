@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
 Texts are vectors of letter trigrams inside words and of word starts, weighted by TF-IDF with
-document counts over the whole corpus.  The examples sit in an inverted index
+document counts over the whole corpus, kept in a fixed number of hashed slots.  The examples sit in an inverted index
 whose lists are cut into blocks with their largest weight; whole blocks are
 skipped when they cannot reach the nearest examples found so far, so cosines
 are exact.  The nearest examples vote by distance.
@@ -21,11 +21,16 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from litsieve.llm.common import columns, texts as text_rows, worker_value
+from litsieve.llm.common import columns, mixed, texts as text_rows, worker_value
 from litsieve.session import release, stored
 
 EXAMPLES_PER_LABEL = 1024
 POSTINGS_PER_LABEL = 1 << 21  # the sample of a label is full when its texts have so many different terms in all
+# Document counts lie in so many slots by the hash of the term, so their size does not grow with
+# the corpus.  Terms that share a slot share its count: of v terms about v / SLOTS are touched.
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS
+OTHER_TERM = np.iinfo(np.int64).max
 BLOCK = 64
 COMMON = 8  # a term is common if one of so many examples holds it
 FIRST_BLOCKS = 4
@@ -150,7 +155,7 @@ class BlockMaxIndex:
 
 @dataclass
 class Model:
-    """Vocabulary, index and calibration; its size is bounded by the sample of examples."""
+    """Vocabulary, index and calibration; its size is bounded by the sample of examples and the slots."""
 
     vocabulary: np.ndarray
     idf: np.ndarray
@@ -183,14 +188,19 @@ class Model:
         return float(value), evidence
 
 
+def count_slots(keys: np.ndarray) -> np.ndarray:
+    """Slot of each term's document count."""
+    return (mixed(keys.astype(np.uint64)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
 def tf_idf(vocabulary, idf, keys, counts) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the vocabulary and weights of length 1; terms outside of it are left out."""
-    if not len(vocabulary):
-        return np.empty(0, np.int64), np.empty(0)
-    place = np.minimum(np.searchsorted(vocabulary, keys), len(vocabulary) - 1)
-    known = vocabulary[place] == keys
-    weight = (1 + np.log(counts[known])) * idf[place[known]]
-    return place[known], weight / (np.sqrt((weight**2).sum()) or 1.0)
+    """Places in the vocabulary and weights, of length 1 over all terms of the text.
+
+    The last place of the vocabulary stands for every term that no example holds.
+    """
+    at = np.searchsorted(vocabulary, keys)
+    weight = (1 + np.log(counts)) * idf[count_slots(keys)]
+    return np.where(vocabulary[at] == keys, at, len(vocabulary) - 1), weight / (np.sqrt((weight**2).sum()) or 1.0)
 
 
 def _held_out() -> F.Column:
@@ -212,17 +222,14 @@ def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of a task that hold each term, and its documents under a null term."""
-    total, terms, seen = 0, np.empty(0, np.int64), np.empty(0, np.int64)
+    """Documents of a task that hold each term, by the terms' slots, and its documents under slot -1."""
+    total, seen = 0, np.zeros(SLOTS, np.int64)
     for batch in batches:
         total += batch.num_rows
-        found = [letter_terms(text)[0] for text in batch.column("text").to_pylist()]
-        new, n = np.unique(np.concatenate(found or [terms[:0]]), return_counts=True)
-        terms, place = np.unique(np.concatenate([terms, new]), return_inverse=True)
-        seen = np.bincount(place, np.concatenate([seen, n]), len(terms)).astype(np.int64)
-    yield pa.RecordBatch.from_arrays(
-        [pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(terms, pa.int64())]), pa.array(np.r_[total, seen], pa.int64())], names=["term", "n"]
-    )
+        for text in batch.column("text").to_pylist():
+            np.add.at(seen, count_slots(letter_terms(text)[0]), 1)
+    slots = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, slots], pa.int64()), pa.array(np.r_[total, seen[slots]], pa.int64())], names=["slot", "n"])
 
 
 def _calibrated(votes: np.ndarray, toxic: np.ndarray, prior: float) -> tuple[float, float]:
@@ -249,8 +256,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     The sample is the rows of smallest hash of their id among those whose text has a
     letter; texts of any length are taken, until the label's number of rows or of
     different terms is reached.  A doc_id that repeats stands for its smallest text.
-    The vocabulary and document counts are those of all documents, so lengths of
-    vectors miss nothing.  Equal texts are one example, whose label is the mean of
+    Document counts are those of all documents and lengths of vectors run over all terms
+    of a text; the vocabulary lists only the terms of the examples.  Equal texts are one example, whose label is the mean of
     theirs.
     """
     spark = docs.sparkSession
@@ -283,15 +290,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     release(found)
     examples = list(merged.values())
     del merged
-    # One row per different term of the corpus; sixteen bytes each on the driver.
-    counted = texts.select("text").mapInArrow(_document_counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    term, n = counted.column("term"), counted.column("n").to_numpy()
-    unnamed = term.is_null().to_numpy()
-    n_docs = int(n[unnamed].sum())
-    vocabulary, df = term.drop_null().to_numpy(), n[~unnamed]
-    by_term = np.argsort(vocabulary)
-    vocabulary, df = vocabulary[by_term], df[by_term]
-    idf = np.log((n_docs + 1) / (df + 1)) + 1e-6
+    # At most one row per slot.
+    counted = texts.select("text").mapInArrow(_document_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(SLOTS + 1, np.int64)
+    df[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+    del counted
+    # Slot -1, the last one, has the number of documents.
+    idf = (np.log((df[-1] + 1) / (np.minimum(df[:-1], df[-1]) + 1)) + 1e-6).astype(np.float32)
+    vocabulary = np.unique(np.concatenate([[OTHER_TERM], *(e[1] for e in examples)]).astype(np.int64))
     vectors = [tf_idf(vocabulary, idf, e.pop(1), e.pop(1)) for e in examples]
     doc_id = np.array([e[0] for e in examples], np.int64)
     toxic = np.array([np.mean(e[1]) for e in examples])
@@ -306,7 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
             votes[i] = model.vote(best, cosine)
     model.slope, model.level = _calibrated(votes, model.toxic, prior)
     # What the tables of the fit took goes back to the system.
-    del vectors, counted, term, n
+    del vectors
     pa.default_memory_pool().release_unused()
     return model
 

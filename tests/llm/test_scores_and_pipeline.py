@@ -1,7 +1,9 @@
 """Toxicity, licence scan and the pipeline."""
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from litsieve.llm import queries
 from litsieve.llm.licences import NONE, TEMPLATES, UNKNOWN, fit as fit_licences, scan
-from litsieve.llm.toxicity import NEIGHBOURS, fit, letter_terms, score_documents, toxicity
+from litsieve.llm.toxicity import NEIGHBOURS, SLOTS, START_LETTERS, count_slots, fit, letter_terms, score_documents, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
 INSULTS = ["idiot", "moron", "scumbag", "loserly", "worthless"]
@@ -76,6 +78,49 @@ def test_nearest_examples_match_all_cosines(spark):
         assert np.allclose(cosine, np.sort(dense[:, terms] @ weights)[::-1][:NEIGHBOURS], atol=1e-5)
 
 
+def test_cosines_match_tf_idf_from_scratch(spark):
+    """Terms, document counts, weights and cosines computed again without the operator's arrays."""
+    docs, labels = corpus(300)
+    rows, known = tables(spark, docs, labels)
+    model = fit(rows, known, per_label=60)
+
+    def terms(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        trigrams = [("t", f" {w} "[i : i + 3]) for w in words for i in range(len(w))]
+        return Counter(trigrams + [("s", w[:START_LETTERS]) for w in words])
+
+    counted = {i: terms(text) for i, text in docs}
+    held = Counter(t for found in counted.values() for t in found)
+
+    def vector(found):
+        weight = {t: (1 + math.log(n)) * (math.log((len(docs) + 1) / (held[t] + 1)) + 1e-6) for t, n in found.items()}
+        length = math.sqrt(sum(w * w for w in weight.values())) or 1.0
+        return {t: w / length for t, w in weight.items()}
+
+    vectors = {i: vector(found) for i, found in counted.items()}
+    for i, text in docs[::15]:
+        best, cosine = model.index.nearest(*model.vector(*letter_terms(text)), NEIGHBOURS)
+        plain = sorted((sum(w * vectors[int(e)].get(t, 0) for t, w in vectors[i].items()) for e in model.doc_id), reverse=True)
+        # A term that shares a slot with another one has a count that is too high.
+        assert np.allclose(cosine, plain[:NEIGHBOURS], atol=0.01)
+
+
+def test_slots_count_documents(spark):
+    docs, labels = corpus(200)
+    rows, known = tables(spark, docs, labels)
+    model = fit(rows, known, per_label=20)
+    assert len(model.idf) == SLOTS
+    held = Counter(int(k) for _, text in docs for k in letter_terms(text)[0])
+    keys = np.array(list(held), np.int64)
+    right = np.log((len(docs) + 1) / (np.array(list(held.values())) + 1)) + 1e-6
+    found = model.idf[count_slots(keys)]
+    assert (found <= right + 1e-6).all() and np.mean(np.isclose(found, right, atol=1e-6)) > 0.99
+    # The vocabulary is that of the examples.
+    texts = dict(docs)
+    own = set(np.concatenate([letter_terms(texts[int(i)])[0] for i in model.doc_id]).tolist())
+    assert set(model.vocabulary[:-1].tolist()) == own
+
+
 def test_scores_depend_on_text_alone(spark):
     docs, labels = corpus(300)
     rows, known = tables(spark, docs, labels)
