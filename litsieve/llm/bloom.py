@@ -9,6 +9,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from litsieve.llm.common import return_memory
+
 # A block is eight words of 32 bits; an entry sets one bit in each.
 BITS_PER_ENTRY = 16
 BLOCK_BITS = 256
@@ -50,7 +52,7 @@ def build_filter(listed: DataFrame, key: str, max_blocks: int = MAX_BLOCKS) -> n
     for i in range(len(SALTS)):
         words[np.asarray(found.column("block")), i] = np.asarray(found.column(f"w{i}")).astype(np.uint32)
     del found
-    pa.default_memory_pool().release_unused()
+    return_memory()
     return words
 
 

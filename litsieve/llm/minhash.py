@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from litsieve.llm.bloom import build_filter, may_be_listed
-from litsieve.llm.common import mixed, shingles, text_bytes, texts as text_rows, worker_value
+from litsieve.llm.common import memory_returned, mixed, shingles, text_bytes, texts as text_rows, worker_value
 from litsieve.operators.components import connected_components
 from litsieve.session import release, stored
 
@@ -78,7 +78,7 @@ def _features(width: int):
 
 def features(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     """Set size, 128-bit key of the set and signature of every text."""
-    return text_rows(docs, doc_id="long", text="string").mapInArrow(_features(width), FEATURES)
+    return text_rows(docs, doc_id="long", text="string").mapInArrow(memory_returned(_features(width)), FEATURES)
 
 
 def _band_keys(classes: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, threshold: tuple[int, int], wid
     texts = text_rows(docs, doc_id="long", text="string")
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(threshold, width), "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(memory_returned(_confirm(threshold, width)), "a long, b long")
 
 
 def _linked(threshold: tuple[int, int], width: int):
@@ -222,7 +222,7 @@ def _leftover_links(
         rows.repartition(parts, "key")
         .sortWithinPartitions("key")
         .select("key", "rep", "component", "side", "band_no", "n_shingles", "signature", "text")
-        .mapInArrow(_linked(threshold, width), "a long, b long")
+        .mapInArrow(memory_returned(_linked(threshold, width)), "a long, b long")
     )
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from litsieve.llm.common import public_tokenizer, text_bytes, texts, worker_value
+from litsieve.llm.common import memory_returned, public_tokenizer, text_bytes, texts, worker_value
 from litsieve.operators.positions import with_rank
 from litsieve.session import stored
 
@@ -141,7 +141,7 @@ def token_pieces(
     """
     schema = PIECES + (", ids array<int>" if with_ids else "")
     return texts(docs, doc_id="long", text="string").mapInArrow(
-        _pieces(tokenizer or public_tokenizer(TOKENIZER_FILE), limit, end_id, with_ids), schema
+        memory_returned(_pieces(tokenizer or public_tokenizer(TOKENIZER_FILE), limit, end_id, with_ids)), schema
     )
 
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
-from litsieve.llm.common import columns, mixed, texts as text_rows, worker_value
+from litsieve.llm.common import columns, memory_returned, mixed, return_memory, texts as text_rows, worker_value
 from litsieve.session import release, stored
 
 EXAMPLES_PER_LABEL = 1024
@@ -274,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
         texts.join(F.broadcast(sample), "doc_id")
         .groupBy("doc_id", "toxic")
         .agg(F.min("text").alias("text"))
-        .mapInArrow(_example_rows, "doc_id long, toxic double, grams array<long>, counts array<int>")
+        .mapInArrow(memory_returned(_example_rows), "doc_id long, toxic double, grams array<long>, counts array<int>")
         .where("size(grams) > 0")
     )
     earlier = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
@@ -291,7 +291,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     examples = list(merged.values())
     del merged
     # At most one row per slot.
-    counted = texts.select("text").mapInArrow(_document_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counted = texts.select("text").mapInArrow(memory_returned(_document_counts), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(SLOTS + 1, np.int64)
     df[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
     del counted
@@ -313,7 +313,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = EXAMPLES_PER_LABEL)
     model.slope, model.level = _calibrated(votes, model.toxic, prior)
     # What the tables of the fit took goes back to the system.
     del vectors
-    pa.default_memory_pool().release_unused()
+    return_memory()
     return model
 
 
@@ -372,7 +372,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     marked = text_rows(docs, doc_id="long", text="string").select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "text")
-    return marked.mapInArrow(run, SCORES)
+    return marked.mapInArrow(memory_returned(run), SCORES)
 
 
 def toxic_text(spark, model: Model):
@@ -380,9 +380,11 @@ def toxic_text(spark, model: Model):
     shared = _shared(spark, model)
 
     @F.pandas_udf("boolean")
-    def judged(texts: pd.Series) -> pd.Series:
+    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = _received(*shared)
-        return pd.Series([own.score(text)[0] >= THRESHOLD for text in texts], dtype=bool)
+        for texts in batches:
+            yield pd.Series([own.score(text)[0] >= THRESHOLD for text in texts], dtype=bool)
+        return_memory()
 
     return judged
 

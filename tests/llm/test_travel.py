@@ -29,3 +29,15 @@ def test_functions_load_without_the_package(spark, monkeypatch, tmp_path):
     assert len(functions) > 15
     done = subprocess.run([sys.executable, "-I", "-c", LOAD], input=pickle.dumps(functions), cwd=tmp_path, capture_output=True)
     assert done.returncode == 0, done.stderr.decode()
+
+
+def test_workers_return_memory_after_the_last_batch():
+    from litsieve.llm import common
+
+    done = []
+    wrapped = common.memory_returned(lambda batches: (x + 1 for x in batches))
+    assert list(wrapped(iter([1, 2]))) == [2, 3]
+    common.worker_value("first", lambda: done.append(1) or "a")
+    assert common.worker_value("second", lambda: "b") == "b"
+    # The larger value of another operator has made room and is made again.
+    assert common.worker_value("first", lambda: "again") == "again" and done == [1]
