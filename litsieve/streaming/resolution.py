@@ -28,7 +28,8 @@ def _labels(spark: SparkSession, folder: str) -> KeyedTable:
 
 
 def _members(spark: SparkSession, folder: str) -> KeyedTable:
-    return KeyedTable(spark, f"{folder}/members", "seq", "seq long, label long")
+    # Two records may share a seq, so every row stays.
+    return KeyedTable(spark, f"{folder}/members", "seq", "seq long, label long", smallest=False)
 
 
 def find_roots(labels: DataFrame, joined: KeyedTable, before: int) -> DataFrame:

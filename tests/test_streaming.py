@@ -8,6 +8,7 @@ from litsieve.operators.dedupe import clusters, dedupe_candidates
 from litsieve.operators.normalize import normalize_records
 from litsieve.schemas import RAW
 from litsieve.streaming import runs
+from litsieve.streaming.keyed import KeyedTable
 from litsieve.streaming.resolution import current_clusters, resolve_batch
 
 
@@ -88,6 +89,34 @@ def test_first_record_wins_in_any_order(spark, tmp_path):
     assert run([4, 1, 3, 2]) == run([1, 2, 3, 4]) == [(1, "doi:10.1/1", "a"), (2, "doi:10.1/0", "a")]
 
 
+def test_state_is_folded(spark, tmp_path):
+    draw = random.Random(6)
+    for smallest in (True, False):
+        folder = tmp_path / str(smallest)
+        table = KeyedTable(spark, str(folder), "k", "k string, v long", smallest, fold_every=2)
+        batches = [[(f"k{draw.randrange(12)}", 100 * n + i) for i in range(draw.randrange(1, 5))] if n != 3 else [] for n in range(10)]
+        for n, batch in enumerate(batches):
+            rows = spark.createDataFrame(batch, "k string, v long")
+            for _ in range(2 if n in (4, 8) else 1):  # repeated after a failure, with the fold done
+                before = [r for b in batches[:n] for r in b]
+                found = table.find(spark.createDataFrame([(f"k{i}",) for i in range(0, 12, 2)], "k string"), n)
+                got = sorted((r.k, r.v) for r in found.collect())
+                even = [r for r in before if int(r[0][1:]) % 2 == 0]
+                if smallest:  # a fold keeps the smallest value only
+                    least = {k: min(v for x, v in even if x == k) for k, _ in even}
+                    assert {k: min(v for x, v in got if x == k) for k, _ in got} == least
+                else:
+                    assert got == sorted(even)
+                table.put(rows, n)
+        assert table.rows().select("k").distinct().count() == len({k for b in batches for k, _ in b})
+        names = {p.name for p in folder.iterdir()}
+        # Eight batches are one folder; those it replaced go with the next fold.
+        assert {"batch=0-8", "batch=8", "batch=9"} <= names and not names & {"batch=0", "batch=1", "batch=2", "batch=0-2"}
+        # A span without its marker is a write that was lost: what it was to replace is read.
+        (folder / "batch=8-10").mkdir()
+        assert [f[2] for f in table._cover()] == ["0-8", "8", "9"]
+
+
 def test_late_rows_are_counted(spark, tmp_path):
     folder = str(tmp_path)
     day = lambda d, h: dt.datetime(2026, 3, d, h)
