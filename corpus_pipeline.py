@@ -11,7 +11,7 @@ from litsieve.llm.minhash import near_duplicates
 from litsieve.llm.mixing import mix, mixed_texts
 from litsieve.llm.packing import packed_documents
 from litsieve.llm.toxicity import fit, toxic_text
-from litsieve.session import shared_folder, stored
+from litsieve.session import release, shared_folder, stored
 
 # A classifier, hashed permutations and a tokenizer cannot be written in SQL.
 ORACLE_SQL = None
@@ -82,10 +82,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """All stages one after the other, each stored and read again."""
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    """All stages one after the other, each stored and read again; only the last table stays."""
+    docs, written = spark.read.parquet(f"{folder}/documents.parquet"), []
     for _, stage in STAGES:
         path = f"{shared_folder(spark)}/pipeline/{uuid.uuid4().hex}"
         stage(spark, docs, folder).write.parquet(path)
+        # What this stage has read is needed no more.
+        release(*written)
         docs = spark.read.parquet(path)
+        written = [docs]
     return docs
