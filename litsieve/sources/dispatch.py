@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from litsieve.functions.dates import iso_utc, parse_datetime
 from litsieve.functions.text import text_or_empty
 from litsieve.operators.windows import ingest_filter
-from litsieve.session import stored
-from litsieve.sources.feeds import feed_records, parse_feed, skip_front_matter
+from litsieve.schemas import FEED_COLUMNS
+from litsieve.session import small_batches, stored
+from litsieve.sources.feeds import feed_items, parse_feed, skip_front_matter
 from litsieve.sources.listings import read_listings
 from litsieve.sources.registry import source_locators
 
@@ -45,16 +46,15 @@ def read_payloads(
 
     Listing sources go to the listing reader.  All others are read as XML, and
     those that are not well-formed fall back to the listing reader of their
-    address.  Payloads are parsed once: the parsed table is stored, and records and
-    rest are read from it.
+    address.  Payloads are parsed once: records and rest are read from one stored table.
+    It has a row per record, not per feed: readers hold thousands of rows at a time.
     """
     is_listing = F.coalesce(F.col("source_strategy") == LISTING_STRATEGY, F.lit(False))
     xml = F.when(~is_listing, F.col("payload"))
     # What parsed needs its payload no more; the others have nothing but that.
-    parsed = payloads.withColumn("feed", parse_feed(xml)).withColumn("payload", F.when(F.col("feed").isNull(), F.col("payload")))
-    parsed = stored(parsed)
-    pages = parsed.where("feed IS NULL").drop("feed")
-    records = feed_records(parsed.where("feed IS NOT NULL"))
+    items = stored(feed_items(small_batches(payloads).withColumn("feed", parse_feed(xml))), "zstd")
+    pages = items.where("root IS NULL").select(*payloads.columns)
+    records = items.where("item_pos IS NOT NULL").select(*FEED_COLUMNS)
     taken = F.lit(False)
     for rule in rules:
         chosen = pages.where(rule.covers() & ~taken)
@@ -95,16 +95,18 @@ def stamp(records: DataFrame, fetched_at: Column) -> DataFrame:
 ITEM_DIGITS, LOCATOR_DIGITS = 8, 4
 
 
-def with_locators(payloads: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Payloads of the selected sources with ``source_pos`` and ``locator_pos``, and addresses without payload.
+def with_locators(payloads: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Payloads of the selected sources with ``source_pos`` and ``locator_pos``, addresses without payload, and all addresses.
 
     ``payloads`` has url and payload.  Sources carry ``position`` and a list of
     addresses; an address that several sources list is read for each of them.
+    The addresses are stored, so Spark knows their bytes and sends them to the payloads
+    below its own threshold, instead of shuffling payloads.
     """
-    wanted = source_locators(sources).withColumnRenamed("position", "source_pos").drop("source_locator", "enabled")
+    wanted = stored(source_locators(sources).withColumnRenamed("position", "source_pos").drop("source_locator", "enabled"))
     found = wanted.join(payloads.select("url", "payload"), "url")
     missing = wanted.join(payloads.select("url").distinct(), "url", "left_anti")
-    return found, missing.select("source_id", "locator_pos", "url")
+    return found, missing.select("source_id", "locator_pos", "url"), wanted
 
 
 @dataclass(frozen=True)
@@ -131,15 +133,15 @@ def acquire(
     addresses.  Records are in the order of sources, listed addresses and items,
     which also decides the first ``limit`` of a source; ``seq`` numbers that order.
     """
-    missing = None
+    missing = addresses = None
     if sources is not None:
-        payloads, missing = with_locators(payloads, sources)
+        payloads, missing, addresses = with_locators(payloads, sources)
     for name in ("source_pos", "locator_pos"):
         if name not in payloads.columns:
             payloads = payloads.withColumn(name, F.lit(0))
     records, quarantine = read_payloads(payloads, rules)
     # One narrow row per address; the feed readers keep the address of every item.
-    places = payloads.groupBy("source_id", F.col("url").alias("source_url")).agg(
+    places = (payloads if addresses is None else addresses).groupBy("source_id", F.col("url").alias("source_url")).agg(
         F.min("source_pos").alias("source_pos"), F.min("locator_pos").alias("locator_pos")
     )
     kept = ingest_filter(skip_front_matter(records), parse_datetime("published"), start, end)

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from litsieve.config import DigestRules, sources_from_watchlist
-from litsieve.sources.dispatch import acquire, read_payloads
+from litsieve.sources.dispatch import acquire, read_payloads, with_locators
 from litsieve.sources.feeds import read_feeds
 from litsieve.sources.listings import page_links
 from litsieve.sources.records import filled_decisions, read_decisions, scan_records
@@ -119,6 +119,23 @@ def test_acquire_joins_sources_in_listed_order(spark, tmp_path):
     assert {r.title_en for r in run.normalized.collect()} == {"first", "second"}
 
 
+def test_acquire_stores_records_not_feeds(spark):
+    feeds = [("s", f"u{n}", f"<rss><channel>{'<item><title>t</title></item>' * n}</channel></rss>") for n in (0, 3, 5)]
+    records, rest = read_payloads(payloads(spark, *feeds, ("s", "cut", "<rss>")))
+    assert records.count() == 8 and [r.url for r in rest.collect()] == ["cut"]
+    rows = spark.read.parquet(*records.inputFiles())
+    # A row per record, one for the feed without records and one for what is no feed.
+    assert rows.count() == 10 and "feed" not in rows.columns
+    sources = spark.createDataFrame(
+        [("s", True, "f", "J", "g", "journal", "feed", ["u3"], 0)],
+        "source_id string, enabled boolean, publisher_family string, journal string, `group` string, publication_stage string, "
+        "source_strategy string, source_locator array<string>, position int",
+    )
+    found, _, addresses = with_locators(spark.createDataFrame(feeds, "x string, url string, payload string"), sources)
+    # Few addresses are a stored table, so they travel to the payloads.
+    assert addresses.inputFiles() and "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_uncovered_listing_page_is_quarantined(spark):
     table = payloads(spark, ("l", "https://nowhere.example.org/toc", LISTING)).withColumn("source_strategy", F.lit("official_toc"))
     records, rest = read_payloads(table)
