@@ -175,3 +175,22 @@ def test_phrases_in_one_pass(spark):
     single = F.array_compact(F.array(*(F.when(F.col("t").rlike(keyword_pattern(p)), F.lit(p)) for p in phrases)))
     for r in found.select("found", single.alias("want")).collect():
         assert sorted({f for f in r.found if f in phrases}) == sorted(r.want)
+
+
+def test_rounds_like_the_reference(spark):
+    import random
+
+    from litsieve.functions.numbers import round_decimals
+
+    draw = random.Random(7)
+    values = [i / 10000 for i in range(-20, 10001)] + [0.0625, 0.1875, 2.5e-4, -0.5005, 1e13, 1e300, float("inf"), 0.0005]
+    values += [draw.random() for _ in range(2000)] + [draw.uniform(-1e6, 1e6) for _ in range(2000)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", round_decimals("v", 3).alias("r")).collect()
+    assert [r.v for r in rows if r.r != round(r.v, 3)] == []
+
+
+def test_sql_rounds_like_the_reference():
+    import duckdb
+
+    found = duckdb.sql("SELECT i / 10000 AS v, printf('%.3f', i / 10000)::DOUBLE AS r FROM range(10001) AS t(i)").fetchall()
+    assert [v for v, r in found if r != round(v, 3)] == []
