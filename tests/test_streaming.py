@@ -145,3 +145,11 @@ def test_window_counts_drop_late_rows(spark, tmp_path):
     assert {s.day for s, n in first} >= {28, 1} and all(n == 1 for _, n in first)
     spark.createDataFrame([(dt.datetime(2026, 3, 1, 19), "a")], "ts timestamp, kind string").write.mode("append").parquet(folder)
     assert {(r.window_start, r.n) for r in run().collect()} == first
+
+
+def test_record_stream_reads_a_file_or_a_folder(spark, tmp_path):
+    from litsieve.plans.queries import stream_digest
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    assert stream_digest(spark, str(tmp_path)).count() == docs.count() == stream_digest(spark, "/root/testdata/sf0.001").count()
