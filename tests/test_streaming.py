@@ -153,3 +153,16 @@ def test_record_stream_reads_a_file_or_a_folder(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     docs.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
     assert stream_digest(spark, str(tmp_path)).count() == docs.count() == stream_digest(spark, "/root/testdata/sf0.001").count()
+
+
+def test_landed_batches_have_a_file_per_core(spark, tmp_path):
+    from litsieve.plans.queries import _landed
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    splits = spark.read.parquet(str(tmp_path / "documents.parquet")).rdd.getNumPartitions()
+    seen = []
+    stream = _landed(spark, str(tmp_path), str(tmp_path), 3)
+    runs.start_batches(stream, lambda batch, n: seen.append(batch.count()), str(tmp_path / "state")).awaitTermination()
+    assert splits > 1 and len(list((tmp_path / "in").glob("*.parquet"))) == 3 * splits
+    assert len(seen) == 3 and sum(seen) == docs.count()
