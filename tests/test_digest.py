@@ -295,3 +295,24 @@ def test_registries_of_any_size(spark, monkeypatch):
         got = registry.enrich(records, sources, ["group"])
         assert {(r.seq, r.group) for r in got.collect()} == want
         assert joins in got._jdf.queryExecution().toString()
+
+
+def test_report_computes_its_inputs_once(spark):
+    from litsieve.operators.reports import suggestions_report
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(seq):
+        calls.add(1)
+        return "other"
+
+    rows = spark.range(4).select(
+        F.col("id").alias("seq"), F.concat(F.lit("s"), F.col("id") % 2).alias("source_id"), F.lit("license").alias("title_en"),
+        F.lit("").alias("abstract"), F.udf(counted)("id").alias("category"), F.lit("review").alias("final_decision"),
+    )
+    report = suggestions_report(rows, rows.withColumns({"source_id": F.lit("r"), "category": F.lit("x")}), ["license"]).first()["report"]
+    assert report == (
+        '{"other_sources":[{"name":"s0","n":2},{"name":"s1","n":2}],"review_sources":[{"name":"r","n":4}],'
+        '"tokens":[{"name":"license","n":8}]}'
+    )
+    assert calls.value == 4
