@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from litsieve.session import small_batches
+
 
 @dataclass(frozen=True)
 class CallPolicy:
@@ -88,5 +90,6 @@ def call_records(
 
     struct_type = ", ".join(f"{part.split()[0]}: {part.split()[1]}" for part in result.split(","))
     udf = F.pandas_udf(run, f"struct<{struct_type}>").asNondeterministic()
+    small_batches(records)
     source = records.repartition(policy.concurrency) if policy.concurrency else records
     return source.withColumn(name, udf(F.struct("seq", *[c for c in columns if c != "seq"])))

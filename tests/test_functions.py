@@ -194,3 +194,23 @@ def test_sql_rounds_like_the_reference():
 
     found = duckdb.sql("SELECT i / 10000 AS v, printf('%.3f', i / 10000)::DOUBLE AS r FROM range(10001) AS t(i)").fetchall()
     assert [v for v, r in found if r != round(v, 3)] == []
+
+
+def test_batches_to_python_stay_small(spark):
+    from litsieve.operators.providers import call_records
+    from litsieve.session import BATCH_BYTES, BATCH_ROWS
+
+    names = [f"spark.sql.execution.arrow.{n}" for n in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], "10000")
+        spark.conf.set(names[1], "64m")
+        call_records(spark.range(1).withColumnRenamed("id", "seq"), "n", ["seq"], "v long", lambda r: {"v": 1})
+        assert [spark.conf.get(n) for n in names] == [str(BATCH_ROWS), str(BATCH_BYTES)]
+        # Lower limits stay.
+        spark.conf.set(names[0], "10")
+        call_records(spark.range(1).withColumnRenamed("id", "seq"), "n", ["seq"], "v long", lambda r: {"v": 1})
+        assert spark.conf.get(names[0]) == "10"
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
