@@ -214,3 +214,50 @@ def test_batches_to_python_stay_small(spark):
     finally:
         for n, value in zip(names, before):
             spark.conf.set(n, value)
+
+
+def test_parts_of_the_searched_text_are_cleaned_once(spark):
+    from litsieve.functions.text import TAG
+    from litsieve.operators.normalize import normalize_records
+    from litsieve.operators.relevance import match_keywords
+
+    raw = spark.createDataFrame([(1, "J", "A &amp;amp; b", "<p>The  thing</p>\n")], "seq long, journal string, title string, abstract string")
+    cleaned = normalize_records(raw).select("seq", "journal", "title_en", "abstract", "tags")
+    found = match_keywords(cleaned, ("the", "thing", "amp"))
+    assert [(r.title_en, r.abstract, r.found) for r in found.collect()] == [("A &amp; b", "The thing", ["the", "thing"])]
+    # Journal, title, abstract, each tag, and their joined text: one cleaning each.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count(TAG) == 5
+
+
+def test_white_space_of_any_kind(spark):
+    from litsieve.functions.text import SPACE_CHARACTERS, squeeze, strip_long
+
+    draw = random.Random(17)
+    marks = [" "] * 20 + list(SPACE_CHARACTERS) + list("ab译é!") * 6
+    texts = ["", " ", "a", " a", "a b", "a  b", "a　b"] + ["".join(draw.choices(marks, k=draw.randrange(12))) for _ in range(400)]
+    assert apply(spark, texts, squeeze) == [" ".join(t.split()) for t in texts]
+    assert apply(spark, texts, strip_long) == [t.strip() for t in texts]
+
+
+def test_sentences_and_glossary_like_plain_python(spark):
+    draw = random.Random(18)
+    texts = ["".join(draw.choices("ab 。！!?　", k=draw.randrange(14))) for _ in range(400)]
+
+    def parts(text, stops):
+        return [s for s in map(str.strip, re.split(f"[{stops}]", text)) if s]
+
+    assert apply(spark, texts, leading_sentences) == ["".join(s + "。" for s in parts(t, "。！!?")[:2]) for t in texts]
+    for limit in (1, 2, 4):
+        expected = ["".join(s + "。" for s in p[:limit]) if len(p) > limit else t for t in texts for p in [parts(t, "。！?")]]
+        assert apply(spark, texts, lambda c: cap_sentences(c, limit)) == expected
+
+    pairs = (("a", "bb"), ("", "x"), ("bbb", "a "), ("zz", "y"), (" b", "zz"), ("zz", "a"))
+
+    def replaced(text):
+        text = text.strip()
+        for source, target in pairs:
+            text = text.replace(source, target) if source else text
+        return " ".join(text.split())
+
+    assert apply(spark, texts, lambda c: apply_glossary(c, pairs)) == [replaced(t) for t in texts]
+    assert apply(spark, texts, lambda c: apply_glossary(c, ())) == [" ".join(t.split()) for t in texts]
