@@ -195,7 +195,8 @@ def hard_negatives(
     # One copy of every block of anchors for each block of rows, by number.
     last = row_blocks.agg(F.coalesce(F.max("__part"), F.lit(0)))
     spread = anchor_blocks.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), last.scalar())))
-    met = spread.join(row_blocks, "__part").select("anchors", "rows")
+    # Sizes are estimated before the copies are made, so a join by estimate could send all copies through the driver.
+    met = spread.join(row_blocks.hint("shuffle_hash"), "__part").select("anchors", "rows")
     found = met.mapInArrow(_negatives(k, lowest, highest), "anchor_id long, slot long, vec_id long, score long")
     best = Window.partitionBy("anchor_id", "slot").orderBy(F.desc("score"), "vec_id")
     kept = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k)

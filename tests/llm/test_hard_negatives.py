@@ -55,6 +55,16 @@ def test_large_components_and_empty_tables(spark):
     assert found(hn.hard_negatives(alone, F.col("vec_id") <= 1)) == []
 
 
+def test_copies_of_anchors_stay_out_of_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(hn, "ROW_BLOCK", 4)
+    rows = [(i, i % 3, [(i * 7 % 11) / 8 - 0.4, (i * 5 % 7) / 8, (i % 4) / 4]) for i in range(300)]
+    df = hn.hard_negatives(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0)
+    assert found(df) == sorted(brute(rows, lambda i: i % 20 == 0))
+    # The blocks are small and Spark's threshold is its own: by estimate, either side would be broadcast.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [__part" not in plan and "ShuffledHashJoin [__part" in plan
+
+
 def test_query(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
     plain = [(r.vec_id, (r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label, list(r.embedding)) for r in rows if r.label is not None and r.embedding]
