@@ -25,6 +25,9 @@ NEGATIVES = 3
 LOWEST, HIGHEST = 50, 95
 ROW_BLOCK = 2048
 ANCHOR_BLOCK = 512
+# Blocks of rows are dealt to this many shards, or as many as keep a shard at so many blocks.
+SHARDS = 64
+SHARD_BLOCKS = 32
 # Products whose sums stay below this are exact in doubles and leave room for a row number.
 EXACT = 1 << 50
 LONG = (1 << 63) - 1
@@ -176,8 +179,9 @@ def hard_negatives(
     frequent ones) take no part.  Repeated rows count once; of different rows of one
     vec_id the one of smallest label, then vector, counts.  Empty tables give no rows.
 
-    Anchors meet the rows block against block: rows are cut into blocks of about 2,048
-    and blocks of anchors are repeated once per block of rows.  A label that a third of
+    Anchors meet the rows block against block: rows are cut into blocks of about 2,048,
+    these are dealt to 64 shards (of at most 32 blocks, else to more), and blocks of
+    anchors are repeated once per shard.  A label that a third of
     the rows share is many blocks, and at most ``k`` rows of each slot leave a task.
     """
     rows = stored(scaled_vectors(vectors, scale))
@@ -192,11 +196,13 @@ def hard_negatives(
     ready = asked.join(listed, asked["vec_id"] == listed["anchor_id"]).select("vec_id", "label", "v", F.col("positives.score").alias("positives"))
     row_blocks = stored(_in_blocks(rows, [], ROW_BLOCK, "rows"))
     anchor_blocks = _in_blocks(ready, [], ANCHOR_BLOCK, "anchors", "positives").drop("__part")
-    # One copy of every block of anchors for each block of rows, by number.
-    last = row_blocks.agg(F.coalesce(F.max("__part"), F.lit(0)))
-    spread = anchor_blocks.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), last.scalar())))
+    # One copy of every block of anchors for each shard of row blocks, by number.
+    last = row_blocks.agg(F.max("__part")).first()[0] or 0
+    shards = max(SHARDS, -(-(last + 1) // SHARD_BLOCKS))
+    sharded = row_blocks.withColumn("__shard", F.col("__part") % shards)
+    spread = anchor_blocks.withColumn("__shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(min(last, shards - 1)).cast("long"))))
     # Sizes are estimated before the copies are made, so a join by estimate could send all copies through the driver.
-    met = spread.join(row_blocks.hint("shuffle_hash"), "__part").select("anchors", "rows")
+    met = spread.join(sharded.hint("shuffle_hash"), "__shard").select("anchors", "rows")
     found = met.mapInArrow(_negatives(k, lowest, highest), "anchor_id long, slot long, vec_id long, score long")
     best = Window.partitionBy("anchor_id", "slot").orderBy(F.desc("score"), "vec_id")
     kept = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k)

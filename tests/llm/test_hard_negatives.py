@@ -56,13 +56,14 @@ def test_large_components_and_empty_tables(spark):
 
 
 def test_copies_of_anchors_stay_out_of_the_driver(spark, monkeypatch):
-    monkeypatch.setattr(hn, "ROW_BLOCK", 4)
+    for name, value in {"ROW_BLOCK": 4, "SHARDS": 5, "SHARD_BLOCKS": 4}.items():
+        monkeypatch.setattr(hn, name, value)
     rows = [(i, i % 3, [(i * 7 % 11) / 8 - 0.4, (i * 5 % 7) / 8, (i % 4) / 4]) for i in range(300)]
     df = hn.hard_negatives(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0)
     assert found(df) == sorted(brute(rows, lambda i: i % 20 == 0))
     # The blocks are small and Spark's threshold is its own: by estimate, either side would be broadcast.
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [__part" not in plan and "ShuffledHashJoin [__part" in plan
+    assert "BroadcastHashJoin [__shard" not in plan and "ShuffledHashJoin [__shard" in plan
 
 
 def test_query(spark):
